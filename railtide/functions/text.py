@@ -159,7 +159,7 @@ def distinct_lines(lines: Column) -> Column:
     )
     firsts = F.zip_with(
         tagged, before,
-        lambda s, b: F.when(b.isNull() | (s["k"] != b["k"]), F.struct(s["i"].alias("i"), s["x"].alias("x"))),
+        lambda s, b: F.when(s.isNotNull() & (b.isNull() | (s["k"] != b["k"])), F.struct(s["i"].alias("i"), s["x"].alias("x"))),
     )
     return F.transform(F.array_sort(F.array_compact(firsts)), lambda s: s["x"])
 

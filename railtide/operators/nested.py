@@ -49,7 +49,7 @@ def media_uri(media: Column, link_fallback: bool = True) -> Column:
 
 def media_uris(media: Column) -> Column:
     """Image addresses of a media array, entries without one left out."""
-    return F.array_compact(F.transform(F.coalesce(media, F.array().cast(MEDIA_TYPE)), media_uri))
+    return F.array_compact(F.transform(F.coalesce(media, F.array().cast(MEDIA_TYPE)), lambda m: media_uri(m)))
 
 
 MEDIA_TYPE = "array<struct<photo_image:struct<uri:string>,thumbnail:string,url:string,ocrText:string>>"

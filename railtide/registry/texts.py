@@ -1 +1,269 @@
-"""Queries."""
+"""Queries on texts and URLs: cleaning, matching, keys, dedupe."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from railtide.functions import rules, text, urls
+from railtide.operators import dedupe, diagnostics, joins, match
+from railtide.registry.base import one_of, query
+
+WORDS = {
+    "academic": ["estion", "enlich", "queque", "handed"],
+    "lgu": ["ndat", "haon", "osci"],
+    "always_lgu": ["token", "copyright", "edonble"],
+    "context": ["of the", "der", "pour"],
+}
+FOLD = "replace(lower(strip_accents(text)), 'ß', 'ss')"
+
+
+@query("unicode_norm", f"""
+SELECT doc_id, md5(strip_accents(text)) AS normal_md5, md5({FOLD}) AS folded_md5, length({FOLD}) AS folded_chars FROM documents
+""")
+def unicode_norm(table, spark):
+    work = table("documents").select("doc_id", text.normalize_unicode(F.col("text")).alias("n"))
+    folded = text.casefold(F.col("n"))
+    return work.select(
+        "doc_id", F.md5("n").alias("normal_md5"), F.md5(folded).alias("folded_md5"),
+        F.length(folded).cast("bigint").alias("folded_chars"),
+    )
+
+
+@query("keyword_gate", f"""
+WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents)
+SELECT doc_id, CASE WHEN {one_of(WORDS['always_lgu'], 't')} THEN 'lgu'
+  WHEN {one_of(WORDS['academic'], 't')} AND {one_of(WORDS['context'], 't')} THEN 'academic'
+  WHEN NOT {one_of(WORDS['academic'], 't')} AND {one_of(WORDS['lgu'], 't')} THEN 'lgu' END AS category FROM d
+""")
+def keyword_gate(table, spark):
+    work = table("documents").select("doc_id", rules.folded(F.col("text")).alias("t"))
+    return work.select("doc_id", rules.gate_category(F.col("t"), WORDS).alias("category"))
+
+
+@query("keyword_gate_words", """
+WITH d AS (SELECT doc_id, replace(lower(strip_accents(text)), 'ß', 'ss') AS t FROM documents)
+SELECT doc_id, regexp_matches(t, '(^|[^a-z0-9_])(est|of the|der)([^a-z0-9_]|$)') AS has_word,
+  contains(t, 'est') OR contains(t, 'of the') OR contains(t, 'der') AS has_substring FROM d
+""")
+def keyword_gate_words(table, spark):
+    words = ["est", "of the", "der"]
+    work = table("documents").select("doc_id", rules.folded(F.col("text")).alias("t"))
+    return work.select(
+        "doc_id", text.contains_any(F.col("t"), words, "word").alias("has_word"),
+        text.contains_any(F.col("t"), words).alias("has_substring"),
+    )
+
+
+LISTS = {
+    "primary": ["tion", "eaux"], "timeframe": ["ation", "heit"], "action": ["estion", "pour"],
+    "structure": ["http", ".com"], "negative": ["token", "worthless"],
+}
+
+
+@query("boolean_filter", f"""
+WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents),
+f AS (SELECT doc_id, {one_of(LISTS['primary'], 't')} AS p, {one_of(LISTS['timeframe'], 't')} AS y,
+  {one_of(LISTS['action'], 't')} AS a, {one_of(LISTS['structure'], 't')} AS s, {one_of(LISTS['negative'], 't')} AS n FROM d)
+SELECT doc_id, p AND y AND (a OR s) AND NOT n AS is_release, p OR y AS has_hint FROM f
+""")
+def boolean_filter(table, spark):
+    work = table("documents").select("doc_id", rules.folded(F.col("text")).alias("t"))
+    t = F.col("t")
+    return work.select(
+        "doc_id", rules.is_calendar_release(t, **LISTS).alias("is_release"), rules.has_calendar_hint(t, **LISTS).alias("has_hint")
+    )
+
+
+RELEVANT = {
+    "titles": ["nicht"], "actions": ["von", "sich"], "strong": ["estion", "queque"],
+    "pattern": r"(?U)\b(thnt(?:ed|ing)?|eaux|ciones?)\b", "context": ["pour", "the", "para"],
+}
+
+
+@query("relevance_filter", f"""
+WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents)
+SELECT doc_id, NOT (contains(t, 'nicht') AND NOT {one_of(RELEVANT['actions'], 't')}) AND ({one_of(RELEVANT['strong'], 't')}
+  OR (regexp_matches(t, '\\b(thnt(?:ed|ing)?|eaux|ciones?)\\b') AND {one_of(RELEVANT['context'], 't')})) AS is_relevant FROM d
+""")
+def relevance_filter(table, spark):
+    work = table("documents").select("doc_id", rules.folded(F.col("text")).alias("t"))
+    return work.select("doc_id", rules.is_relevant(F.col("t"), **RELEVANT).alias("is_relevant"))
+
+
+@query("branch_filter", """
+WITH d AS (SELECT doc_id, lower(text) AS t FROM documents)
+SELECT doc_id, CASE WHEN contains(t, 'of the') OR contains(t, 'dans') THEN NOT regexp_matches(t, '(?:and|for|et)\\s+(?:(?:the|la)\\s+)?on')
+  ELSE contains(t, 'heit') END AS keep FROM d
+""")
+def branch_filter(table, spark):
+    work = table("documents").select("doc_id", F.lower("text").alias("t"))
+    keep = rules.concerns_branch(F.col("t"), "heit", ["of the", "dans"], r"(?:and|for|et)\s+(?:(?:the|la)\s+)?on")
+    return work.select("doc_id", keep.alias("keep"))
+
+
+CLEAN_SQL = (
+    "trim(regexp_replace(regexp_replace(regexp_replace(strip_accents(trim(regexp_replace(regexp_replace(regexp_replace("
+    "text, 'All reactions:.*', '', 'is'), '\\b\\d+\\s+reactions?\\b.*', '', 'is'), '\\b\\d+\\s+shares?\\b.*', '', 'is'), ' \n\t\r')), "
+    "'[\\x{203C}-\\x{3299}\\x{1F300}-\\x{1FAFF}\\x{FE00}-\\x{FE0F}\\x{200D}]+', '', 'g'), "
+    "'\\s*(?:See more|Tumingin pa|Read more)\\s*[.]*$', '', 'i'), '\\s+', ' ', 'g'))"
+)
+
+
+@query("caption_clean", f"""
+SELECT 'd' || doc_id AS id, md5({CLEAN_SQL}) AS cleaned_md5, length({CLEAN_SQL}) AS cleaned_chars
+FROM (SELECT doc_id, text || CASE doc_id % 4 WHEN 0 THEN ' 12 reactions and so on' WHEN 1 THEN ' ★ See more...' WHEN 2 THEN '
+All reactions: 5' ELSE ' 3 shares' END AS text FROM documents)
+UNION ALL
+SELECT 'c' || conv_id || '-' || turn, md5({CLEAN_SQL}), length({CLEAN_SQL}) FROM conversations
+""")
+def caption_clean(table, spark):
+    tail = F.get(F.array(*[F.lit(x) for x in (" 12 reactions and so on", " ★ See more...", "\nAll reactions: 5", " 3 shares")]),
+                 (F.col("doc_id") % 4).cast("int"))
+    docs = table("documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), F.concat("text", tail).alias("text"))
+    turns = table("conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text")
+    work = docs.unionByName(turns).select("id", text.clean_caption(F.col("text")).alias("c"))
+    return work.select("id", F.md5("c").alias("cleaned_md5"), F.length("c").cast("bigint").alias("cleaned_chars"))
+
+
+@query("line_dedupe", """
+WITH d AS (SELECT doc_id, regexp_replace(regexp_replace(strip_accents(text), '[ \t]+', ' ', 'g'), '\\s*\n\\s*', '\n', 'g') AS t FROM documents),
+l AS (SELECT doc_id, i, trim(line, ' -_|•·') AS line FROM (
+  SELECT doc_id, unnest(string_split(t, '\n')) AS line, generate_subscripts(string_split(t, '\n'), 1) AS i FROM d)),
+k AS (SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id, lower(line) ORDER BY i) AS rn FROM l
+  WHERE length(line) >= 3 AND NOT regexp_matches(line, '(?i)(#\\w+|@\\w+|www\\.|https?://|\\.edu\\.ph|\\.gov\\.ph|\\.com\\.ph|\\.facebook\\.|f\\s*[|/]\\s*@|chooseSAN|#choose)'))
+SELECT d.doc_id, md5(coalesce(string_agg(line, ' ' ORDER BY i), '')) AS cleaned_md5, count(line) AS kept_lines
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id AND rn = 1 GROUP BY d.doc_id
+""")
+def line_dedupe(table, spark):
+    work = table("documents").select("doc_id", text.clean_ocr_lines(F.col("text")).alias("lines"))
+    work = work.select("doc_id", text.distinct_lines(F.col("lines")).alias("lines"))
+    return work.select(
+        "doc_id", F.md5(F.array_join("lines", " ")).alias("cleaned_md5"), F.size("lines").cast("bigint").alias("kept_lines")
+    )
+
+
+@query("url_clean_key", """
+WITH u AS (SELECT page_id, url, split_part(split_part(url, '&', 1), '?__cft__', 1) AS cleaned FROM pages),
+p AS (SELECT *, lower(regexp_extract(cleaned, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS h,
+  lower(regexp_extract(cleaned, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) AS pa,
+  lower(regexp_extract(cleaned, '\\?([^#]*)', 1)) AS q FROM u)
+SELECT page_id, cleaned, lower(trim(split_part(url, '?', 1))) AS bare_key,
+  lower(trim(split_part(url, '?', 1))) || CASE WHEN regexp_extract(lower(regexp_extract(url, '\\?([^#]*)', 1)), '(?:^|&)(page=[^&]*)', 1) <> ''
+    THEN '?' || regexp_extract(lower(regexp_extract(url, '\\?([^#]*)', 1)), '(?:^|&)(page=[^&]*)', 1) ELSE '' END AS identity_key,
+  (h = 'example.com' OR ends_with(h, '.example.com')) AND NOT contains(pa, '/de/') AND NOT contains(q, 'utm_') AND regexp_matches(pa || '?' || q, '/(en|fr)/|page=') AS is_safe
+FROM p
+""")
+def url_clean_key(table, spark):
+    url = F.col("url")
+    return table("pages").select(
+        "page_id", urls.clean_url(url).alias("cleaned"), urls.url_key(url, ()).alias("bare_key"),
+        urls.url_key(url, ("page",)).alias("identity_key"),
+        urls.is_safe_post_url(url, "example.com", ["/de/"], ["utm_"], "/(en|fr)/|page=").alias("is_safe"),
+    )
+
+
+TEXT_KEY = "nullif(substr(replace(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), 'ß', 'ss'), 1, 100), '')"
+
+
+@query("prefix_dedupe", f"""
+WITH k AS (SELECT doc_id, lang, {TEXT_KEY} AS key FROM documents)
+SELECT doc_id, lang, md5(key) AS key_md5 FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id) AS rn FROM k) WHERE rn = 1 OR key IS NULL
+""")
+def prefix_dedupe(table, spark):
+    keyed = table("documents").select("doc_id", "lang", text.text_key(F.col("text")).alias("key"))
+    return dedupe.keep_first_or_blank(keyed, "key", ["doc_id"]).select("doc_id", "lang", F.md5("key").alias("key_md5"))
+
+
+@query("greedy_dedupe", f"""
+WITH RECURSIVE k AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS n, doc_id, hash('t', {TEXT_KEY}) AS a,
+    CASE WHEN n_chars % 10 <> 0 THEN hash('e', lang, n_chars) END AS b, hash('u', source, n_chars // 7) AS c FROM documents),
+walk(n, kept, held) AS (
+  SELECT CAST(0 AS BIGINT), false, CAST([] AS UBIGINT[])
+  UNION ALL
+  SELECT k.n, NOT list_has_any(w.held, [k.a, k.b, k.c]),
+    CASE WHEN list_has_any(w.held, [k.a, k.b, k.c]) THEN w.held ELSE list_concat(w.held, list_filter([k.a, k.b, k.c], lambda x: x IS NOT NULL)) END
+  FROM walk w JOIN k ON k.n = w.n + 1)
+SELECT k.doc_id FROM walk w JOIN k ON k.n = w.n WHERE w.kept
+""")
+def greedy_dedupe(table, spark):
+    return _greedy(table).select("doc_id")
+
+
+def _greedy(table, tail_rows=dedupe.TAIL_ROWS):
+    size = F.col("n_chars")
+    keyed = table("documents").select(
+        "doc_id", text.text_key(F.col("text")).alias("text_key"),
+        F.when(size % 10 != 0, F.concat_ws("|", "lang", size.cast("string"))).alias("event_key"),
+        F.concat_ws("|", "source", F.floor(size / 7).cast("string")).alias("url_key"),
+    )
+    return dedupe.greedy_keep(keyed, "doc_id", ["text_key", "event_key", "url_key"], tail_rows)
+
+
+@query("anti_existing", """
+SELECT d.doc_id, d.source FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)
+  AND NOT EXISTS (SELECT 1 FROM benchmark b WHERE substr(b.text, 1, 20) = substr(d.text, 1, 20))
+""")
+def anti_existing(table, spark):
+    docs = table("documents").select("doc_id", "source", F.substring("text", 1, 20).alias("head"))
+    held = table("benchmark").select(F.substring("text", 1, 20).alias("head"))
+    return joins.anti(dedupe.drop_held(docs, held, "head"), table("labels").where("quality = 1"), ["doc_id"]).select("doc_id", "source")
+
+
+@query("first_match_join", """
+WITH hosts AS (SELECT lower(regexp_extract(url, '://(?:www\\.|m\\.|blog\\.)?([^/]*)', 1)) AS host, min(page_id) AS seq FROM pages GROUP BY 1),
+items AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN lower(regexp_extract(url, '://[a-z]+\\.([a-z]+)\\.', 1)) ELSE lower(url) END AS asked FROM pages)
+SELECT i.page_id, min(h.seq) AS matched_page FROM items i
+LEFT JOIN hosts h ON i.asked <> '' AND (contains(i.asked, h.host) OR contains(h.host, i.asked)) GROUP BY 1
+""")
+def first_match_join(table, spark):
+    return _first_match(table)
+
+
+def _first_match(table, literal_rows=200):
+    pages = table("pages")
+    hosts = pages.groupBy(F.lower(F.regexp_extract("url", r"://(?:www\.|m\.|blog\.)?([^/]*)", 1)).alias("host")).agg(
+        F.min("page_id").alias("seq"))
+    asked = F.when(F.col("page_id") % 5 == 0, F.lower(F.regexp_extract("url", r"://[a-z]+\.([a-z]+)\.", 1))).otherwise(F.lower("url"))
+    items = pages.select("page_id", F.nullif(asked, F.lit("")).alias("asked"))
+    out = match.with_first_overlap(items, "asked", hosts, F.col("host"), "seq", "matched_page", literal_rows)
+    return out.select("page_id", "matched_page")
+
+
+@query("keyword_matrix", """
+SELECT w AS word, (SELECT count(*) FROM pages WHERE contains(lower(html), w)) AS n_rows
+FROM (SELECT unnest(['tion', 'login', 'article', 'heit', 'checkpoint', 'eaux']) AS w)
+""")
+def keyword_matrix(table, spark):
+    return diagnostics.keyword_matrix(table("pages"), F.col("html"), ["tion", "login", "article", "heit", "checkpoint", "eaux"])
+
+
+@query("page_diagnostics", """
+WITH p AS (SELECT page_id, html, regexp_replace(regexp_replace(html,
+  '<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<!--.*?-->', ' ', 'gis'), '<[^>]*>', ' ', 'g') AS visible FROM pages)
+SELECT page_id, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is') AS title,
+  len(regexp_extract_all(html, '(?i)<img\\b')) AS image_tags, len(regexp_extract_all(html, '(?i)<p\\b')) AS paragraphs,
+  contains(lower(visible), 'login') AS login_hit, contains(lower(visible), 'tion') AS word_hit,
+  md5(substr(trim(regexp_replace(visible, '\\s+', ' ', 'g')), 1, 200)) AS snippet_md5, length(visible) AS visible_chars FROM p
+""")
+def page_diagnostics(table, spark):
+    out = diagnostics.page_report(table("pages").select("page_id", "html", F.col("html").alias("h")), keywords=["tion"], chars=200)
+    return out.select(
+        "page_id", "title", F.col("image_tags").cast("bigint").alias("image_tags"),
+        F.regexp_count("h", F.lit(r"(?i)<p\b")).cast("bigint").alias("paragraphs"),
+        F.col("login_hits")["login"].alias("login_hit"), F.col("keyword_hits")["tion"].alias("word_hit"),
+        F.md5("snippet").alias("snippet_md5"), F.col("visible_chars").cast("bigint").alias("visible_chars"),
+    )
+
+
+@query("extract_once", """
+SELECT d.doc_id, length(x.t) AS extracted_chars FROM documents d
+JOIN (SELECT DISTINCT text AS k, lower(strip_accents(text)) AS t FROM documents) x ON x.k = d.text
+""")
+def extract_once(table, spark):
+    docs = table("documents")
+    out = dedupe.once_per_value(
+        docs.select("doc_id", "text"), "text",
+        lambda distinct: distinct.select("text", F.lower(text.normalize_unicode(F.col("text"))).alias("extracted")), "extracted")
+    return out.select("doc_id", F.length("extracted").cast("bigint").alias("extracted_chars"))

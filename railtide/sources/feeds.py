@@ -78,10 +78,11 @@ def primary_weather(payload: Column, days: int = vocab.FORECAST_DAYS) -> Column:
     p = F.from_json(payload, PRIMARY_SCHEMA)
     now, daily = p["current"], p["daily"]
     take = F.least(F.lit(days), F.greatest(F.size(daily["time"]) - 1, F.lit(0)))
-    zipped = F.arrays_zip(
-        daily["time"], daily["temperature_2m_max"], daily["temperature_2m_min"], daily["precipitation_sum"],
-        daily["relative_humidity_2m_mean"], daily["wind_speed_10m_max"],
-    ).cast(FORECAST_TYPE)
+    readings = [
+        F.coalesce(daily[name], F.array().cast("array<double>"))
+        for name in ("temperature_2m_max", "temperature_2m_min", "precipitation_sum", "relative_humidity_2m_mean", "wind_speed_10m_max")
+    ]
+    zipped = F.arrays_zip(daily["time"], *readings).cast(FORECAST_TYPE)
     return F.when(
         now["time"].isNotNull() & daily["time"].isNotNull(),
         F.struct(
