@@ -77,21 +77,28 @@ def widen(df: DataFrame, keys: Sequence[str], name: str, value: str, columns: Se
     )
 
 
-def with_daily_totals(detail: DataFrame, keys: Sequence[str], date: str, period: str, value: str,
-                      total_label: str = vocab.DAILY_TOTAL, count_existing_totals: bool = False) -> DataFrame:
-    """Union of a per-day total over periods and the detail rows.
+TOTAL_LABELS = [vocab.DAILY_TOTAL, vocab.PEAK_TOTAL, vocab.OFF_PEAK_TOTAL, vocab.MONTHLY_TOTAL]
+
+
+def daily_totals(detail: DataFrame, keys: Sequence[str], date: str, period: str, value: str,
+                 total_label: str = vocab.DAILY_TOTAL, count_existing_totals: bool = False) -> DataFrame:
+    """Per-day sums over periods, labelled as a total.
 
     Sums ignore NULLs, and a total exists only where some value does.  Rows already labelled as a
     total are left out of the sum unless ``count_existing_totals``.
     """
-    summed = detail if count_existing_totals else detail.where(
-        ~F.col(period).isin(total_label, vocab.PEAK_TOTAL, vocab.OFF_PEAK_TOTAL, vocab.MONTHLY_TOTAL)
-    )
-    totals = (
-        summed.where(F.col(value).isNotNull()).groupBy(*keys, date)
-        .agg(F.sum(value).cast(dict(detail.dtypes)[value]).alias(value))
+    summed = detail.where(F.col(value).isNotNull())
+    if not count_existing_totals:
+        summed = summed.where(~F.coalesce(F.col(period).isin(*TOTAL_LABELS), F.lit(False)))
+    return (
+        summed.groupBy(*keys, date).agg(F.sum(value).cast(dict(detail.dtypes)[value]).alias(value))
         .withColumn(period, F.lit(total_label))
     )
+
+
+def with_daily_totals(detail: DataFrame, keys: Sequence[str], date: str, period: str, value: str, **options) -> DataFrame:
+    """Daily totals and the detail rows in one table."""
+    totals = daily_totals(detail, keys, date, period, value, **options)
     return totals.unionByName(detail.select(*totals.columns))
 
 

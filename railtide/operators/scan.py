@@ -22,18 +22,23 @@ def carry_forward(
     values: dict[str, Column],
     chunk: Column | None = None,
     include_current: bool = True,
+    small_groups: bool = False,
 ) -> DataFrame:
     """Add for each name the last non-NULL value at or before the row (before it, if not inclusive).
 
-    ``order`` must be unique inside a group.  ``chunk`` must grow with ``order``; the default cuts
-    an integer order column every ``CHUNK`` steps.
+    ``order`` must be unique inside a group and groups must not be NULL.  ``chunk`` must grow with
+    ``order``; the default cuts an integer order column every ``CHUNK`` steps.  A caller that has
+    checked that no group is large (``largest_group``) may ask for one plain window.
     """
+    end = Window.currentRow if include_current else -1
+    if small_groups:
+        whole = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+        return df.withColumns({n: F.last(v, ignorenulls=True).over(whole) for n, v in values.items()})
     chunk = F.floor(F.col(order) / CHUNK) if chunk is None else chunk
     held = {name: f"_held_{name}" for name in values}
     work = df.withColumn("_chunk", chunk).withColumns({held[n]: v for n, v in values.items()})
     keys = [*group, "_chunk"]
 
-    end = Window.currentRow if include_current else -1
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
     local = work.withColumns({n: F.last(h, ignorenulls=True).over(inside) for n, h in held.items()})
 
@@ -47,25 +52,12 @@ def carry_forward(
     )
     for key in keys:
         carried = carried.withColumnRenamed(key, f"_c{key}")
-    met = local.join(carried, [F.col(k).eqNullSafe(F.col(f"_c{k}")) for k in keys], "left")
+    met = local.join(carried, [F.col(k) == F.col(f"_c{k}") for k in keys], "left")
     return met.withColumns(
         {n: F.coalesce(F.col(n), F.col(f"_in_{n}")) for n in values}
     ).select(*[c for c in df.columns if c not in values], *values)
 
 
-def running_count(
-    df: DataFrame, group: Sequence[str], order: str, flag: Column, out: str, chunk: Column | None = None
-) -> DataFrame:
-    """Number of rows up to and including this one whose ``flag`` holds, by the same two levels."""
-    chunk = F.floor(F.col(order) / CHUNK) if chunk is None else chunk
-    keys = [*group, "_chunk"]
-    work = df.withColumn("_chunk", chunk).withColumn("_flag", F.when(flag, 1).otherwise(0).cast("bigint"))
-    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = work.withColumn(out, F.sum("_flag").over(inside))
-    across = Window.partitionBy(*group).orderBy("_chunk") if group else Window.orderBy("_chunk")
-    carried = work.groupBy(*keys).agg(F.sum("_flag").alias("_n")).select(
-        *[F.col(k).alias(f"_c{k}") for k in keys],
-        F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-    )
-    met = local.join(carried, [F.col(k).eqNullSafe(F.col(f"_c{k}")) for k in keys], "left")
-    return met.withColumn(out, F.col(out) + F.col("_before")).select(*df.columns, out)
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group."""
+    return df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0

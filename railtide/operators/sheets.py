@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from railtide import vocab
 from railtide.functions import cells, labels
-from railtide.functions.text import strip
-from railtide.operators.scan import carry_forward
+from railtide.functions.text import contains_any, strip
+from railtide.operators.scan import CHUNK, carry_forward, largest_group
+from railtide.session import cut_lineage
 
 LOOK_BACK = 5
-GRID_KEYS = ["file", "row_idx"]
+SPAN = 64
 
 
 def is_station_row(first: Column) -> Column:
@@ -19,45 +21,91 @@ def is_station_row(first: Column) -> Column:
 
 def first_label(cell_array: Column) -> Column:
     """First service period named in a row, left to right."""
-    return F.get(F.filter(F.transform(cell_array, labels.period_label), lambda x: x.isNotNull()), F.lit(0))
+    found = F.get(F.filter(F.transform(cell_array, labels.period_label), lambda x: x.isNotNull()), F.lit(0))
+    marks = [tokens[-1] for _, tokens in vocab.FUZZY_PERIODS]
+    return F.when(contains_any(F.lower(F.array_join(cell_array, " ")), marks), found)
 
 
-def segment(grid: DataFrame, group: str = "file", order: str = "row_idx") -> DataFrame:
-    """Add header_idx (the block a row belongs to), in_block and the header's period.
+def marks(grid: DataFrame) -> DataFrame:
+    """The few rows that shape a sheet: ``Station`` rows, period labels and entry/exit or Time rows.
 
-    A ``Station`` row starts a block unless the row above started one.  Rows count from two below
-    the header up to the next ``Station`` row or period label; the period is the nearest label in
-    the five rows above the header.
+    Only station and entry/exit rows keep their cells.
     """
     first = F.get("cells", F.lit(0))
-    here = F.col(order)
-    flagged = grid.withColumns({
-        "is_station": is_station_row(first),
-        "is_stop": is_station_row(first) | labels.period_label(first).isNotNull(),
-        "row_label": first_label(F.col("cells")),
-    })
+    metric = F.exists("cells", lambda c: labels.identifier(c, {}).isin("entry", "exit"))
+    time_row = F.coalesce(labels.identifier(first) == "time", F.lit(False))
+    flagged = grid.select(
+        "file", "row_idx", "cells", is_station_row(first).alias("is_station"),
+        (is_station_row(first) | labels.period_label(first).isNotNull()).alias("is_stop"),
+        first_label(F.col("cells")).alias("row_label"), (F.coalesce(metric, F.lit(False)) | time_row).alias("is_metric"),
+    )
+    return flagged.where(F.col("is_stop") | F.col("is_metric") | F.col("row_label").isNotNull()).withColumn(
+        "cells", F.when(F.col("is_station") | F.col("is_metric"), F.col("cells")))
+
+
+def blocks(grid: DataFrame) -> DataFrame:
+    """One row per header: header_idx, period, column names, is_monthly, and where its rows are.
+
+    A ``Station`` row starts a block unless the row above started one.  Its rows run from two below
+    the header (body_start) up to the next ``Station`` row or label of a period (body_end,
+    exclusive, NULL for the end of the sheet).  The period is the nearest label in the five rows
+    above the header.
+    """
+    found = cut_lineage(marks(grid))
+    small = largest_group(found, ["file"]) <= CHUNK
+    here = F.col("row_idx")
     above = carry_forward(
-        flagged, [group], order,
+        found, ["file"], "row_idx",
         {
-            "other_idx": F.when(~F.col("is_station"), here),
+            "before": F.struct(here.alias("idx"), F.col("is_station").alias("is_station")),
             "above": F.when(F.col("row_label").isNotNull(), F.struct(here.alias("idx"), F.col("row_label").alias("label"))),
         },
-        include_current=False,
+        include_current=False, small_groups=small,
     )
+    follows = F.coalesce(F.col("before.is_station") & (F.col("before.idx") == here - 1), F.lit(False))
+    runs = carry_forward(
+        above, ["file"], "row_idx", {"run_start": F.when(F.col("is_station") & ~follows, here)}, small_groups=small)
     # every second row of a run of Station rows is a header
-    place_in_run = here - F.coalesce("other_idx", F.lit(-1)) - 1
-    headed = above.withColumns({
-        "is_header": F.col("is_station") & (place_in_run % 2 == 0),
-        "header_period": F.when(here - F.col("above.idx") <= LOOK_BACK, F.col("above.label")),
+    headed = runs.withColumns({
+        "is_header": F.col("is_station") & ((here - F.col("run_start")) % 2 == 0),
+        "period": F.when(here - F.col("above.idx") <= LOOK_BACK, F.col("above.label")),
+    })
+    owned = carry_forward(
+        headed, ["file"], "row_idx", {"owner": F.when(F.col("is_header"), here)}, include_current=False, small_groups=small)
+    owned = owned if small else cut_lineage(owned)
+    head = F.col("is_header")
+    ends = owned.where(F.col("is_stop") & (here >= F.col("owner") + 2)).groupBy("file", F.col("owner").alias("header_idx")).agg(
+        F.min("row_idx").alias("body_end"))
+    metrics = owned.where(F.col("is_metric") & (here == F.col("owner") + 1)).select(
+        "file", F.col("owner").alias("header_idx"), F.col("cells").alias("metrics"))
+    heads = (
+        owned.where(head).select("file", here.alias("header_idx"), "period", F.col("cells").alias("stations"))
+        .join(ends, ["file", "header_idx"], "left").join(metrics, ["file", "header_idx"], "left")
+    )
+    time_row = labels.identifier(F.get("metrics", F.lit(0))) == "time"
+    heads = heads.withColumns({
+        "is_monthly": F.coalesce(time_row, F.lit(False)), "body_start": F.col("header_idx") + 2,
     })
-    inside = carry_forward(
-        headed, [group], order,
-        {"header_idx": F.when(F.col("is_header"), here), "stop_idx": F.when(F.col("is_stop"), here)},
+    return _named_columns(heads, _station_metric(F.col("stations"), F.col("metrics")))
+
+
+def place_rows(grid: DataFrame, heads: DataFrame, keep: list[str]) -> DataFrame:
+    """Rows that lie in the body of a block, with columns ``keep`` of the block.
+
+    Blocks are cut into short spans of rows, so the range test is an equi-join on (file, span)
+    that compares a row with the few blocks of its span, and no file meets in one task.
+    """
+    last = grid.groupBy(F.col("file").alias("_file")).agg(F.max("row_idx").alias("_last"))
+    spans = heads.join(last, F.col("file") == F.col("_file")).select(
+        "_file", *keep, F.col("body_start").alias("_from"), F.coalesce(F.col("body_end") - 1, F.col("_last")).alias("_to"),
+    ).where("_from <= _to")
+    spans = spans.withColumn("_span", F.explode(F.sequence(F.floor(F.col("_from") / SPAN), F.floor(F.col("_to") / SPAN))))
+    rows = grid.withColumn("_row_span", F.floor(F.col("row_idx") / SPAN))
+    inside = (
+        (F.col("file") == F.col("_file")) & (F.col("_row_span") == F.col("_span"))
+        & F.col("row_idx").between(F.col("_from"), F.col("_to"))
     )
-    body = here >= F.col("header_idx") + 2
-    return inside.withColumn(
-        "in_block", F.coalesce(body & (F.col("stop_idx") < F.col("header_idx") + 2), F.lit(False))
-    ).drop("other_idx", "above", "stop_idx", "is_stop", "row_label")
+    return rows.join(spans, inside).select(*grid.columns, *keep)
 
 
 def _station_metric(stations: Column, metrics: Column) -> Column:
@@ -93,22 +141,7 @@ def _last_of_each(names: Column) -> Column:
 
 
 def _named_columns(df: DataFrame, names: Column) -> DataFrame:
-    return df.withColumn("_names", names).withColumn("columns", F.transform(
-        _last_of_each(F.col("_names")), lambda n: n
-    )).drop("_names")
-
-
-def blocks(segmented: DataFrame, group: str = "file", order: str = "row_idx") -> DataFrame:
-    """One row per header: period, column names, and whether it heads a monthly summary."""
-    offset = F.col(order) - F.col("header_idx")
-    heads = segmented.where(offset.isin(0, 1)).groupBy(group, "header_idx").agg(
-        F.max(F.when(offset == 0, F.col("header_period"))).alias("period"),
-        F.max(F.when(offset == 0, F.col("cells"))).alias("stations"),
-        F.max(F.when(offset == 1, F.col("cells"))).alias("metrics"),
-    )
-    time_row = labels.identifier(F.get("metrics", F.lit(0))) == "time"
-    heads = heads.withColumn("is_monthly", F.coalesce(time_row, F.lit(False)))
-    return _named_columns(heads, _station_metric(F.col("stations"), F.col("metrics")))
+    return df.withColumn("_names", names).withColumn("columns", _last_of_each(F.col("_names"))).drop("_names")
 
 
 def _cells_long(rows: DataFrame, keep: list[str]) -> DataFrame:
@@ -124,12 +157,12 @@ def _cells_long(rows: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def period_rows(segmented: DataFrame, heads: DataFrame, year: Column) -> DataFrame:
+def period_rows(grid: DataFrame, heads: DataFrame, year: Column) -> DataFrame:
     """Long rows of the daily blocks: file, row_idx, date, time_period, column_name, value, reject_reason."""
-    body = segmented.where("in_block").withColumn("date", labels.service_date(F.get("cells", F.lit(0)), year))
-    usable = heads.where(~F.col("is_monthly")).select("file", "header_idx", F.col("period").alias("time_period"), "columns")
-    met = body.where("date is not null").join(usable, ["file", "header_idx"])
-    return _cells_long(met, ["file", "row_idx", "date", "time_period"])
+    usable = heads.where(~F.col("is_monthly")).withColumnRenamed("period", "time_period")
+    placed = place_rows(grid, usable, ["time_period", "columns"])
+    dated = placed.withColumn("date", labels.service_date(F.get("cells", F.lit(0)), year)).where("date is not null")
+    return _cells_long(dated, ["file", "row_idx", "date", "time_period"])
 
 
 def monthly_rows(grid: DataFrame, heads: DataFrame, year: Column, month: Column) -> DataFrame:
@@ -141,10 +174,10 @@ def monthly_rows(grid: DataFrame, heads: DataFrame, year: Column, month: Column)
     first_head = heads.where("is_monthly").groupBy("file").agg(F.min("header_idx").alias("head"))
     rows = grid.join(first_head, "file").where(F.col("row_idx") >= F.col("head"))
     zero = F.get("cells", F.lit(0))
-    rows = rows.withColumns({
+    rows = cut_lineage(rows.withColumns({
         "label": labels.row_period_label(zero),
         "is_peak": F.coalesce(labels.identifier(zero) == "peak_hours", F.lit(False)),
-    })
+    }))
     open_row = F.col("label").isNull() & (F.col("row_idx") >= F.col("head") + 2)
     ends = rows.groupBy("file").agg(
         F.min(F.when(open_row, F.col("row_idx"))).alias("hours_end"), F.max(F.size("cells")).alias("width")

@@ -13,7 +13,6 @@ from railtide.operators import ids, merge, reshape, sheets
 from railtide.session import cut_lineage
 from railtide.sinks import tables
 from railtide.sources import files
-from railtide import vocab
 
 ROW_KEYS = ["year", "file", "row_idx", "date", "time_period", "sort_month", "is_detail"]
 
@@ -36,18 +35,17 @@ def long_rows(grid: DataFrame, count_existing_totals: bool = False, per_file_tot
     named = grid.withColumns({
         "year": labels.file_year(_stem(F.col("file"))), "month": labels.file_month(_stem(F.col("file"))),
     }).where("year is not null and month is not null")
-    segmented = cut_lineage(sheets.segment(named))
-    heads = cut_lineage(sheets.blocks(segmented))
+    heads = cut_lineage(sheets.blocks(named))
     monthly_files = heads.where("is_monthly").select("file").distinct()
     year, month = F.col("year"), F.col("month")
-    of_file = segmented.select("file", "year", "month").distinct()
+    of_file = named.select("file", "year", "month").distinct()
 
     daily_heads = heads.join(monthly_files, "file", "left_anti")
-    daily = sheets.period_rows(segmented, daily_heads, year).join(of_file, "file")
-    summary_grid = segmented.join(monthly_files, "file", "left_semi").select("file", "row_idx", "cells", "year", "month")
-    monthly = sheets.monthly_rows(
-        summary_grid.select("file", "row_idx", "cells"), heads, F.lit(2000), F.lit(1)
-    ).join(of_file, "file").withColumn("date", F.make_date(year, month, F.lit(1)))
+    daily = sheets.period_rows(named, daily_heads, year)
+    monthly = sheets.monthly_rows(named.join(monthly_files, "file", "left_semi"), heads, year, month)
+    stem = _stem(F.col("file"))
+    daily, monthly = (
+        df.withColumns({"year": labels.file_year(stem), "month": labels.file_month(stem)}) for df in (daily, monthly))
 
     problems = sheets.sheet_problems(daily_heads, daily.select("file", "reject_reason").unionByName(monthly.select("file", "reject_reason")))
     empty = of_file.join(daily.select("file").unionByName(monthly.select("file")).distinct(), "file", "left_anti")
@@ -55,18 +53,7 @@ def long_rows(grid: DataFrame, count_existing_totals: bool = False, per_file_tot
 
     keys = ["file", "year", "month", "column_name"] if per_file_totals else ["year", "column_name"]
     detail = daily.select("file", "year", "month", "row_idx", "date", "time_period", "column_name", "value")
-    totalled = reshape.with_daily_totals(
-        detail.select(*keys, "date", "time_period", "value"), keys, "date", "time_period", "value",
-        count_existing_totals=count_existing_totals,
-    )
-    # the union above drops row places, so totals are taken from it and detail rows from the sheet
-    totals = totalled.where(F.col("time_period") == vocab.DAILY_TOTAL)
-    made = (
-        detail.where(F.col("value").isNotNull()) if count_existing_totals
-        else detail.where(F.col("value").isNotNull() & ~F.col("time_period").isin(
-            vocab.DAILY_TOTAL, vocab.PEAK_TOTAL, vocab.OFF_PEAK_TOTAL, vocab.MONTHLY_TOTAL))
-    )
-    totals = made.groupBy(*keys, "date").agg(F.sum("value").alias("value")).withColumn("time_period", F.lit(vocab.DAILY_TOTAL))
+    totals = reshape.daily_totals(detail, keys, "date", "time_period", "value", count_existing_totals=count_existing_totals)
     totals = totals.withColumns({"row_idx": F.lit(-1).cast("bigint"), "is_detail": F.lit(False), "sort_month": F.month("date")})
     if not per_file_totals:
         totals = totals.withColumn("file", F.lit(""))

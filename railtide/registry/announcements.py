@@ -1 +1,150 @@
-"""Queries."""
+"""Queries on announcements: tags, friction, cancellations, digests, streams."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from railtide.functions import rules
+from railtide.operators import tagging
+from railtide.registry.base import one_of, query
+from railtide.session import spread
+from railtide.streaming import events as streams
+
+RULES = [
+    ("CIVIC_MAINTENANCE", ["token", "copyright"], [], 1),
+    ("TRANSPORT_STRIKE", ["estion", "queque"], ["worthless"], 2),
+    ("RESUMPTION_CLASSES", ["enlich", "osci"], [], 3),
+    ("WEATHER_ADVISORY", ["tion"], ["pour"], 4),
+]
+CANCEL, QUIET = ["haon", "heit"], ["ndat", "eaux"]
+FOLD = "replace(lower(strip_accents(text)), 'ß', 'ss')"
+CODE_SQL = "CASE " + " ".join(
+    f"WHEN {one_of(inc, 't')}" + (f" AND NOT {one_of(exc, 't')}" if exc else "") + f" THEN '{code}'" for code, inc, exc, _ in RULES
+) + " END"
+
+
+@query("rule_tagger", f"""
+WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents),
+c AS (SELECT doc_id, t, {CODE_SQL} AS event_code FROM d),
+x AS (SELECT *, event_code IS NOT NULL AND event_code <> 'CIVIC_MAINTENANCE' AND {one_of(CANCEL, 't')} AS is_cancellation FROM c)
+SELECT doc_id, event_code, is_cancellation,
+  CASE WHEN is_cancellation THEN CASE event_code WHEN 'RESUMPTION_CLASSES' THEN 'CLASS_SUSPENSION' ELSE event_code END END AS cancellation_target_code,
+  event_code IS NOT NULL AND NOT {one_of(QUIET, 't')} AS affects_ridership FROM x
+""")
+def rule_tagger(table, spark):
+    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
+    return tagging.tag_events(work, F.col("t"), RULES, CANCEL, QUIET).drop("t")
+
+
+GROUPS = {"full_suspension": ["token"], "transport_strike": ["estion"], "partial_suspension": ["queque"],
+          "arena_event": ["enlich", "osci"], "train_degradation": ["tion"]}
+
+
+@query("friction_weight", f"""
+WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents)
+SELECT doc_id, CASE WHEN {one_of(GROUPS['full_suspension'], 't')} THEN 1.0::DOUBLE WHEN {one_of(GROUPS['transport_strike'], 't')} THEN 0.9::DOUBLE
+  WHEN {one_of(GROUPS['partial_suspension'], 't')} THEN 0.85::DOUBLE WHEN {one_of(GROUPS['arena_event'], 't')} THEN 0.65::DOUBLE
+  WHEN {one_of(GROUPS['train_degradation'], 't')} THEN 0.5::DOUBLE END AS weight FROM d
+""")
+def friction_weight(table, spark):
+    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
+    return work.select("doc_id", tagging.friction_weight(F.col("t"), GROUPS).alias("weight"))
+
+
+@query("friction_by_hit", """
+SELECT e.user_id, max(p_size / 50.0::DOUBLE) AS friction_weight FROM events e JOIN part ON p_partkey = e.event_id % 200 GROUP BY 1
+""")
+def friction_by_hit(table, spark):
+    hits = table("events").select("user_id", (F.col("event_id") % 200).alias("keyword_group"))
+    weights = table("part").select(F.col("p_partkey").alias("keyword_group"), (F.col("p_size") / 50.0).alias("weight"))
+    return tagging.friction_by_hit(hits, weights, key="user_id")
+
+
+@query("cancellation", """
+WITH e AS (SELECT event_id, user_id AS source_name, event_type AS event_code, event_id % 17 = 0 AS is_cancellation,
+  CASE WHEN event_id % 17 = 0 THEN CASE WHEN event_type = 'view' THEN 'click' ELSE event_type END END AS target, ts FROM events)
+SELECT event_id, is_cancellation OR NOT EXISTS (SELECT 1 FROM e c WHERE c.is_cancellation AND c.source_name = e.source_name AND c.target = e.event_code AND c.ts > e.ts) AS is_active FROM e
+""")
+def cancellation(table, spark):
+    cancels = F.col("event_id") % 17 == 0
+    target = F.when(F.col("event_type") == "view", "click").otherwise(F.col("event_type"))
+    work = table("events").select(
+        "event_id", F.col("user_id").alias("source_name"), F.col("event_type").alias("event_code"), cancels.alias("is_cancellation"),
+        F.when(cancels, target).alias("cancellation_target_code"), F.col("ts").alias("post_date"))
+    return tagging.cancel_earlier(work).select("event_id", "is_active")
+
+
+@query("digest", """
+SELECT user_id % 3 AS batch, CASE event_type WHEN 'view' THEN 'Academic' WHEN 'click' THEN 'LGU' WHEN 'error' THEN 'Academic Calendar' ELSE upper(event_type[1]) || event_type[2:] END AS category,
+  count(*) AS new_events FROM events GROUP BY ALL
+""")
+def digest(table, spark):
+    kind = F.col("event_type")
+    category = F.when(kind == "view", "academic").when(kind == "click", "lgu").when(kind == "error", "academic_calendar").otherwise(kind)
+    work = table("events").select((F.col("user_id") % 3).alias("batch"), rules.category_label(category).alias("category"))
+    return tagging.digest_counts(work)
+
+
+@query("digest_rows", """
+SELECT 'User ' || user_id AS source_name, CASE WHEN user_id % 2 = 0 THEN 'N/A' ELSE 'st' || user_id END AS station, 'b' || (user_id % 3) AS batch,
+  CASE event_type WHEN 'view' THEN 'Academic' ELSE 'N/A' END AS category, CASE WHEN event_id % 2 = 0 THEN 'N/A' ELSE event_type END AS event_name,
+  strftime(ts, '%B %d, %Y') AS event_date, 'http://x/' || event_id AS url FROM events
+""")
+def digest_rows(table, spark):
+    user = F.col("user_id")
+    work = table("events").select(
+        F.concat(F.lit("User "), user).alias("source_name"), F.when(user % 2 != 0, F.concat(F.lit("st"), user)).alias("station"),
+        F.concat(F.lit("b"), user % 3).alias("batch"), F.when(F.col("event_type") == "view", "academic").alias("category"),
+        F.when(F.col("event_id") % 2 != 0, F.col("event_type")).otherwise("").alias("event_name"),
+        F.date_format("ts", "yyyy-MM-dd").alias("event_date"), F.concat(F.lit("http://x/"), "event_id").alias("url"))
+    return tagging.digest_rows(work)
+
+
+def _folder(spark, name: str) -> str:
+    """A new folder for stream state, beside the checkpoints."""
+    base = spark.sparkContext.getCheckpointDir()
+    return tempfile.mkdtemp(prefix=f"{name}-", dir=base.removeprefix("file:")) if base.startswith(("file:", "/")) else f"{base}/{name}"
+
+
+EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+@query("stream_dedupe", """
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events)
+SELECT event_id, user_id, event_type FROM e WHERE rn = 1
+""")
+def stream_dedupe(table, spark):
+    from railtide.sinks import tables
+
+    folder = table("events").inputFiles()[0].rsplit("/", 1)[0]
+    stream = streams.read_stream(spark, folder, EVENT_SCHEMA, pattern="events.parquet")
+    keyed = stream.select("event_id", "user_id", "event_type", F.concat_ws("|", "user_id", "event_type").alias("key"))
+    path = _folder(spark, "stream-dedupe")
+    streams.dedupe_stream(keyed, ["key"], "event_id", f"{path}/table", f"{path}/progress")
+    return tables.read_table(spark, f"{path}/table").select("event_id", "user_id", "event_type")
+
+
+@query("stream_snapshot", """
+SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
+""")
+def stream_snapshot(table, spark):
+    from railtide.sinks import tables
+
+    folder = table("events").inputFiles()[0].rsplit("/", 1)[0]
+    stream = streams.read_stream(spark, folder, EVENT_SCHEMA, pattern="events.parquet").select("user_id", "ts", "event_id", "event_type")
+    path = _folder(spark, "stream-snapshot")
+    streams.snapshot_stream(stream, ["user_id"], ["ts", "event_id"], f"{path}/table", f"{path}/progress")
+    return tables.read_table(spark, f"{path}/table").select("user_id", "event_id", "event_type")
+
+
+@query("sweep_windows", """
+WITH e AS (SELECT event_type, ts FROM events),
+w AS (SELECT event_type, to_timestamp(28800 * (CAST(floor(epoch_us(ts) / 28800000000.0) AS BIGINT) - k)) AT TIME ZONE 'UTC' AS s
+  FROM e, (VALUES (0), (1), (2)) AS o(k))
+SELECT event_type, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n FROM w GROUP BY ALL
+""")
+def sweep_windows(table, spark):
+    out = streams.sweep_counts(table("events"), "ts", "24 hours", "8 hours", ["event_type"])
+    return out.select("event_type", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n")

@@ -167,13 +167,15 @@ seg AS (
 
 @query("sheet_blocks", f"""
 WITH {SQL_SEGMENTS}
-SELECT file, row_idx, header_idx, in_block, is_header,
-       CASE WHEN is_header THEN header_period END AS header_period FROM seg
+SELECT h.file, h.row_idx AS header_idx, h.header_period AS period,
+  (SELECT count(*) FROM seg r WHERE r.file = h.file AND r.header_idx = h.row_idx AND r.in_block) AS n_rows
+FROM seg h WHERE h.is_header
 """)
 def sheet_blocks(table, spark):
-    out = sheets.segment(event_grid(table("events")))
-    return out.select("file", "row_idx", "header_idx", "in_block", "is_header",
-                      F.when(F.col("is_header"), F.col("header_period")).alias("header_period"))
+    grid = event_grid(table("events"))
+    heads = sheets.blocks(grid)
+    counted = sheets.place_rows(grid, heads, ["header_idx"]).groupBy("file", "header_idx").agg(F.count("*").alias("n_rows"))
+    return heads.select("file", "header_idx", "period").join(counted, ["file", "header_idx"], "left").fillna(0, ["n_rows"])
 
 
 @query("sheet_ridership", f"""
@@ -196,12 +198,10 @@ UNION ALL
 SELECT file, date, 'Daily Total', column_name, CAST(sum(value) AS BIGINT) FROM cell WHERE value IS NOT NULL GROUP BY ALL
 """)
 def sheet_ridership(table, spark):
-    segmented = sheets.segment(event_grid(table("events")))
-    long = sheets.period_rows(segmented, sheets.blocks(segmented), F.lit(2023))
+    grid = event_grid(table("events"))
+    long = sheets.period_rows(grid, sheets.blocks(grid), F.lit(2023))
     long = long.select("file", F.date_format("date", "yyyy-MM-dd").alias("date"), "time_period", "column_name", "value")
-    keyed = long.withColumn("time_period", F.coalesce("time_period", F.lit("?")))
-    out = reshape.with_daily_totals(keyed, ["file", "column_name"], "date", "time_period", "value")
-    return out.withColumn("time_period", F.nullif(F.col("time_period"), F.lit("?")))
+    return reshape.with_daily_totals(long, ["file", "column_name"], "date", "time_period", "value")
 
 
 SHAPES = [

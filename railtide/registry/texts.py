@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from railtide.functions import rules, text, urls
 from railtide.operators import dedupe, diagnostics, joins, match
 from railtide.registry.base import one_of, query
+from railtide.session import spread
 
 WORDS = {
     "academic": ["estion", "enlich", "queque", "handed"],
@@ -21,7 +22,7 @@ FOLD = "replace(lower(strip_accents(text)), 'ß', 'ss')"
 SELECT doc_id, md5(strip_accents(text)) AS normal_md5, md5({FOLD}) AS folded_md5, length({FOLD}) AS folded_chars FROM documents
 """)
 def unicode_norm(table, spark):
-    work = table("documents").select("doc_id", text.normalize_unicode(F.col("text")).alias("n"))
+    work = spread(table("documents")).select("doc_id", text.normalize_unicode(F.col("text")).alias("n"))
     folded = text.casefold(F.col("n"))
     return work.select(
         "doc_id", F.md5("n").alias("normal_md5"), F.md5(folded).alias("folded_md5"),
@@ -36,7 +37,7 @@ SELECT doc_id, CASE WHEN {one_of(WORDS['always_lgu'], 't')} THEN 'lgu'
   WHEN NOT {one_of(WORDS['academic'], 't')} AND {one_of(WORDS['lgu'], 't')} THEN 'lgu' END AS category FROM d
 """)
 def keyword_gate(table, spark):
-    work = table("documents").select("doc_id", rules.folded(F.col("text")).alias("t"))
+    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
     return work.select("doc_id", rules.gate_category(F.col("t"), WORDS).alias("category"))
 
 
@@ -47,7 +48,7 @@ SELECT doc_id, regexp_matches(t, '(^|[^a-z0-9_])(est|of the|der)([^a-z0-9_]|$)')
 """)
 def keyword_gate_words(table, spark):
     words = ["est", "of the", "der"]
-    work = table("documents").select("doc_id", rules.folded(F.col("text")).alias("t"))
+    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
     return work.select(
         "doc_id", text.contains_any(F.col("t"), words, "word").alias("has_word"),
         text.contains_any(F.col("t"), words).alias("has_substring"),
@@ -67,7 +68,7 @@ f AS (SELECT doc_id, {one_of(LISTS['primary'], 't')} AS p, {one_of(LISTS['timefr
 SELECT doc_id, p AND y AND (a OR s) AND NOT n AS is_release, p OR y AS has_hint FROM f
 """)
 def boolean_filter(table, spark):
-    work = table("documents").select("doc_id", rules.folded(F.col("text")).alias("t"))
+    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
     t = F.col("t")
     return work.select(
         "doc_id", rules.is_calendar_release(t, **LISTS).alias("is_release"), rules.has_calendar_hint(t, **LISTS).alias("has_hint")
@@ -86,7 +87,7 @@ SELECT doc_id, NOT (contains(t, 'nicht') AND NOT {one_of(RELEVANT['actions'], 't
   OR (regexp_matches(t, '\\b(thnt(?:ed|ing)?|eaux|ciones?)\\b') AND {one_of(RELEVANT['context'], 't')})) AS is_relevant FROM d
 """)
 def relevance_filter(table, spark):
-    work = table("documents").select("doc_id", rules.folded(F.col("text")).alias("t"))
+    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
     return work.select("doc_id", rules.is_relevant(F.col("t"), **RELEVANT).alias("is_relevant"))
 
 
@@ -96,7 +97,7 @@ SELECT doc_id, CASE WHEN contains(t, 'of the') OR contains(t, 'dans') THEN NOT r
   ELSE contains(t, 'heit') END AS keep FROM d
 """)
 def branch_filter(table, spark):
-    work = table("documents").select("doc_id", F.lower("text").alias("t"))
+    work = spread(table("documents")).select("doc_id", F.lower("text").alias("t"))
     keep = rules.concerns_branch(F.col("t"), "heit", ["of the", "dans"], r"(?:and|for|et)\s+(?:(?:the|la)\s+)?on")
     return work.select("doc_id", keep.alias("keep"))
 
@@ -119,7 +120,7 @@ SELECT 'c' || conv_id || '-' || turn, md5({CLEAN_SQL}), length({CLEAN_SQL}) FROM
 def caption_clean(table, spark):
     tail = F.get(F.array(*[F.lit(x) for x in (" 12 reactions and so on", " ★ See more...", "\nAll reactions: 5", " 3 shares")]),
                  (F.col("doc_id") % 4).cast("int"))
-    docs = table("documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), F.concat("text", tail).alias("text"))
+    docs = spread(table("documents")).select(F.concat(F.lit("d"), "doc_id").alias("id"), F.concat("text", tail).alias("text"))
     turns = table("conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text")
     work = docs.unionByName(turns).select("id", text.clean_caption(F.col("text")).alias("c"))
     return work.select("id", F.md5("c").alias("cleaned_md5"), F.length("c").cast("bigint").alias("cleaned_chars"))
@@ -135,7 +136,7 @@ SELECT d.doc_id, md5(coalesce(string_agg(line, ' ' ORDER BY i), '')) AS cleaned_
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id AND rn = 1 GROUP BY d.doc_id
 """)
 def line_dedupe(table, spark):
-    work = table("documents").select("doc_id", text.clean_ocr_lines(F.col("text")).alias("lines"))
+    work = spread(table("documents")).select("doc_id", text.clean_ocr_lines(F.col("text")).alias("lines"))
     work = work.select("doc_id", text.distinct_lines(F.col("lines")).alias("lines"))
     return work.select(
         "doc_id", F.md5(F.array_join("lines", " ")).alias("cleaned_md5"), F.size("lines").cast("bigint").alias("kept_lines")
@@ -248,7 +249,7 @@ SELECT page_id, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is') AS ti
   md5(substr(trim(regexp_replace(visible, '\\s+', ' ', 'g')), 1, 200)) AS snippet_md5, length(visible) AS visible_chars FROM p
 """)
 def page_diagnostics(table, spark):
-    out = diagnostics.page_report(table("pages").select("page_id", "html", F.col("html").alias("h")), keywords=["tion"], chars=200)
+    out = diagnostics.page_report(spread(table("pages")).select("page_id", "html", F.col("html").alias("h")), keywords=["tion"], chars=200)
     return out.select(
         "page_id", "title", F.col("image_tags").cast("bigint").alias("image_tags"),
         F.regexp_count("h", F.lit(r"(?i)<p\b")).cast("bigint").alias("paragraphs"),
@@ -262,7 +263,7 @@ SELECT d.doc_id, length(x.t) AS extracted_chars FROM documents d
 JOIN (SELECT DISTINCT text AS k, lower(strip_accents(text)) AS t FROM documents) x ON x.k = d.text
 """)
 def extract_once(table, spark):
-    docs = table("documents")
+    docs = spread(table("documents"))
     out = dedupe.once_per_value(
         docs.select("doc_id", "text"), "text",
         lambda distinct: distinct.select("text", F.lower(text.normalize_unicode(F.col("text"))).alias("extracted")), "extracted")

@@ -51,3 +51,12 @@ def small_rows(df: DataFrame, limit: int = LITERAL_ROWS) -> list[Row] | None:
 def hint_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """Broadcast ``df`` if it is small; otherwise leave the join strategy to the planner."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly row work when the input has fewer partitions than cores.
+
+    A large input has more partitions than that and is left alone, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

@@ -8,12 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from railtide import vocab
 from railtide.functions import labels
 from railtide.operators import checks, merge, reshape
 from railtide.session import cut_lineage
-from railtide import vocab
 
-POINTER = "_CURRENT"
+POINTER = "CURRENT"
 VERSION = re.compile(r"^v(\d{6,})$")
 
 

@@ -357,6 +357,8 @@ BOILERPLATE = [
     r"(?isU)\b\d+\s+shares?\b.*",
 ]
 EXPAND_TAIL = r"(?idU)\s*(?:See more|Tumingin pa|Read more)\s*[…\.]*$"
+# every footer line holds one of these (lower case)
+FOOTER_MARKS = ["#", "@", "www.", "http", ".ph", ".facebook.", "choosesan"]
 LINE_TRIM_CHARS = " -_|•·"
 MIN_LINE_CHARS = 3
 PLACEHOLDER_CAPTION = "Official Advisory / Announcement (Infographic)"
