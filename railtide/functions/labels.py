@@ -26,7 +26,7 @@ def identifier(cell: Column, aliases: Mapping[str, str] = vocab.STATION_ALIASES)
 
 def period_label(cell: Column) -> Column:
     """Service period named somewhere in a cell; the tests run in order and look for substrings."""
-    text = F.lower(F.regexp_replace(strip(cell), rf"(?U){SPACE}+", " "))
+    text = F.lower(F.regexp_replace(strip(cell), rf"{SPACE}+", " "))
     out = F.lit(None).cast("string")
     for label, tokens in reversed(vocab.FUZZY_PERIODS):
         hit = text.contains(tokens[0])
@@ -38,7 +38,7 @@ def period_label(cell: Column) -> Column:
 
 def row_period_label(cell: Column) -> Column:
     """Service period of a summary row: exact spellings, clock ranges, then ``period_label``."""
-    text = F.lower(F.regexp_replace(strip(cell), rf"(?U){SPACE}+", ""))
+    text = F.lower(F.regexp_replace(strip(cell), rf"{SPACE}+", ""))
     out = F.when(text.rlike(r"^\d{1,2}:\d{2}-\d{1,2}:\d{2}$"), strip(cell)).otherwise(period_label(cell))
     for label, spellings in reversed(vocab.EXACT_PERIODS):
         out = F.when(text.isin(*spellings), F.lit(label)).otherwise(out)
@@ -92,11 +92,17 @@ def service_date(cell: Column, year: Column) -> Column:
         part(iso, 1).try_cast("int"), part(slashed, 1).try_cast("int"),
     )
     day = F.coalesce(part(day_name, 1), part(name_day, 2), part(iso, 2), part(slashed, 2)).try_cast("int")
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", year.cast("int"), month, day), "yyyy-MM-dd")
+    return possible_date(year.cast("int"), month, day)
+
+
+def possible_date(year: Column, month: Column, day: Column) -> Column:
+    """Date of its parts; NULL for days that month does not have."""
+    first = F.when(month.between(1, 12), F.make_date(year, month, F.lit(1)))
+    return F.when(day.between(1, F.day(F.last_day(first))), F.date_add(first, day - 1))
 
 
 def acronym(name: Column, table: Mapping[str, str] = vocab.ACRONYMS) -> Column:
     """Known short form, else the upper-case initials of the words that start with a letter."""
-    words = F.filter(F.split(strip(name), rf"(?U){SPACE}+"), lambda w: w.rlike(r"^\p{L}"))
+    words = F.filter(F.split(strip(name), rf"{SPACE}+"), lambda w: w.rlike(r"^\p{L}"))
     initials = F.array_join(F.transform(words, lambda w: F.upper(F.substring(w, 1, 1))), "")
     return lookup(F.lower(strip(name)), table, initials) if table else initials

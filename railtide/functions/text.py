@@ -13,8 +13,10 @@ from pyspark.sql.types import BooleanType, StringType
 
 from railtide import vocab
 
-# white space as Unicode sees it, plus the four ASCII separator controls
-SPACE = r"[\s\x{1C}-\x{1F}]"
+# white space as Unicode sees it, plus the four ASCII separator controls; no flag needed
+SPACE = r"[\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+NON_SPACE = SPACE.replace("[", "[^", 1)
+SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 class _WithoutMarks(dict):
@@ -70,12 +72,12 @@ def casefold(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def squash(text: Column) -> Column:
     """Every run of white space becomes one space; none at the ends."""
-    return F.trim(F.regexp_replace(text, rf"(?U){SPACE}+", " "))
+    return F.trim(F.regexp_replace(text, rf"{SPACE}+", " "))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -205,10 +207,18 @@ def joined_text(caption: Column, image_text: Column) -> Column:
     return F.concat_ws(" ", F.coalesce(caption, F.lit("")), F.coalesce(image_text, F.lit("")))
 
 
+def _head(text: Column, chars: int) -> Column:
+    """So much of the text that squashing it gives the first ``chars`` characters of the squashed text.
+
+    A run of white space counts as one character, however long it is.
+    """
+    return F.regexp_extract(text, rf"^{SPACE}*+((?:{NON_SPACE}|{SPACE}++){{0,{chars + 1}}})", 1)
+
+
 def text_key(caption: Column, image_text: Column | None = None, chars: int = vocab.TEXT_KEY_CHARS) -> Column:
     """Dedupe key: the first characters of the folded, squashed text; NULL when there is none."""
     text = joined_text(caption, image_text) if image_text is not None else F.coalesce(caption, F.lit(""))
-    return F.nullif(F.substring(casefold(squash(text)), 1, chars), F.lit(""))
+    return F.nullif(F.substring(casefold(squash(_head(text, chars))), 1, chars), F.lit(""))
 
 
 def raw_text_key(caption: Column, image_text: Column | None = None, chars: int = vocab.TEXT_KEY_CHARS) -> Column:

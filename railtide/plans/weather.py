@@ -33,10 +33,9 @@ def refresh(stations: DataFrame, payloads: DataFrame, current: DataFrame, now: C
     whole reading, forecasts included, of the nearest earlier station in corridor order; then its
     own stored row; then the constants.  ``fallback_level`` says which.
     """
-    weather = F.coalesce(
-        feeds.primary_weather(F.col("primary"), days), feeds.secondary_weather(F.col("secondary"), feeds.local_hour(now), days))
     group = [run] if run else []
-    base = _spread(stations.join(payloads, [*group, "station"], "left").withColumn("_w", weather).drop("primary", "secondary"), "_w")
+    met = stations.join(payloads, [*group, "station"], "left")
+    base = _spread(feeds.parse_weather(met, ("primary", "secondary"), feeds.local_hour(now), days, "_w"), "_w")
     carried = gapfill.fill_from_neighbours(base, group, "station_seq", [*READINGS, "observed_at", "forecasts"], F.col("has_fresh"))
     met = carried.join(_stored(current), "station", "left").withColumn("has_stored", F.coalesce("has_stored", F.lit(False)))
     filled = gapfill.fallback_chain(
@@ -63,9 +62,8 @@ def watchdog(stations: DataFrame, current: DataFrame, payloads: DataFrame, now:
     """Current rows for stale stations only: secondary source, then primary, then the constants."""
     seen = gapfill.last_seen(current, "station")
     stale = gapfill.audit_freshness(stations.select("station"), seen, "station", now, threshold).where("is_stale").select("station")
-    weather = F.coalesce(
-        feeds.secondary_weather(F.col("secondary"), feeds.local_hour(now)), feeds.primary_weather(F.col("primary")))
-    base = _spread(stale.join(payloads, "station", "left").withColumn("_w", weather), "_w")
+    met = stale.join(payloads, "station", "left")
+    base = _spread(feeds.parse_weather(met, ("secondary", "primary"), feeds.local_hour(now), out="_w"), "_w")
     filled = gapfill.fallback_chain(base, READINGS, [("fresh", F.col("has_fresh"), "")])
     return filled.select(
         "station", *[F.col(f"_f_{v}").alias(v) for v in READINGS],

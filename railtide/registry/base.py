@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from railtide.session import prepare
 
@@ -29,6 +30,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def pick(index: Column, *options: Column) -> Column:
+    """The option at a place; only that one is evaluated."""
+    out = F.when(index == 0, options[0])
+    for place, option in enumerate(options[1:], start=1):
+        out = out.when(index == place, option)
+    return out
+
+
 def one_of(words, text: str) -> str:
     """SQL for: any of the words occurs in ``text``."""
     quoted = ("'" + w.replace("'", "''") + "'" for w in words)

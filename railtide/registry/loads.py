@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from railtide.functions import rules, text
 from railtide.operators import dedupe, ids, merge
-from railtide.registry.base import query
+from railtide.registry.base import pick, query
 
 STORED_SQL = "stored AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, 'old' AS stamp FROM customer WHERE c_nationkey % 3 <> 0)"
 NEW_SQL = "fresh AS (SELECT c_custkey AS id, c_name || '!' AS name, c_acctbal * 2 AS balance, 'new' AS stamp FROM customer WHERE c_nationkey % 3 <> 1)"
@@ -87,17 +87,14 @@ def renumber_repair(table, spark):
 
     doc = F.col("doc_id")
 
-    def pick(n, *options):
-        return F.get(F.array(*options), (doc % n).cast("int"))
-
     rows = table("documents").join(table("labels").select("doc_id", "quality"), "doc_id", "left")
     other = F.concat(F.lit("x_"), doc)
     events = rows.select(
         "doc_id",
-        pick(7, F.concat(F.lit("external_acad_"), doc % 50), F.concat(F.lit("external-lgu-"), doc % 40), *[other] * 5).alias("id"),
-        pick(5, F.lit("PAGASA desk"), F.concat(F.lit("City of "), "source"), F.concat(F.lit("Public Information "), "source"), *[F.concat(F.lit("School "), "source")] * 2).alias("source_name"),
-        pick(6, F.lit("Number Coding lifted"), F.lit("Classes resume"), *[F.concat(F.lit("Event "), doc)] * 4).alias("event_name"),
-        pick(4, F.lit("CLASS_SUSPENSION"), F.lit("EXAM_WEEK"), *[F.lit("WEATHER_ADVISORY")] * 2).alias("event_code"),
+        pick(doc % 7, F.concat(F.lit("external_acad_"), doc % 50), F.concat(F.lit("external-lgu-"), doc % 40), *[other] * 5).alias("id"),
+        pick(doc % 5, F.lit("PAGASA desk"), F.concat(F.lit("City of "), "source"), F.concat(F.lit("Public Information "), "source"), *[F.concat(F.lit("School "), "source")] * 2).alias("source_name"),
+        pick(doc % 6, F.lit("Number Coding lifted"), F.lit("Classes resume"), *[F.concat(F.lit("Event "), doc)] * 4).alias("event_name"),
+        pick(doc % 4, F.lit("CLASS_SUSPENSION"), F.lit("EXAM_WEEK"), *[F.lit("WEATHER_ADVISORY")] * 2).alias("event_code"),
         F.coalesce(F.col("quality") == 1, F.lit(False)).alias("is_cancellation"), F.col("n_chars").alias("scraped_at"),
         F.col("text").alias("post_text"), F.lit(None).cast("string").alias("image_text"),
     ).withColumn("cancellation_target_code", F.when(F.col("is_cancellation"), F.col("event_code")))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from railtide import vocab
 from railtide.functions import cells, labels
 from railtide.operators import checks, ids, reshape, sheets
-from railtide.registry.base import query
+from railtide.registry.base import pick, query
+from railtide.session import cut_lineage
 
 PRIORITY_PERIODS = {
     "1-URGENT": vocab.AM_PEAK, "2-HIGH": vocab.PM_PEAK, "3-MEDIUM": vocab.EARLY_OFF_PEAK,
@@ -132,9 +133,8 @@ def event_grid(events):
         ))
     )
     plain = events.select(F.concat(F.lit("u"), F.col("user_id")).alias("file"), "event_id", row.alias("cells"))
-    return ids.number_within(plain, ["file"], ["event_id"], "row_no").select(
-        "file", (F.col("row_no") - 1).alias("row_idx"), "cells"
-    )
+    numbered = ids.number_within(plain, ["file"], ["event_id"], "row_no")
+    return cut_lineage(numbered.select("file", (F.col("row_no") - 1).alias("row_idx"), "cells"))
 
 
 SQL_SEGMENTS = """
@@ -347,7 +347,7 @@ SELECT o_orderkey, strftime(CASE WHEN strftime(o_orderdate, '%m-%d') = '02-29' T
 def service_dates(table, spark):
     day = F.col("o_orderdate")
     shapes = [F.date_format(day, p) for p in ("d-MMM", "MMMM d", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy")]
-    cell = F.get(F.array(*shapes), (F.col("o_orderkey") % 4).cast("int"))
+    cell = pick(F.col("o_orderkey") % 4, *shapes)
     return table("orders").select(
         "o_orderkey", F.date_format(labels.service_date(cell, F.lit(2023)), "yyyy-MM-dd").alias("service_date")
     )

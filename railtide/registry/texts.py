@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from railtide.functions import rules, text, urls
 from railtide.operators import dedupe, diagnostics, joins, match
-from railtide.registry.base import one_of, query
+from railtide.registry.base import one_of, pick, query
 from railtide.session import spread
 
 WORDS = {
@@ -118,8 +118,7 @@ UNION ALL
 SELECT 'c' || conv_id || '-' || turn, md5({CLEAN_SQL}), length({CLEAN_SQL}) FROM conversations
 """)
 def caption_clean(table, spark):
-    tail = F.get(F.array(*[F.lit(x) for x in (" 12 reactions and so on", " ★ See more...", "\nAll reactions: 5", " 3 shares")]),
-                 (F.col("doc_id") % 4).cast("int"))
+    tail = pick(F.col("doc_id") % 4, *[F.lit(x) for x in (" 12 reactions and so on", " ★ See more...", "\nAll reactions: 5", " 3 shares")])
     docs = spread(table("documents")).select(F.concat(F.lit("d"), "doc_id").alias("id"), F.concat("text", tail).alias("text"))
     turns = table("conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text")
     work = docs.unionByName(turns).select("id", text.clean_caption(F.col("text")).alias("c"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from railtide.functions import rules, times
 from railtide.operators import gapfill, nested, topk
-from railtide.registry.base import NOW, query
+from railtide.registry.base import NOW, pick, query
 from railtide.sources import feeds
 
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -95,7 +95,7 @@ SELECT user_id, strftime(arg_max(seen, event_id) FILTER (WHERE seen IS NOT NULL)
 """)
 def last_seen_text(table, spark):
     ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    shape = F.get(F.array(F.lit(""), F.concat(ts, F.lit("Z")), F.concat(ts, F.lit("+08:00")), F.lit("soon")), (F.col("event_id") % 4).cast("int"))
+    shape = pick(F.col("event_id") % 4, F.lit(""), F.concat(ts, F.lit("Z")), F.concat(ts, F.lit("+08:00")), F.lit("soon"))
     reports = table("events").select(
         "user_id", "event_id", shape.alias("fetched_at"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("observed_at"))
     seen = gapfill.last_seen(reports, "user_id", order="event_id")
@@ -154,8 +154,7 @@ SELECT o_orderkey, o_orderkey % 4 < 2 AND floor((epoch_us(TIMESTAMP '1998-06-15
 """)
 def past_event_skip(table, spark):
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    text = F.get(F.array(F.concat(F.lit("on "), day), F.concat(day, F.lit(" to 2020-01-01")), F.lit("soon"), F.lit("1998-02-31")),
-                 (F.col("o_orderkey") % 4).cast("int"))
+    text = pick(F.col("o_orderkey") % 4, F.concat(F.lit("on "), day), F.concat(day, F.lit(" to 2020-01-01")), F.lit("soon"), F.lit("1998-02-31"))
     return table("orders").select(
         "o_orderkey", times.is_past_event(text, F.lit("1998-06-15 12:00:00").cast("timestamp")).alias("is_past"))
 
@@ -167,10 +166,10 @@ SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%B %d,
 FROM orders
 """)
 def pretty_dates(table, spark):
-    pick = (F.col("o_orderkey") % 5).cast("int")
+    place = F.col("o_orderkey") % 5
     day, end = F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format(F.date_add(F.to_date("o_orderdate"), 3), "yyyy-MM-dd")
-    event = F.get(F.array(day, F.concat(day, F.lit(" to "), end), F.lit("N/A"), F.lit("2023-02-31"), F.lit("next week")), pick)
-    scraped = F.get(F.array(F.concat(day, F.lit("T14:05:09Z")), F.concat(day, F.lit("T14:05:09.123456+00:00")), F.lit(""), F.lit("later"), F.lit("later")), pick)
+    event = pick(place, day, F.concat(day, F.lit(" to "), end), F.lit("N/A"), F.lit("2023-02-31"), F.lit("next week"))
+    scraped = pick(place, F.concat(day, F.lit("T14:05:09Z")), F.concat(day, F.lit("T14:05:09.123456+00:00")), F.lit(""), F.lit("later"), F.lit("later"))
     return table("orders").select("o_orderkey", times.pretty_event_date(event).alias("event_date"), times.pretty_timestamp(scraped).alias("scraped_at"))
 
 
@@ -257,11 +256,11 @@ SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'img' || user_id WHEN 1 THEN 'thu
   CASE event_id % 3 WHEN 0 THEN 'own ' || event_id WHEN 1 THEN 'shared ' || event_id ELSE '' END AS caption FROM events
 """)
 def media_uris(table, spark):
-    pick, user = F.col("event_id") % 4, F.col("user_id").cast("string")
+    place, user = F.col("event_id") % 4, F.col("user_id").cast("string")
     item = F.struct(
-        F.when(pick == 0, F.struct(F.concat(F.lit("img"), user).alias("uri"))).alias("photo_image"),
-        F.when(pick == 1, F.concat(F.lit("thumb"), user)).alias("thumbnail"),
-        F.when(pick == 2, F.concat(F.lit("http://x/"), user)).when(pick == 3, F.lit("https://www.facebook.com/photo/1")).alias("url"),
+        F.when(place == 0, F.struct(F.concat(F.lit("img"), user).alias("uri"))).alias("photo_image"),
+        F.when(place == 1, F.concat(F.lit("thumb"), user)).alias("thumbnail"),
+        F.when(place == 2, F.concat(F.lit("http://x/"), user)).when(place == 3, F.lit("https://www.facebook.com/photo/1")).alias("url"),
         F.lit(None).cast("string").alias("ocrText"),
     )
     uris = nested.media_uris(F.array(item).cast(nested.MEDIA_TYPE))
@@ -291,9 +290,9 @@ def weather_payloads(table, spark):
         F.transform("d", lambda x: F.struct(day(x).alias("date"), x["hi"].cast("string").alias("maxtempC"))).alias("weather"),
     ))
     at = F.to_timestamp(F.concat(day(F.col("d")[0]), F.lit(" 05:30:00")))
-    read = packed.select(
-        "user_id", (F.col("user_id") % 2 == 0).alias("is_primary"),
-        F.when(F.col("user_id") % 2 == 0, feeds.primary_weather(primary)).otherwise(
-            feeds.secondary_weather(secondary, feeds.local_hour(at))).alias("w"))
-    return read.select("user_id", "is_primary", "w.current.temperature", "w.current.observed_at", F.explode("w.forecasts").alias("f")).select(
+    texts = packed.select(
+        "user_id", (F.col("user_id") % 2 == 0).alias("is_primary"), F.when(F.col("user_id") % 2 == 0, primary).alias("primary"),
+        F.when(F.col("user_id") % 2 != 0, secondary).alias("secondary"), feeds.local_hour(at).alias("hour"))
+    read = feeds.parse_weather(texts, ("primary", "secondary"), F.col("hour"))
+    return read.select("user_id", "is_primary", "weather.current.temperature", "weather.current.observed_at", F.explode("weather.forecasts").alias("f")).select(
         "user_id", "is_primary", "temperature", "observed_at", "f.forecast_date", "f.temp_max")

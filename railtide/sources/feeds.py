@@ -73,9 +73,7 @@ def _reading(temperature: Column, humidity: Column, rain: Column, wind: Column,
     )
 
 
-def primary_weather(payload: Column, days: int = vocab.FORECAST_DAYS) -> Column:
-    """(current, forecasts) of the struct-of-arrays payload, NULL when it cannot be read."""
-    p = F.from_json(payload, PRIMARY_SCHEMA)
+def _primary(p: Column, days: int) -> Column:
     now, daily = p["current"], p["daily"]
     take = F.least(F.lit(days), F.greatest(F.size(daily["time"]) - 1, F.lit(0)))
     readings = [
@@ -93,29 +91,42 @@ def primary_weather(payload: Column, days: int = vocab.FORECAST_DAYS) -> Column:
     )
 
 
-def secondary_weather(payload: Column, observed_at: Column, days: int = vocab.FORECAST_DAYS) -> Column:
-    """The other provider's payload in the same shape; humidity and wind come from the current reading."""
-    p = F.from_json(payload, SECONDARY_SCHEMA)
+def _secondary(p: Column, observed_at: Column, days: int) -> Column:
+    def number(c: Column) -> Column:
+        return c.try_cast("double")
+
     now = F.get(p["current_condition"], F.lit(0))
-    number = lambda c: c.try_cast("double")
+    humidity, wind = number(now["humidity"]), number(now["windspeedKmph"])
     forecasts = F.transform(
-        F.slice(F.coalesce(p["weather"], F.array().cast("array<struct<date:string,maxtempC:string,mintempC:string,hourly:array<struct<precipMM:string>>>>")), 2, days),
+        F.slice(p["weather"], 2, days),
         lambda d: F.struct(
             d["date"].alias("forecast_date"), number(d["maxtempC"]).alias("temp_max"), number(d["mintempC"]).alias("temp_min"),
             F.coalesce(number(F.get(d["hourly"], F.lit(0))["precipMM"]), F.lit(0.0)).alias("rainfall_sum_mm"),
-            number(now["humidity"]).alias("humidity_mean"), number(now["windspeedKmph"]).alias("wind_speed_max"),
+            humidity.alias("humidity_mean"), wind.alias("wind_speed_max"),
         ),
     )
     return F.when(
         now.isNotNull(),
         F.struct(
-            _reading(number(now["temp_C"]), number(now["humidity"]), number(now["precipMM"]),
-                     number(now["windspeedKmph"]), observed_at).alias("current"),
-            forecasts.alias("forecasts"),
+            _reading(number(now["temp_C"]), humidity, number(now["precipMM"]), wind, observed_at).alias("current"),
+            F.coalesce(forecasts, F.array().cast(FORECAST_TYPE)).alias("forecasts"),
         ),
     )
 
 
+def parse_weather(df: DataFrame, order: tuple[str, ...], observed_at: Column, days: int = vocab.FORECAST_DAYS,
+                  out: str = "weather") -> DataFrame:
+    """Add (current, forecasts) from the first payload column of ``order`` that can be read.
+
+    ``primary`` holds parallel arrays whose first entry is today.  ``secondary`` holds a list of
+    days; its humidity and wind come from the current reading.  Each text is parsed once.
+    """
+    schemas = {"primary": PRIMARY_SCHEMA, "secondary": SECONDARY_SCHEMA}
+    parsed = df.withColumns({f"_{name}": F.from_json(F.col(name), schemas[name]) for name in order})
+    shaped = {"primary": lambda: _primary(F.col("_primary"), days), "secondary": lambda: _secondary(F.col("_secondary"), observed_at, days)}
+    return parsed.withColumn(out, F.coalesce(*[shaped[name]() for name in order])).drop(*[f"_{n}" for n in order], *order)
+
+
 def local_hour(now: Column, offset_hours: int = 8) -> Column:
     """The full hour of ``now`` in local time, as ISO text with the fixed offset."""
     local = F.timestamp_seconds(F.unix_seconds(now) + offset_hours * 3600)
