@@ -85,20 +85,15 @@ def service_date(cell: Column, year: Column) -> Column:
     slashed = r"^(\d{1,2})/(\d{1,2})(?:/\d{2,4})?$"
 
     def part(pattern: str, group: int) -> Column:
-        return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+        return F.regexp_extract(text, pattern, group)
 
-    month = F.coalesce(
-        month_number(part(day_name, 2)), month_number(part(name_day, 1)),
-        part(iso, 1).try_cast("int"), part(slashed, 1).try_cast("int"),
+    month_day = (
+        F.when(text.rlike(day_name), F.concat(month_number(part(day_name, 2)), F.lit("-"), part(day_name, 1)))
+        .when(text.rlike(name_day), F.concat(month_number(part(name_day, 1)), F.lit("-"), part(name_day, 2)))
+        .when(text.rlike(iso), F.concat(part(iso, 1), F.lit("-"), part(iso, 2)))
+        .when(text.rlike(slashed), F.concat(part(slashed, 1), F.lit("-"), part(slashed, 2)))
     )
-    day = F.coalesce(part(day_name, 1), part(name_day, 2), part(iso, 2), part(slashed, 2)).try_cast("int")
-    return possible_date(year.cast("int"), month, day)
-
-
-def possible_date(year: Column, month: Column, day: Column) -> Column:
-    """Date of its parts; NULL for days that month does not have."""
-    first = F.when(month.between(1, 12), F.make_date(year, month, F.lit(1)))
-    return F.when(day.between(1, F.day(F.last_day(first))), F.date_add(first, day - 1))
+    return F.concat(year.cast("int"), F.lit("-"), month_day).try_cast("date")
 
 
 def acronym(name: Column, table: Mapping[str, str] = vocab.ACRONYMS) -> Column:

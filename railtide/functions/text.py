@@ -46,7 +46,8 @@ _TABLES = {False: _WithoutMarks(), True: _LetterHoles()}
 
 def _nfkd(values: pd.Series, holes: bool) -> pd.Series:
     table = _TABLES[holes]
-    return values.map(lambda v: unicodedata.normalize("NFKD", v).translate(table), na_action="ignore")
+    return values.map(
+        lambda v: v if v.isascii() else unicodedata.normalize("NFKD", v).translate(table), na_action="ignore")
 
 
 @F.pandas_udf(StringType())
@@ -59,10 +60,16 @@ def _nfkd_holes(values: pd.Series) -> pd.Series:
     return _nfkd(values, True)
 
 
-def normalize_unicode(text: Column, fill_holes: bool = False) -> Column:
-    """NFKD without nonspacing marks.  Pure ASCII text never crosses to Python."""
-    ascii_only = F.octet_length(text) == F.char_length(text)
+def normalize_unicode(text: Column, fill_holes: bool = False, guard: bool = True) -> Column:
+    """NFKD without nonspacing marks.
+
+    With ``guard`` pure ASCII text never crosses to Python; the guard names ``text`` several times,
+    so leave it out where ``text`` is itself costly to evaluate.
+    """
     udf = _nfkd_holes if fill_holes else _nfkd_plain
+    if not guard:
+        return udf(text)
+    ascii_only = F.octet_length(text) == F.char_length(text)
     return F.when(ascii_only, text).otherwise(udf(F.when(~ascii_only, text)))
 
 
@@ -156,7 +163,7 @@ def strip_boilerplate(text: Column, patterns: Sequence[str] = tuple(vocab.BOILER
 
 def clean_caption(text: Column) -> Column:
     """Boilerplate, then Unicode, then symbols, then the expand link, then white space."""
-    out = strip_symbols(normalize_unicode(strip_boilerplate(text)))
+    out = strip_symbols(normalize_unicode(strip_boilerplate(text), guard=False))
     return squash(F.regexp_replace(out, vocab.EXPAND_TAIL, ""))
 
 

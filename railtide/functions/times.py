@@ -45,7 +45,7 @@ def post_date(now: Column, ts: Column) -> Column:
 
 def is_past_event(event_date: Column, now: Column, days: int = vocab.PAST_EVENT_DAYS) -> Column:
     """True if the first date named in the text lies more than ``days`` whole days back."""
-    named = F.try_to_date(F.nullif(F.regexp_extract(event_date, ISO_DATE, 1), F.lit("")), "yyyy-MM-dd")
+    named = F.regexp_extract(event_date, ISO_DATE, 1).try_cast("date")
     whole = F.floor(days_between(now, named))
     return F.coalesce(whole > days, F.lit(False))
 
@@ -72,9 +72,8 @@ def pretty_event_date(text: Column) -> Column:
     """``2026-08-13`` -> ``August 13, 2026``; ranges on both ends; other text as it is."""
     value = strip(text)
     both = r"^(?i)(\d{4}-\d{2}-\d{2})\s+to\s+(\d{4}-\d{2}-\d{2})$"
-    single = F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(value, "yyyy-M-d"))
-    first = F.try_to_date(F.nullif(F.regexp_extract(value, both, 1), F.lit("")), "yyyy-MM-dd")
-    last = F.try_to_date(F.nullif(F.regexp_extract(value, both, 2), F.lit("")), "yyyy-MM-dd")
+    single = F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), value.try_cast("date"))
+    first, last = (F.regexp_extract(value, both, g).try_cast("date") for g in (1, 2))
     return (
         F.when(text.isNull() | (text == "") | F.lower(text).isin(*vocab.UNSPECIFIED_WORDS), F.lit("Not specified"))
         .when(single.isNotNull(), _pretty(single))
@@ -86,8 +85,8 @@ def pretty_event_date(text: Column) -> Column:
 def event_bounds(text: Column) -> tuple[Column, Column]:
     """First and last day named in an event date, as dates."""
     named = F.regexp_extract_all(text, F.lit(ISO_DATE), 1)
-    first = F.try_to_date(F.get(named, F.lit(0)), "yyyy-MM-dd")
-    last = F.try_to_date(F.get(named, F.size(named) - 1), "yyyy-MM-dd")
+    first = F.get(named, F.lit(0)).try_cast("date")
+    last = F.get(named, F.size(named) - 1).try_cast("date")
     return first, last
 
 

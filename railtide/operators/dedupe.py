@@ -23,9 +23,9 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column | str])
 
 
 def keep_first_or_blank(df: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
-    """First row of each key; rows without a key all stay."""
-    keyed = keep_first(df.where(F.col(key).isNotNull()), [key], order)
-    return keyed.unionByName(df.where(F.col(key).isNull()))
+    """First row of each key; rows without a key all stay, each in a group of its own."""
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return keep_first(df.withColumn("_own", own), [key, "_own"], order).drop("_own")
 
 
 def drop_held(df: DataFrame, held: DataFrame, key: str) -> DataFrame:
