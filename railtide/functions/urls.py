@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from railtide import vocab
-from railtide.functions.text import contains_any, strip
+from railtide.functions.text import strip
 
-PARTS = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
-
-
-def host(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, PARTS, 1))
-
-
-def path(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, PARTS, 2))
-
-
-def query(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, PARTS, 3))
+HOST = r"^[a-z][a-z0-9+.\-]*://[^/?#]*"
 
 
 def clean_url(url: Column) -> Column:
@@ -61,18 +51,16 @@ def is_safe_post_url(
 
     ``strict_host`` wants the host or a subdomain of it; otherwise the name may occur anywhere.
     """
-    cleaned = clean_url(url)
-    where, what, asked = host(cleaned), path(cleaned), query(cleaned)
-    if strict_host:
-        on_host = (where == allowed_host) | where.endswith("." + allowed_host)
-    else:
-        on_host = where.contains(allowed_host)
-    return (
-        on_host
-        & ~contains_any(what, blocked_paths)
-        & ~contains_any(asked, blocked_params)
-        & F.concat(what, F.lit("?"), asked).rlike(permalink)
-    )
+    cleaned = F.lower(clean_url(url))
+    name = re.escape(allowed_host)
+    exact = rf"^[a-z][a-z0-9+.\-]*://(?:[^/?#]*\.)?{name}(?:[/?#]|$)"
+    on_host = cleaned.rlike(exact if strict_host else rf"{HOST}{name}")
+    tests = [on_host, cleaned.rlike(rf"{HOST}[^#]*?(?:{permalink})")]
+    if blocked_paths:
+        tests.append(~cleaned.rlike(rf"{HOST}[^?#]*?(?:{'|'.join(map(re.escape, blocked_paths))})"))
+    if blocked_params:
+        tests.append(~cleaned.rlike(rf"{HOST}[^?#]*\?[^#]*?(?:{'|'.join(map(re.escape, blocked_params))})"))
+    return functools.reduce(lambda a, b: a & b, tests)
 
 
 def post_url(url: Column, top_url: Column) -> Column:

@@ -126,7 +126,7 @@ def read_sheet(spark: SparkSession, path: str | Sequence[str], required: Sequenc
     scan = spark.read.csv(path, header=True, inferSchema=False, ignoreLeadingWhiteSpace=True,
                           ignoreTrailingWhiteSpace=True)
     require_columns(scan, required)
-    return with_row_index(scan).na.drop("all", subset=scan.columns)
+    return with_row_index(scan).na.drop("all", subset=[f"`{c}`" for c in scan.columns])
 
 
 def read_tagged(spark: SparkSession, paths: Mapping[str, str | None], tag: str,
