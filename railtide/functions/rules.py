@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from railtide import vocab
 from railtide.functions.labels import lookup
-from railtide.functions.text import casefold, contains_any, normalize_unicode
+from railtide.functions.text import contains_any, fold
 
 DEFAULT_GROUPS = {
     "academic": vocab.CLASS_SUSPENSION + vocab.ACADEMIC_CALENDAR + vocab.ACADEMIC_EXTRA,
@@ -24,7 +24,7 @@ DEFAULT_GROUPS = {
 
 def folded(text: Column) -> Column:
     """The form every keyword test works on."""
-    return casefold(normalize_unicode(F.coalesce(text, F.lit(""))))
+    return fold(F.coalesce(text, F.lit("")))
 
 
 def gate_category(text: Column, groups: dict[str, Sequence[str]] = DEFAULT_GROUPS, mode: str = "substring") -> Column:

@@ -73,6 +73,20 @@ def normalize_unicode(text: Column, fill_holes: bool = False, guard: bool = True
     return F.when(ascii_only, text).otherwise(udf(F.when(~ascii_only, text)))
 
 
+@F.pandas_udf(StringType())
+def _fold(values: pd.Series) -> pd.Series:
+    return _nfkd(values, False).map(str.casefold, na_action="ignore")
+
+
+def fold(text: Column) -> Column:
+    """Normalised and case-folded text in one pass.
+
+    The result is a plain column of the plan, so any number of word tests read it without
+    evaluating it again.
+    """
+    return _fold(text)
+
+
 def casefold(text: Column) -> Column:
     """Case folding; exact for text that went through ``normalize_unicode``."""
     return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))

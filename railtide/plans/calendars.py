@@ -31,13 +31,14 @@ def find_calendars(items: DataFrame, pages: DataFrame, ledger: DataFrame | None,
     page = hint_small(schools.select("page_seq", "station", F.col("name").alias("source_name"), F.col("url").alias("page_url")))
     aged = placed.withColumn("age_days", times.age_days(now, F.col("posted_at"))).where(times.within_age(F.col("age_days"), max_age))
     posts = aged.join(page, "page_seq").withColumn("text", text.clean_caption(F.col("raw_text")))
-    folded = rules.folded(F.col("text"))
+    posts = posts.withColumn("_folded", rules.folded(F.col("text")))
+    folded = F.col("_folded")
     special = F.lower("page_url").contains(vocab.BRANCH_SOURCE_TOKEN) | F.lower("source_name").contains(vocab.BRANCH_SOURCE_TOKEN)
     concerned = rules.concerns_branch(folded, systemwide=vocab.CALENDAR_BRANCH_SYSTEMWIDE, exception=vocab.CALENDAR_BRANCH_EXCEPTION)
     posts = posts.where(~special | concerned).withColumns({
         "_valid": rules.is_calendar_release(folded), "_hint": rules.has_calendar_hint(folded),
     })
-    posts = cut_lineage(posts.where("_valid or _hint"))
+    posts = cut_lineage(posts.where("_valid or _hint").drop("_folded"))
     hinted = read_images(posts.where("not _valid"), "page_seq", ["page_seq", "item_seq"], extract, vocab.CALENDAR_EXTRACTIONS_PER_PAGE)
     passed = hinted.where(rules.is_calendar_release(rules.folded(text.joined_text(F.col("text"), F.col("image_text")))))
     found = posts.where("_valid").withColumn("image_text", F.lit("")).unionByName(passed)

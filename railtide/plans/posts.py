@@ -191,7 +191,8 @@ def run_posts(items: DataFrame, pages: DataFrame, stored: DataFrame | None, now:
     """One sweep.  Only rows that pass every test may claim a dedupe key, so dedupe comes last."""
     posts = cut_lineage(page_posts(items, pages, mode, now, extract, batch, unmatched))
     gated = gate_posts(posts, now, mode, stored, keep_params)
-    settled = cut_lineage(settle(classify(gated), now))
+    # the answers are written down: a replay must not ask an outside classifier again
+    settled = settle(cut_lineage(classify(gated)), now)
     if stored is not None:
         settled = dedupe.drop_held(settled, state.stored_keys(stored, keep_params), "event_key")
     ranked = cut_lineage(ids.number_rows(settled, ["page_seq", "item_seq"], "_ord"))
