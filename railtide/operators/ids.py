@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railtide.operators.joins import salted_left_join
+from railtide.operators.joins import unique_left_join
 from railtide.session import cut_lineage
 
 ROW_BITS = (1 << 33) - 1
@@ -45,7 +45,7 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column |
     """
     numbered = number_rows(df, [*group, *order], "_all", partitions)
     first = numbered.groupBy(*group).agg(F.min("_all").alias("_first"))
-    met = salted_left_join(numbered, first, group)
+    met = unique_left_join(numbered, first, group)
     return met.withColumn(out, F.col("_all") - F.col("_first") + 1).select(*df.columns, out)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railtide.session import SMALL_ROWS
+
 SALTS = 32
 
 
@@ -26,6 +28,17 @@ def salted_left_join(left: DataFrame, unique: DataFrame, on: Sequence[str], salt
     return tagged.join(spread, same, "left").select(*left.columns, *added)
 
 
+def unique_left_join(left: DataFrame, unique: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a side that is unique on ``on``: broadcast if counted small, salted otherwise."""
+    if unique.limit(SMALL_ROWS + 1).count() > SMALL_ROWS:
+        return salted_left_join(left, unique, on)
+    for key in on:
+        unique = unique.withColumnRenamed(key, f"_u_{key}")
+    added = [c for c in unique.columns if not c.startswith("_u_")]
+    same = [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in on]
+    return left.join(F.broadcast(unique), same, "left").select(*left.columns, *added)
+
+
 def anti(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """NOT EXISTS on equal keys.  A hot key on the left is split by the adaptive skew join."""
     return left.join(right.select(*on).distinct(), list(on), "left_anti")

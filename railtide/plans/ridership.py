@@ -40,26 +40,26 @@ def long_rows(grid: DataFrame, count_existing_totals: bool = False, per_file_tot
     year, month = F.col("year"), F.col("month")
     of_file = named.select("file", "year", "month").distinct()
 
-    daily_heads = heads.join(monthly_files, "file", "left_anti")
-    daily = sheets.period_rows(named, daily_heads, year)
-    monthly = sheets.monthly_rows(named.join(monthly_files, "file", "left_semi"), heads, year, month)
+    daily_heads, parsed = heads, sheets.period_rows(named, heads, year).withColumn("is_monthly", F.lit(False))
+    if not monthly_files.isEmpty():
+        # a monthly summary replaces the other blocks of its file
+        daily_heads = heads.join(monthly_files, "file", "left_anti")
+        monthly = sheets.monthly_rows(named.join(monthly_files, "file", "left_semi"), heads, year, month)
+        daily = sheets.period_rows(named, daily_heads, year).withColumn("is_monthly", F.lit(False))
+        parsed = daily.unionByName(monthly.withColumn("is_monthly", F.lit(True)))
     stem = _stem(F.col("file"))
-    daily, monthly = (
-        df.withColumns({"year": labels.file_year(stem), "month": labels.file_month(stem)}) for df in (daily, monthly))
-
-    problems = sheets.sheet_problems(daily_heads, daily.select("file", "reject_reason").unionByName(monthly.select("file", "reject_reason")))
-    empty = of_file.join(daily.select("file").unionByName(monthly.select("file")).distinct(), "file", "left_anti")
+    parsed = cut_lineage(parsed.withColumns({"year": labels.file_year(stem), "month": labels.file_month(stem)}))
+    problems = sheets.sheet_problems(daily_heads, parsed)
+    empty = of_file.join(parsed.select("file").distinct(), "file", "left_anti")
     problems = problems.unionByName(empty.select("file", F.lit("no_rows").alias("problem")))
 
     keys = ["file", "year", "month", "column_name"] if per_file_totals else ["year", "column_name"]
-    detail = daily.select("file", "year", "month", "row_idx", "date", "time_period", "column_name", "value")
+    detail = parsed.where("not is_monthly")
     totals = reshape.daily_totals(detail, keys, "date", "time_period", "value", count_existing_totals=count_existing_totals)
     totals = totals.withColumns({"row_idx": F.lit(-1).cast("bigint"), "is_detail": F.lit(False), "sort_month": F.month("date")})
     if not per_file_totals:
         totals = totals.withColumn("file", F.lit(""))
-    rows = detail.unionByName(monthly.select(*detail.columns)).withColumns({
-        "is_detail": F.lit(True), "sort_month": F.col("month").cast("int"),
-    })
+    rows = parsed.withColumns({"is_detail": F.lit(True), "sort_month": F.col("month").cast("int")})
     long = rows.select(*ROW_KEYS, "column_name", "value").unionByName(totals.select(*ROW_KEYS, "column_name", "value"))
     return long, problems
 
@@ -76,7 +76,6 @@ def parse_ridership(grid: DataFrame, strict: bool = True, columns: Sequence[str]
                     count_existing_totals: bool = False, per_file_totals: bool = True) -> Ridership:
     """All sheets of a grid.  With ``strict`` a year with any problem is left out as a whole."""
     long, problems = long_rows(grid, count_existing_totals, per_file_totals)
-    long = cut_lineage(long)
     of_file = grid.select("file").distinct().withColumn("year", labels.file_year(_stem(F.col("file"))))
     bad = cut_lineage(problems.join(of_file, "file").groupBy("year").agg(
         F.count("*").alias("problems"), F.array_sort(F.collect_set("problem")).alias("kinds")))

@@ -54,9 +54,9 @@ def hint_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly row work when the input has fewer partitions than cores.
+    """Use every core for costly row work on a table scan that has fewer partitions than cores.
 
-    A large input has more partitions than that and is left alone, without a shuffle.
+    A large table has more partitions than that and is left alone, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from railtide.functions import times
 from railtide.operators import dedupe, gapfill, merge
@@ -37,11 +39,14 @@ def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], che
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], order: str, path: str, checkpoint: str) -> StreamingQuery:
     """Append the rows that no stored row and no earlier kept row shares a key with.
 
-    A batch that is replayed after a failure finds its own rows stored and adds nothing.
+    ``order`` identifies a row: a batch that is replayed after a failure finds its own rows stored
+    and adds nothing.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = cut_lineage(batch)
         stored = tables.read_table(rows.sparkSession, path)
+        if stored is not None:
+            rows = merge.insert_if_absent(stored, rows, [order])
         held = [] if stored is None else [(k, stored) for k in keys]
         fresh = cut_lineage(dedupe.greedy_dedupe(rows, order, keys, held))
         tables.append_rows(fresh, path)
@@ -90,3 +95,26 @@ def sweep_counts(stream: DataFrame, at: str, length: str, step: str, by: Sequenc
     timed = stream.withWatermark(at, delay) if delay else stream
     return timed.groupBy(F.window(at, length, step), *by).agg(F.count("*").alias("n")).select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "n")
+
+
+def staleness_alerts(stream: DataFrame, key: str, at: str, minutes: float, delay: str) -> DataFrame:
+    """One row per key whenever its reports stop for longer than ``minutes`` of event time.
+
+    The state of a key is the time of its newest report; a new report moves the timer.
+    """
+    def watch(name: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            (seen,) = state.get
+            state.remove()
+            yield pd.DataFrame({key: [name[0]], "last_seen": [pd.Timestamp(seen, unit="us")]})
+            return
+        newest = max(int(b["_at"].max()) for b in batches)
+        newest = max(newest, state.get[0]) if state.exists else newest
+        state.update((newest,))
+        due = newest // 1000 + int(minutes * 60_000)
+        # a timer must lie past the watermark; a report that is late already is due at once
+        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+
+    timed = stream.withWatermark(at, delay).withColumn("_at", F.unix_micros(at))
+    return timed.groupBy(key).applyInPandasWithState(
+        watch, f"{key} string, last_seen timestamp", "newest bigint", "append", GroupStateTimeout.EventTimeTimeout)
