@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from railtide import vocab
-from railtide.functions.text import SPACE, strip
+from railtide.functions.text import SPACE, let, strip
 
 
 def lookup(key: Column, table: Mapping, default: Column | None = None) -> Column:
@@ -21,28 +22,31 @@ def lookup(key: Column, table: Mapping, default: Column | None = None) -> Column
 def identifier(cell: Column, aliases: Mapping[str, str] = vocab.STATION_ALIASES) -> Column:
     """``Betty Go-Belmonte`` -> ``betty_go_belmonte``, then the alias table."""
     name = F.btrim(F.regexp_replace(F.lower(cell), "[^a-z0-9]+", "_"), F.lit("_"))
-    return lookup(name, aliases, name) if aliases else name
+    return let(name, lambda n: lookup(n, aliases, n)) if aliases else name
 
 
-def period_label(cell: Column) -> Column:
-    """Service period named somewhere in a cell; the tests run in order and look for substrings."""
-    text = F.lower(F.regexp_replace(strip(cell), rf"{SPACE}+", " "))
+def _fuzzy_period(text: Column) -> Column:
     out = F.lit(None).cast("string")
     for label, tokens in reversed(vocab.FUZZY_PERIODS):
-        hit = text.contains(tokens[0])
-        for token in tokens[1:]:
-            hit = hit & text.contains(token)
+        hit = functools.reduce(lambda a, b: a & b, [text.contains(token) for token in tokens])
         out = F.when(hit, F.lit(label)).otherwise(out)
     return out
 
 
+def period_label(cell: Column) -> Column:
+    """Service period named somewhere in a cell; the tests run in order and look for substrings."""
+    return let(F.lower(F.regexp_replace(strip(cell), rf"{SPACE}+", " ")), _fuzzy_period)
+
+
 def row_period_label(cell: Column) -> Column:
     """Service period of a summary row: exact spellings, clock ranges, then ``period_label``."""
-    text = F.lower(F.regexp_replace(strip(cell), rf"{SPACE}+", ""))
-    out = F.when(text.rlike(r"^\d{1,2}:\d{2}-\d{1,2}:\d{2}$"), strip(cell)).otherwise(period_label(cell))
-    for label, spellings in reversed(vocab.EXACT_PERIODS):
-        out = F.when(text.isin(*spellings), F.lit(label)).otherwise(out)
-    return out
+    def chain(text: Column) -> Column:
+        out = F.when(text.rlike(r"^\d{1,2}:\d{2}-\d{1,2}:\d{2}$"), strip(cell)).otherwise(period_label(cell))
+        for label, spellings in reversed(vocab.EXACT_PERIODS):
+            out = F.when(text.isin(*spellings), F.lit(label)).otherwise(out)
+        return out
+
+    return let(F.lower(F.regexp_replace(strip(cell), rf"{SPACE}+", "")), chain)
 
 
 def period_rank(label: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,6 +19,11 @@ NON_SPACE = SPACE.replace("[", "[^", 1)
 SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 class _WithoutMarks(dict):
     """Translation table that drops nonspacing marks, filled on first use of a character."""
 
@@ -165,7 +170,8 @@ def keyword_hits(text: Column, words: Sequence[str]) -> Column:
 
 
 def strip_symbols(text: Column) -> Column:
-    return F.regexp_replace(text, vocab.SYMBOL_CLASS, "")
+    # every symbol lies past U+200C, which settles most characters with one comparison
+    return F.regexp_replace(text, rf"[\x{{200D}}-\x{{10FFFF}}&&{vocab.SYMBOL_CLASS}]+", "")
 
 
 def strip_boilerplate(text: Column, patterns: Sequence[str] = tuple(vocab.BOILERPLATE)) -> Column:
@@ -188,20 +194,31 @@ def split_lines(text: Column) -> Column:
 def distinct_lines(lines: Column) -> Column:
     """Case-insensitive dedupe of an array of lines that keeps the first spelling and the order.
 
-    Sorting by folded text groups repeats, so a text of n lines costs n log n, not n squared.
+    A hash set tells whether any line repeats.  If so, sorting by folded text groups the repeats,
+    so a text of n lines costs n log n, not n squared.
     """
+    def no_repeats(all_lines: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(all_lines, lambda x: F.lower(x)))) == F.size(all_lines)
+
+    return let(lines, lambda all_lines: F.when(no_repeats(all_lines), all_lines).otherwise(_first_spellings(all_lines)))
+
+
+def _first_spellings(lines: Column) -> Column:
     tagged = F.array_sort(
         F.transform(lines, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x")))
     )
-    before = F.concat(
-        F.array(F.lit(None).cast("struct<k:string,i:int,x:string>")),
-        F.slice(tagged, 1, F.greatest(F.size(tagged) - 1, F.lit(0))),
-    )
-    firsts = F.zip_with(
-        tagged, before,
-        lambda s, b: F.when(s.isNotNull() & (b.isNull() | (s["k"] != b["k"])), F.struct(s["i"].alias("i"), s["x"].alias("x"))),
-    )
-    return F.transform(F.array_sort(F.array_compact(firsts)), lambda s: s["x"])
+
+    def firsts(all_tagged: Column) -> Column:
+        before = F.concat(
+            F.array(F.lit(None).cast("struct<k:string,i:int,x:string>")),
+            F.slice(all_tagged, 1, F.size(all_tagged) - 1),
+        )
+        return F.zip_with(
+            all_tagged, before,
+            lambda s, b: F.when(b.isNull() | (s["k"] != b["k"]), F.struct(s["i"].alias("i"), s["x"].alias("x"))),
+        )
+
+    return F.transform(F.array_sort(F.array_compact(let(tagged, firsts))), lambda s: s["x"])
 
 
 def clean_ocr_lines(text: Column) -> Column:
@@ -215,7 +232,8 @@ def clean_ocr_lines(text: Column) -> Column:
     return F.filter(
         kept,
         lambda x: ~F.when(
-            _any_of([F.lower(x).contains(F.lit(mark)) for mark in vocab.FOOTER_MARKS]), x.rlike(vocab.FOOTER_LINE)
+            let(F.lower(x), lambda low: _any_of([low.contains(F.lit(mark)) for mark in vocab.FOOTER_MARKS])),
+            x.rlike(vocab.FOOTER_LINE),
         ).otherwise(False),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from railtide import vocab
 from railtide.functions import cells, labels
-from railtide.functions.text import contains_any, strip
+from railtide.functions.text import contains_any, let, strip
 from railtide.operators.scan import CHUNK, carry_forward, largest_group
 from railtide.session import cut_lineage
 
@@ -23,7 +23,8 @@ def first_label(cell_array: Column) -> Column:
     """First service period named in a row, left to right."""
     found = F.get(F.filter(F.transform(cell_array, labels.period_label), lambda x: x.isNotNull()), F.lit(0))
     marks = [tokens[-1] for _, tokens in vocab.FUZZY_PERIODS]
-    return F.when(contains_any(F.lower(F.array_join(cell_array, " ")), marks), found)
+    worth_a_look = let(F.lower(F.array_join(cell_array, " ")), lambda row: contains_any(row, marks))
+    return F.when(worth_a_look, found)
 
 
 def marks(grid: DataFrame) -> DataFrame:

@@ -120,7 +120,7 @@ SELECT 'c' || conv_id || '-' || turn, md5({CLEAN_SQL}), length({CLEAN_SQL}) FROM
 def caption_clean(table, spark):
     tail = pick(F.col("doc_id") % 4, *[F.lit(x) for x in (" 12 reactions and so on", " ★ See more...", "\nAll reactions: 5", " 3 shares")])
     docs = spread(table("documents")).select(F.concat(F.lit("d"), "doc_id").alias("id"), F.concat("text", tail).alias("text"))
-    turns = table("conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text")
+    turns = spread(table("conversations")).select(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"), "text")
     work = docs.unionByName(turns).select("id", text.clean_caption(F.col("text")).alias("c"))
     return work.select("id", F.md5("c").alias("cleaned_md5"), F.length("c").cast("bigint").alias("cleaned_chars"))
 

@@ -344,7 +344,7 @@ SYMBOL_CLASS = (
     r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}"
     r"\x{2702}-\x{27B0}\x{24C2}-\x{24E9}\x{1F100}-\x{1F251}\x{1F900}-\x{1F9FF}"
     r"\x{1FA00}-\x{1FA6F}\x{1FA70}-\x{1FAFF}\x{2600}-\x{26FF}\x{FE00}-\x{FE0F}"
-    r"\x{200D}\x{2B50}\x{23F0}-\x{23FA}\x{203C}-\x{3299}]+"
+    r"\x{200D}\x{2B50}\x{23F0}-\x{23FA}\x{203C}-\x{3299}]"
 )
 FOOTER_LINE = (
     r"(?iU)(#\w+|@\w+|www\.|https?://|\.edu\.ph|\.gov\.ph|\.com\.ph|\.facebook\."
