@@ -53,6 +53,17 @@ def cost_estimate(pages: DataFrame, limits: dict[str, int], tier: str = "tier",
     return pages.agg(posts.alias("expected_posts"), (posts * F.lit(unit_cost)).alias("estimated_cost"))
 
 
+def cost_table(pages: DataFrame, modes: Sequence[str], tier: str = "tier",
+               unit_cost: float = vocab.COST_PER_POST) -> DataFrame:
+    """Expected posts and cost of each mode, from one pass over the pages."""
+    sums = [F.sum(tier_limit(F.col(tier), sweep_limits(m)[0])).cast("bigint").alias(f"m{i}") for i, m in enumerate(modes)]
+    rows = F.array(*[
+        F.struct(F.lit(m).alias("mode"), F.col(f"m{i}").alias("expected_posts"), (F.col(f"m{i}") * F.lit(unit_cost)).alias("estimated_cost"))
+        for i, m in enumerate(modes)
+    ])
+    return pages.agg(*sums).select(F.inline(rows))
+
+
 def pages_by_limit(pages: DataFrame, limits: dict[str, int], tier: str = "tier", url: str = "url") -> DataFrame:
     """How many pages, and from which to which, share a limit (one request batch per limit)."""
     return (

@@ -127,7 +127,7 @@ def page_posts(items: DataFrame, pages: DataFrame, mode: str, now: Column, extra
 
 
 def gate_posts(posts: DataFrame, now: Column, mode: str, stored: DataFrame | None, keep_params=None,
-               branch_token: str = vocab.BRANCH_SOURCE_TOKEN) -> DataFrame:
+               branch_token: str = vocab.BRANCH_SOURCE_TOKEN, groups=rules.DEFAULT_GROUPS) -> DataFrame:
     """Posts that pass age, stored keys, branch and keyword tests; adds the dedupe keys."""
     _, max_age = topk.sweep_limits(mode)
     url_key = urls.url_key(F.col("source_url")) if keep_params is None else urls.url_key(F.col("source_url"), keep_params)
@@ -137,7 +137,7 @@ def gate_posts(posts: DataFrame, now: Column, mode: str, stored: DataFrame | Non
     }).where(times.within_age(F.col("age_days"), max_age))
     special = F.lower("page_url").contains(branch_token) | F.lower("source_name").contains(branch_token)
     keyed = keyed.where(~special | rules.concerns_branch(text.casefold(joined)))
-    gated = keyed.withColumn("_gate", rules.gate_category(F.col("_folded"))).where("_gate is not null")
+    gated = keyed.withColumn("_gate", rules.gate_category(F.col("_folded"), groups)).where("_gate is not null")
     if stored is not None:
         keys = state.stored_keys(stored, keep_params)
         for key in ("url_key", "text_key"):
@@ -187,10 +187,11 @@ def shape_events(events: DataFrame, now: Column) -> DataFrame:
 
 def run_posts(items: DataFrame, pages: DataFrame, stored: DataFrame | None, now: Column,
               mode: str = vocab.DEFAULT_MODE, batch: str = "all", classify: Classifier = rule_classifier,
-              extract: Extractor | None = None, unmatched: str = "quarantine", keep_params=None) -> PostRun:
+              extract: Extractor | None = None, unmatched: str = "quarantine", keep_params=None,
+              groups=rules.DEFAULT_GROUPS) -> PostRun:
     """One sweep.  Only rows that pass every test may claim a dedupe key, so dedupe comes last."""
     posts = cut_lineage(page_posts(items, pages, mode, now, extract, batch, unmatched))
-    gated = gate_posts(posts, now, mode, stored, keep_params)
+    gated = gate_posts(posts, now, mode, stored, keep_params, groups=groups)
     # the answers are written down: a replay must not ask an outside classifier again
     settled = settle(cut_lineage(classify(gated)), now)
     if stored is not None:

@@ -7,8 +7,10 @@ import tempfile
 from pyspark.sql import functions as F
 
 from railtide.functions import rules
-from railtide.operators import tagging
-from railtide.registry.base import one_of, query
+from railtide.plans import posts
+from railtide.operators import nested, tagging
+from railtide.registry.base import NOW, one_of, query
+from railtide.registry.texts import CLEAN_SQL, TEXT_KEY, WORDS
 from railtide.session import spread
 from railtide.streaming import events as streams
 
@@ -148,3 +150,62 @@ SELECT event_type, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS
 def sweep_windows(table, spark):
     out = streams.sweep_counts(table("events"), "ts", "24 hours", "8 hours", ["event_type"])
     return out.select("event_type", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n")
+
+
+SWEEP_KEY = TEXT_KEY.replace("text,", "c || ' ',")
+
+
+@query("posts_sweep", f"""
+WITH RECURSIVE pages AS (
+  SELECT source, row_number() OVER (ORDER BY source) - 1 AS seq, 'https://www.facebook.com/' || source AS url FROM documents GROUP BY 1),
+items AS (
+  SELECT d.doc_id, d.text, 'https://www.facebook.com/' || d.source AS asked, TIMESTAMP '{NOW}' - to_hours(CAST(d.doc_id % 30 AS BIGINT)) AS posted FROM documents d),
+placed AS (
+  SELECT i.*, (SELECT min(p.seq) FROM pages p WHERE contains(i.asked, p.url) OR contains(p.url, i.asked)) AS seq FROM items i
+  WHERE i.doc_id % 30 <= 24),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY posted DESC, doc_id) AS rn FROM placed),
+newest AS (SELECT * FROM ranked WHERE rn <= CASE seq % 3 WHEN 0 THEN 8 WHEN 1 THEN 5 ELSE 3 END),
+cleaned AS (SELECT doc_id, seq, {CLEAN_SQL} AS c FROM newest),
+once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq, c ORDER BY doc_id) AS n FROM cleaned WHERE c <> '') WHERE n = 1),
+gated AS (
+  SELECT *, CASE WHEN {one_of(WORDS['always_lgu'], 'lower(c)')} THEN 'lgu' WHEN {one_of(WORDS['academic'], 'lower(c)')} AND {one_of(WORDS['context'], 'lower(c)')} THEN 'academic'
+    WHEN NOT {one_of(WORDS['academic'], 'lower(c)')} AND {one_of(WORDS['lgu'], 'lower(c)')} THEN 'lgu' END AS gate FROM once),
+k AS (
+  SELECT row_number() OVER (ORDER BY seq, doc_id) AS n, doc_id, CASE WHEN seq % 2 = 0 THEN 'academic' ELSE 'lgu' END AS category,
+    hash('t', {SWEEP_KEY}) AS a, CASE WHEN trim(substr(c, 1, 12)) <> '' THEN hash('e', seq, lower(trim(substr(c, 1, 12)))) END AS b
+  FROM gated WHERE gate IS NOT NULL),
+walk(n, kept, held) AS (
+  SELECT CAST(0 AS BIGINT), false, CAST([] AS UBIGINT[])
+  UNION ALL
+  SELECT k.n, NOT list_has_any(w.held, [k.a, k.b]),
+    CASE WHEN list_has_any(w.held, [k.a, k.b]) THEN w.held ELSE list_concat(w.held, list_filter([k.a, k.b], lambda x: x IS NOT NULL)) END
+  FROM walk w JOIN k ON k.n = w.n + 1)
+SELECT 'external_' || CASE category WHEN 'academic' THEN 'acad' ELSE 'lgu' END || '_' || printf('%04d', row_number() OVER (PARTITION BY category ORDER BY k.n)) AS id,
+  category, k.doc_id FROM walk w JOIN k ON k.n = w.n WHERE w.kept
+""".strip())
+def posts_sweep(table, spark):
+    """The posts job over documents: sources are pages, texts are captions."""
+    none = F.lit(None).cast("string")
+    docs = table("documents")
+    base = F.lit("https://www.facebook.com/")
+    names = docs.select("source").distinct()
+    # pages are numbered by name; a page table is as small as the number of sources
+    numbered = names.agg(F.array_sort(F.collect_list("source")).alias("s")).select(F.posexplode("s").alias("seq", "source"))
+    seq = F.col("seq")
+    pages = numbered.select(
+        seq.cast("bigint").alias("page_seq"), F.lit("b").alias("batch"), F.lit("st").alias("station"), F.col("source").alias("name"),
+        F.when(seq % 2 == 0, "academic").otherwise("lgu").alias("source_type"),
+        F.when(seq % 3 == 0, "lgu").when(seq % 3 == 1, "major").otherwise("quiet").alias("tier"), F.concat(base, "source").alias("url"))
+    at = F.lit(NOW).cast("timestamp")
+    items = docs.select(
+        F.concat(base, "source").alias("asked_url"), none.alias("page_name"), F.concat(base, "source", F.lit("/posts/"), "doc_id").alias("source_url"),
+        F.timestamp_seconds(F.unix_seconds(at) - (F.col("doc_id") % 30) * 3600).alias("posted_at"), F.col("text").alias("raw_text"),
+        F.array().cast(nested.MEDIA_TYPE).alias("media"), F.col("doc_id").alias("item_seq"))
+
+    def classify(gated):
+        return gated.withColumns({
+            "answer_category": F.col("_gate"), "event_name": F.substring("text", 1, 12), "event_date": none, "event_code": none,
+            "is_cancellation": F.lit(False), "cancellation_target_code": none, "answer_failed": F.lit(False)})
+
+    run = posts.run_posts(items, pages, None, at, mode="strong", classify=classify, groups=WORDS)
+    return run.events.select("id", "category", F.element_at(F.split("source_url", "/"), -1).cast("bigint").alias("doc_id"))

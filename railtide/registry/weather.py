@@ -197,12 +197,8 @@ SELECT mode, CAST(sum(n) AS BIGINT) AS expected_posts, CAST(sum(n) * 0.005 AS DO
 def sweep_costs(table, spark):
     kinds = F.array(*[F.lit(t) for t in ("lgu", "major", "quiet")])
     pages = table("supplier").select(F.get(kinds, (F.col("s_suppkey") % 3).cast("int")).alias("tier"))
-    out = None
-    for mode in ("strong", "medium", "light", "unknown"):
-        row = topk.cost_estimate(pages, topk.sweep_limits(mode)[0]).select(
-            F.lit(mode).alias("mode"), "expected_posts", F.round("estimated_cost", 6).alias("estimated_cost"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    out = topk.cost_table(pages, ["strong", "medium", "light", "unknown"])
+    return out.withColumn("estimated_cost", F.round("estimated_cost", 6))
 
 
 @query("pages_by_limit", """
