@@ -196,7 +196,7 @@ def run_posts(items: DataFrame, pages: DataFrame, stored: DataFrame | None, now:
     settled = settle(cut_lineage(classify(gated)), now)
     if stored is not None:
         settled = dedupe.drop_held(settled, state.stored_keys(stored, keep_params), "event_key")
-    ranked = cut_lineage(ids.number_rows(settled, ["page_seq", "item_seq"], "_ord"))
+    ranked = ids.number_rows(settled, ["page_seq", "item_seq"], "_ord")
     kept = dedupe.greedy_dedupe(ranked, "_ord", ["url_key", "text_key", "event_key"])
     events = cut_lineage(shape_events(number_events(kept, stored, "_ord"), now))
     stages = {"posts": posts, "candidates": ranked, "saved": events}
