@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railtide.llm import quality, simhash, tokens
+import corpus_pipeline
+
+from railtide.llm import decontaminate, linkgraph, lmscore, mixing, quality, repeats, shards, simhash, spotsigs, tokens
 from railtide.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +27,14 @@ def register(name: str, build, *tables: str, sql: str | None = None) -> None:
         SQL[name] = sql
 
 
+register("op1_spotsigs", spotsigs.op1, "documents", sql=spotsigs.OP1_SQL)
+register("op2_decontaminate", decontaminate.op2, "documents", "benchmark", sql=decontaminate.OP2_SQL)
+register("op3_suffix_dedup", repeats.op3, "documents")
+register("op4_shards", shards.op4, "documents")
 register("op5_quality", quality.op5, "documents", "labels")
+register("op6_lm_score", lmscore.op6, "documents", "labels")
+register("op7_mixing", mixing.op7, "documents", sql=mixing.OP7_SQL)
+register("op8_url_filter", linkgraph.op8, "pages", sql=linkgraph.OP8_SQL)
 register("op9_token_counts", tokens.op9, "documents")
 register("op10_simhash", simhash.op10, "documents")
+QUERIES["pipeline"] = corpus_pipeline.run

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 from collections import Counter
 
 import pandas as pd
@@ -17,11 +18,36 @@ TABLE_ENTRIES = 32_768
 # rows the table is fitted on; it is a speed-up only, counts never depend on it
 TABLE_ROWS = 4_096
 # misses a worker remembers before it starts anew
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 
 # split pattern of byte-level BPE vocabularies (fixed value)
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# texts below this code point take the standard library's faster matcher
+PLAIN_BELOW = 0x540
+
+
+def _plain_split() -> str:
+    """SPLIT for characters below PLAIN_BELOW, with its classes spelt out."""
+    def members(kind: str) -> str:
+        return "".join(f"\\u{c:04x}" for c in range(PLAIN_BELOW) if regex.match(kind, chr(c)))
+
+    letters, numbers, spaces = members(r"\p{L}"), members(r"\p{N}"), members(r"\s")
+    return (
+        SPLIT.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]")
+        .replace(r"\p{N}", f"[{numbers}]").replace(r"\s", f"[{spaces}]").replace(r"\S", f"[^{spaces}]")
+    )
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write visible bytes as themselves and the others as letters from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
+
 _workers: dict[str, "Counts"] = {}
 
 
@@ -35,7 +61,9 @@ class Counts(dict):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(public_tokenizers.path(name))
-        self.pieces = regex.compile(SPLIT).findall
+        self.any_pieces = regex.compile(SPLIT).findall
+        self.plain_pieces = re.compile(_plain_split()).findall
+        self.beyond = re.compile(f"[{chr(PLAIN_BELOW)}-{chr(0x10FFFF)}]").search
         self.frequent: dict[str, int] = {}
         added = self.library.get_added_tokens_decoder().values()
         # plain added tokens cut a text; with any other kind or another splitter the library does it all
@@ -67,6 +95,9 @@ class Counts(dict):
                 ranges.append(f"\\U{block:08x}-\\U{block + 63:08x}")
         return f"[{''.join(ranges)}]" if ranges else "(?!)"
 
+    def pieces(self, text: str) -> list[str]:
+        return self.any_pieces(text) if self.beyond(text) else self.plain_pieces(text)
+
     def whole(self, text: str) -> int:
         return len(self.library.encode(text, add_special_tokens=False).ids)
 
@@ -74,11 +105,12 @@ class Counts(dict):
         if len(self) >= len(self.frequent) + CACHE_ENTRIES:
             self.clear()
             self.update(self.frequent)
-        n = self[piece] = self.whole(piece)
+        letters = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_LETTERS)
+        n = self[piece] = len(self.library.model.tokenize(letters))
         return n
 
     def count(self, text: str) -> int:
-        if not self.plain or self.odd(text):
+        if not self.plain or self.beyond(text) and self.odd(text):
             return self.whole(text)
         parts = self.cut(text)
         of = self.__getitem__
@@ -103,7 +135,7 @@ def frequent_pieces(docs: DataFrame, text: str, tokenizer: str, rows: int = TABL
                     seen.update(counts.pieces(part))
         top = seen.most_common(entries)
         yield pd.DataFrame({"piece": [p for p, _ in top], "seen": [n for _, n in top],
-                            "tokens": [counts.whole(p) for p, _ in top]})
+                            "tokens": [counts[p] for p, _ in top]})
 
     sample = docs.select(F.col(text).alias("text")).where("text is not null").limit(rows)
     found = (
