@@ -341,9 +341,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     )
     first = cut_lineage(_by_document(dealt.mapInArrow(_resolve, FOUND_SQL)))
     asked = first.where(F.size("asked") > 0).select(F.col("ident").alias("_ident"), "asked")
-    packed_rows = rows.mapInArrow(_pack, "ident bigint, key bigint, packed binary")
+    packed = "ident bigint, key bigint, packed binary"
+    once = places.select("ident", F.col("ident").alias("key"), "data").mapInArrow(_pack, packed)
     cuts = (
-        packed_rows.join(asked, F.col("ident") == F.col("_ident")).select("ident", "packed", "asked")
+        once.join(asked, F.col("ident") == F.col("_ident")).select("ident", "packed", "asked")
         .mapInArrow(_emit_cuts, "v bigint, ident bigint, start int, bytes binary")
     )
     often = asked.select(F.explode("asked.v").alias("often")).groupBy("often").count().where(F.col("count") > MOST_STRETCHES)
@@ -363,7 +364,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     second = cut_lineage(_by_document(late)).select(F.col("ident").alias("_late"), F.col("gone").alias("late"))
     early = first.select(F.col("ident").alias("_early"), F.col("gone").alias("early"))
     spans = early.join(second, F.col("_early") == F.col("_late"), "left").select("_early", "early", "late")
-    met = packed_rows.join(spans, F.col("ident") == F.col("_early"), "left").select("key", "packed", "early", "late")
+    met = rows.mapInArrow(_pack, packed).join(spans, F.col("ident") == F.col("_early"), "left").select("key", "packed", "early", "late")
     kept = met.mapInArrow(_keep, "key bigint, n_bytes bigint, spans array<struct<start:int,stop:int>>, kept binary")
     return kept.withColumnRenamed("key", key)
 
