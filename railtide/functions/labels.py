@@ -77,8 +77,8 @@ def file_year(stem: Column) -> Column:
     return F.regexp_extract(stem, FILE_PERIOD, 2).try_cast("int")
 
 
-def service_date(cell: Column, year: Column) -> Column:
-    """Day and month of a cell in the sheet's year; NULL for anything else, 29 Feb included.
+def _month_day(cell: Column) -> Column:
+    """``month-day`` of a cell that has the shape of a date, else NULL.
 
     Reads ``1-Jan``, ``January 5``, ``2023-01-05 00:00:00`` and ``1/15/2023``.
     """
@@ -91,13 +91,22 @@ def service_date(cell: Column, year: Column) -> Column:
     def part(pattern: str, group: int) -> Column:
         return F.regexp_extract(text, pattern, group)
 
-    month_day = (
+    return (
         F.when(text.rlike(day_name), F.concat(month_number(part(day_name, 2)), F.lit("-"), part(day_name, 1)))
         .when(text.rlike(name_day), F.concat(month_number(part(name_day, 1)), F.lit("-"), part(name_day, 2)))
         .when(text.rlike(iso), F.concat(part(iso, 1), F.lit("-"), part(iso, 2)))
         .when(text.rlike(slashed), F.concat(part(slashed, 1), F.lit("-"), part(slashed, 2)))
     )
-    return F.concat(year.cast("int"), F.lit("-"), month_day).try_cast("date")
+
+
+def service_date(cell: Column, year: Column) -> Column:
+    """Day and month of a cell in the sheet's year; NULL for anything else, 29 Feb included."""
+    return F.concat(year.cast("int"), F.lit("-"), _month_day(cell)).try_cast("date")
+
+
+def service_date_reject(cell: Column, year: Column) -> Column:
+    """``bad_date`` for a cell that has the shape of a date but is none in that year."""
+    return F.when(_month_day(cell).isNotNull() & service_date(cell, year).isNull(), F.lit("bad_date"))
 
 
 def acronym(name: Column, table: Mapping[str, str] = vocab.ACRONYMS) -> Column:

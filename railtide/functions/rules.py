@@ -144,9 +144,14 @@ def event_code(text: Column, rules=vocab.EVENT_CODE_RULES) -> Column:
     return out
 
 
-def is_cancellation(text: Column, code: Column, words=vocab.CANCEL_WORDS) -> Column:
-    """True when something is lifted or called off; a new suspension is not a cancellation."""
-    return code.isNotNull() & ~code.isin(*vocab.NEVER_CANCELS) & contains_any(text, words)
+def is_cancellation(text: Column, code: Column, words=vocab.CANCEL_WORDS,
+                    lift_words=vocab.SUSPENSION_LIFT_WORDS) -> Column:
+    """True when something is lifted or called off; a new suspension is not a cancellation.
+
+    Of a suspension only ``lift_words`` count: cancelled classes are the suspension itself.
+    """
+    said = F.when(code.isin(*vocab.SUSPENDING_CODES), contains_any(text, lift_words)).otherwise(contains_any(text, words))
+    return code.isNotNull() & ~code.isin(*vocab.NEVER_CANCELS) & said
 
 
 def cancellation_target(code: Column, cancels: Column) -> Column:

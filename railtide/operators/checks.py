@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railtide.operators.joins import salted_left_join
+from railtide.operators.joins import unique_left_join
 
 
 def broken_rules(rules: Mapping[str, Column]) -> Column:
@@ -38,4 +38,4 @@ def group_status(df: DataFrame, group: Sequence[str], rejects: str = "rejects")
 def whole_groups(df: DataFrame, group: Sequence[str], rejects: str = "rejects") -> DataFrame:
     """Rows of the groups that hold no bad row at all."""
     status = group_status(df, group, rejects).select(*group, "accepted")
-    return salted_left_join(df, status, group).where("accepted").drop("accepted", rejects)
+    return unique_left_join(df, status, group).where("accepted").drop("accepted", rejects)

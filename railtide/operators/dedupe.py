@@ -5,16 +5,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railtide.session import cut_lineage
 
-# undecided rows that one task may finish in order; the size is counted first
-TAIL_ROWS = 20_000
-SALTS = 32
-
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row of each key.  The rank limit of one is applied before the shuffle as well."""
@@ -34,45 +29,48 @@ def drop_held(df: DataFrame, held: DataFrame, key: str) -> DataFrame:
     return df.join(known, df[key] == known["_known"], "left_anti")
 
 
-def _salted_anti(edges: DataFrame, taken: DataFrame) -> DataFrame:
-    """Ids of edges whose key is taken.  Edges are salted, so that a hot key spreads over tasks."""
-    salt = F.pmod(F.col("ord"), F.lit(SALTS))
-    spread = taken.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])))
-    return (
-        edges.withColumn("_salt", salt.cast("bigint"))
-        .join(spread, ["slot", "key", "_salt"], "left_semi")
-        .select("ord").distinct()
-    )
-
+def _settle_chains(single: DataFrame, winners: DataFrame) -> DataFrame:
+    """Rows of ``single`` (ord, before) that are kept, where each is kept exactly if ``before`` is not.
 
-def _finish_in_order(batches):
-    """Sequential pass over at most TAIL_ROWS rows, given as (ord, keys)."""
-    frame = pd.concat(list(batches), ignore_index=True)
-    taken, kept = set(), []
-    for order, keys in frame.sort_values("ord").itertuples(index=False):
-        keys = [tuple(k.values()) for k in keys]
-        if not any(k in taken for k in keys):
-            taken.update(keys)
-            kept.append(order)
-    yield pd.DataFrame({"ord": pd.Series(kept, dtype="int64")})
+    Pointer doubling: after k steps a row knows the row 2 ** k places before it and whether their
+    fates differ, so a chain of n rows takes log2(n) steps.  Chains that end at a winner settle;
+    those that end at a row whose fate is still open settle nothing yet.
+    """
+    links = cut_lineage(single.select("ord", F.col("before").alias("to"), F.lit(True).alias("differs")))
+    ahead = None
+    while True:
+        next_ = links.select(F.col("ord").alias("to"), F.col("to").alias("_far"), F.col("differs").alias("_flips"))
+        links = cut_lineage(
+            links.join(next_, "to", "left").select(
+                "ord", F.coalesce("_far", "to").alias("to"),
+                F.when(F.col("_far").isNull(), F.col("differs")).otherwise(F.col("differs") != F.col("_flips")).alias("differs"),
+            )
+        )
+        now = links.agg(F.sum(F.col("to").cast("decimal(38,0)"))).first()[0]
+        if now == ahead:
+            break
+        ahead = now
+    return links.where("not differs").join(winners.select(F.col("ord").alias("to")), "to", "left_semi").select("ord")
 
 
-def greedy_keep(df: DataFrame, order: str, keys: Sequence[str], tail_rows: int = TAIL_ROWS) -> DataFrame:
+def greedy_keep(df: DataFrame, order: str, keys: Sequence[str]) -> DataFrame:
     """Ids (``order``) of the rows a sequential pass would keep.
 
     In order, a row is kept unless an earlier *kept* row holds one of its keys; dropped rows hold
     nothing, and NULL keys never count.  ``order`` is a unique BIGINT.
 
-    Each round decides every row that is the first holder of all its keys, and with it all rows
-    that share a key with it.  At least the first undecided row is decided per round, so the loop
-    ends; once few enough rows are left to be counted as small, one task finishes them in order.
+    Each round decides every row that is the first undecided holder of all its keys, every row
+    that hangs on these by a chain of single earlier holders, and all rows that share a key with a
+    row so kept.  Only the first two holders of a key are looked at, so a key held by most rows
+    costs no more than any other, and the number of rounds is that of nested forks, not of rows.
     """
     rows = df.select(F.col(order).cast("bigint").alias("ord"), *[F.col(k).cast("string").alias(k) for k in keys])
     has_key = functools.reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys])
     free = rows.where(~has_key).select("ord")
 
-    # rows with the same keys throughout: only the first can be kept; merged before the shuffle
-    same = rows.where(has_key).groupBy(*keys).agg(F.min("ord").alias("ord"))
+    # keys are compared by digest; rows with the same keys throughout merge before the shuffle
+    digests = rows.where(has_key).select("ord", *[F.unhex(F.md5(F.col(k).cast("binary"))).alias(k) for k in keys])
+    same = digests.groupBy(*keys).agg(F.min("ord").alias("ord"))
     slots = F.array_compact(F.array(*[
         F.when(F.col(k).isNotNull(), F.struct(F.lit(i).alias("slot"), F.col(k).alias("key")))
         for i, k in enumerate(keys)
@@ -80,35 +78,37 @@ def greedy_keep(df: DataFrame, order: str, keys: Sequence[str], tail_rows: int =
     undecided = cut_lineage(same.select("ord", slots.alias("keys")))
 
     kept_parts = []
-    while True:
-        left = undecided.count()
-        if left == 0:
-            break
-        if left <= tail_rows:
-            # counted above: at most tail_rows rows meet in this one task
-            kept_parts.append(cut_lineage(undecided.coalesce(1).mapInPandas(_finish_in_order, "ord bigint")))
-            break
+    while not undecided.isEmpty():
         edges = undecided.select("ord", F.size("keys").alias("n"), F.explode("keys").alias("e")).select(
             "ord", "n", F.col("e.slot").alias("slot"), F.col("e.key").alias("key")
         )
-        first = edges.groupBy("slot", "key").agg(F.min_by("n", "ord").alias("n"), F.min("ord").alias("ord"))
-        winners = first.groupBy("ord", "n").agg(F.count("*").alias("won")).where("won = n").select("ord")
-        winners = cut_lineage(winners)
-        kept_parts.append(winners)
-        taken = edges.join(winners, "ord", "left_semi").select("slot", "key")
-        decided = _salted_anti(edges, taken)
+        holders = Window.partitionBy("slot", "key").orderBy("ord")
+        two = (
+            edges.withColumn("rank", F.row_number().over(holders)).where("rank <= 2")
+            .withColumn("before", F.lag("ord").over(holders))
+        )
+        seen = cut_lineage(
+            two.groupBy("ord", "n").agg(F.count("*").alias("known"), F.min("before").alias("low"), F.max("before").alias("high"))
+            .where("known = n and (low is null or low = high)")
+        )
+        winners = seen.where("low is null").select("ord")
+        single = seen.where("low is not null").select("ord", F.col("low").alias("before"))
+        kept = winners if single.isEmpty() else cut_lineage(winners.unionByName(_settle_chains(single, winners)))
+        kept_parts.append(kept)
+        taken = edges.join(kept, "ord", "left_semi").select("slot", "key").distinct()
+        decided = edges.join(taken, ["slot", "key"], "left_semi").select("ord").distinct()
         undecided = cut_lineage(undecided.join(decided, "ord", "left_anti"))
     kept = functools.reduce(DataFrame.unionByName, kept_parts, free)
     return kept.select(F.col("ord").alias(order))
 
 
 def greedy_dedupe(df: DataFrame, order: str, keys: Sequence[str],
-                  held: Sequence[tuple[str, DataFrame]] = (), tail_rows: int = TAIL_ROWS) -> DataFrame:
+                  held: Sequence[tuple[str, DataFrame]] = ()) -> DataFrame:
     """Rows of ``df`` that survive the state's keys and the sequential pass over ``keys``."""
     fresh = df
     for key, state in held:
         fresh = drop_held(fresh, state, key)
-    kept = greedy_keep(fresh, order, keys, tail_rows)
+    kept = greedy_keep(fresh, order, keys)
     return fresh.join(kept, order, "left_semi")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from railtide import vocab
 from railtide.functions import times
-from railtide.operators.scan import CHUNK, carry_forward
+from railtide.operators.scan import carry_forward
 
 READINGS = list(vocab.BASELINE_WEATHER)
 
@@ -84,6 +84,6 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
 
 
 __all__ = [
-    "CHUNK", "READINGS", "audit_freshness", "fallback_chain", "fill_from_neighbours", "last_seen",
+    "READINGS", "audit_freshness", "fallback_chain", "fill_from_neighbours", "last_seen",
     "latest_per_key", "take_filled",
 ]

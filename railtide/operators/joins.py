@@ -7,36 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railtide.session import SMALL_ROWS
 
-SALTS = 32
-
-
-def salted_left_join(left: DataFrame, unique: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """Left join to a side that is small and unique on ``on``.
+def unique_left_join(left: DataFrame, unique: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a side that is unique on ``on``; NULL keys meet.
 
-    Rows of one hot key that come from different input partitions go to different tasks; the
-    unique side is repeated once per salt.
+    Nothing is copied or hinted: the adaptive plan broadcasts a side it has measured as small and
+    splits the partition of a hot key on the left otherwise.
     """
-    spread = unique.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    for key in on:
-        spread = spread.withColumnRenamed(key, f"_u_{key}")
-    spread = spread.withColumnRenamed("_salt", "_u__salt")
-    tagged = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    same = [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in on] + [F.col("_salt") == F.col("_u__salt")]
-    added = [c for c in unique.columns if c not in on]
-    return tagged.join(spread, same, "left").select(*left.columns, *added)
-
-
-def unique_left_join(left: DataFrame, unique: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join to a side that is unique on ``on``: broadcast if counted small, salted otherwise."""
-    if unique.limit(SMALL_ROWS + 1).count() > SMALL_ROWS:
-        return salted_left_join(left, unique, on)
     for key in on:
         unique = unique.withColumnRenamed(key, f"_u_{key}")
     added = [c for c in unique.columns if not c.startswith("_u_")]
     same = [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in on]
-    return left.join(F.broadcast(unique), same, "left").select(*left.columns, *added)
+    return left.join(unique, same, "left").select(*left.columns, *added)
 
 
 def anti(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

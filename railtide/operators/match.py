@@ -2,94 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railtide.operators.joins import salted_left_join
-from railtide.session import LITERAL_ROWS, small_rows
+from railtide.operators.joins import unique_left_join
 
+# length of the pieces that texts are met by
+GRAM = 6
 
-def _substrings_of_length(text: Column, length: int) -> Column:
+
+def _pieces(text: Column, length: Column | int) -> Column:
+    """Every substring of that length."""
     starts = F.sequence(F.lit(1), F.length(text) - length + 1)
+    size = F.lit(length) if isinstance(length, int) else length
     return F.when(
-        F.length(text) >= length, F.transform(starts, lambda i: F.substring(text, i, F.lit(length)))
+        F.length(text) >= length, F.transform(starts, lambda i: F.substring(text, i, size))
     ).otherwise(F.array().cast("array<string>"))
 
 
-def _substrings(text: Column) -> Column:
-    starts = F.sequence(F.lit(1), F.length(text))
-    runs = F.transform(
-        starts,
-        lambda i: F.transform(F.sequence(F.lit(1), F.length(text) - i + 1), lambda n: F.substring(text, i, n)),
-    )
-    return F.array_distinct(F.flatten(runs))
+def _rarest_piece(needles: DataFrame) -> DataFrame:
+    """(needle, piece): of the pieces of a needle the one that fewest needles have."""
+    pieces = needles.select(
+        "needle", F.explode(F.array_distinct(_pieces(F.col("needle"), F.least(F.length("needle"), F.lit(GRAM))))).alias("piece"))
+    often = pieces.groupBy("piece").agg(F.count("*").alias("n"))
+    return pieces.join(often, "piece").groupBy("needle").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
+
 
+def _containing(texts: DataFrame, needles: DataFrame) -> DataFrame:
+    """(text, needle) of distinct texts and the needles they contain.
 
-def _first_in_table(rows: list[Row], test) -> Column:
-    """``seq`` of the first literal page that passes ``test``."""
-    if not rows:
-        return F.lit(None).cast("bigint")
-    ordered = sorted(rows, key=lambda r: r["seq"])
-    table = F.array(*[
-        F.struct(F.lit(r["seq"]).cast("bigint").alias("seq"), F.lit(r["page"]).alias("page")) for r in ordered
-    ])
-    return F.get(F.filter(table, test), F.lit(0))["seq"]
+    A needle is looked for where its rarest piece occurs, which is an equi-join; the pairs that
+    meet there are tested.  Texts give as many pieces as they have characters, at most GRAM times.
+    """
+    keyed = _rarest_piece(needles)
+    # pieces have at most GRAM different lengths
+    lengths = sorted(r["n"] for r in keyed.select(F.length("piece").alias("n")).distinct().collect())
+    if not lengths:
+        return texts.select("text", F.col("text").alias("needle")).where("false")
+    every = F.array_distinct(F.concat(*[_pieces(F.col("text"), n) for n in lengths]))
+    return (
+        texts.select("text", F.explode(every).alias("piece")).join(keyed, "piece")
+        .where(F.col("text").contains(F.col("needle"))).select("text", "needle")
+    )
 
 
 def _keyed(pages: DataFrame, page: Column, seq: str) -> DataFrame:
-    return pages.select(page.alias("page"), F.col(seq).cast("bigint").alias("seq")).where("page <> ''")
+    """Each page text with its first place."""
+    keyed = pages.select(page.alias("page"), F.col(seq).cast("bigint").alias("seq")).where("page <> ''")
+    return keyed.groupBy("page").agg(F.min("seq").alias("seq"))
 
 
-def with_first_overlap(items: DataFrame, item: str, pages: DataFrame, page: Column, seq: str, out: str,
-                       literal_rows: int = LITERAL_ROWS) -> DataFrame:
+def _as(df: DataFrame, column: str, name: str) -> DataFrame:
+    return df.select(F.col(column).alias(name))
+
+
+def with_first_overlap(items: DataFrame, item: str, pages: DataFrame, page: Column, seq: str, out: str) -> DataFrame:
     """Add the ``seq`` of the first page that contains the item's text or is contained in it.
 
-    A page table counted as small becomes a literal that each row scans: no join at all.  A larger
-    one is matched by equality: substrings of a page meet whole items, and substrings of an item
-    as long as some page meet whole pages.  Pairs that do not match are never built, and each
-    distinct item text is matched once.
+    Empty and NULL items and pages match nothing.  Each distinct item text is matched once.
     """
-    keyed = _keyed(pages, page, seq)
-    rows = small_rows(keyed, literal_rows)
-    if rows is not None:
-        return items.withColumn(
-            out,
-            _first_in_table(rows, lambda p: F.col(item).contains(p["page"]) | p["page"].contains(F.col(item))),
-        )
     texts = items.select(F.col(item).alias("item")).where("item <> ''").distinct()
-    first_of = keyed.groupBy("page").agg(F.min("seq").alias("seq"))
-    # as many values as page URLs have different lengths
-    lengths = sorted(r["n"] for r in first_of.select(F.length("page").alias("n")).distinct().collect())
-    pieces = F.array_distinct(F.concat(*[_substrings_of_length(F.col("item"), n) for n in lengths]))
-    inside_item = texts.select("item", F.explode(pieces).alias("page")).join(first_of, "page").select("item", "seq")
-    page_parts = (
-        first_of.select(F.explode(_substrings(F.col("page"))).alias("item"), "seq")
-        .groupBy("item").agg(F.min("seq").alias("seq"))
-    )
-    inside_page = texts.join(page_parts, "item").select("item", "seq")
-    first = inside_item.unionByName(inside_page).groupBy("item").agg(F.min("seq").alias(out))
-    return salted_left_join(items, first.withColumnRenamed("item", item), [item])
+    first_of = _keyed(pages, page, seq)
+    inside_item = _containing(_as(texts, "item", "text"), _as(first_of, "page", "needle")).select(
+        F.col("text").alias("item"), F.col("needle").alias("page"))
+    inside_page = _containing(_as(first_of, "page", "text"), _as(texts, "item", "needle")).select(
+        F.col("needle").alias("item"), F.col("text").alias("page"))
+    first = inside_item.unionByName(inside_page).join(first_of, "page").groupBy("item").agg(F.min("seq").alias(out))
+    return unique_left_join(items, first.withColumnRenamed("item", item), [item])
 
 
-def with_first_holder(items: DataFrame, name: str, pages: DataFrame, page: Column, seq: str, out: str,
-                      literal_rows: int = LITERAL_ROWS) -> DataFrame:
+def with_first_holder(items: DataFrame, name: str, pages: DataFrame, page: Column, seq: str, out: str) -> DataFrame:
     """Add the ``seq`` of the first page whose text contains the item's (non-empty) name."""
-    keyed = _keyed(pages, page, seq)
-    rows = small_rows(keyed, literal_rows)
-    if rows is not None:
-        found = _first_in_table(rows, lambda p: p["page"].contains(F.col(name)))
-        return items.withColumn(out, F.when(F.col(name) != "", found))
-    parts = (
-        keyed.select(F.explode(_substrings(F.col("page"))).alias(name), "seq")
-        .groupBy(name).agg(F.min("seq").alias(out))
-    )
-    names = items.select(name).where(F.col(name) != "").distinct()
-    return salted_left_join(items, names.join(parts, name), [name])
+    names = items.select(F.col(name).alias("needle")).where("needle <> ''").distinct()
+    first_of = _keyed(pages, page, seq)
+    held = _containing(_as(first_of, "page", "text"), names).join(first_of.withColumnRenamed("page", "text"), "text")
+    first = held.groupBy(F.col("needle").alias(name)).agg(F.min("seq").alias(out))
+    return unique_left_join(items, first, [name])
 
 
 def assign_pages(items: DataFrame, pages: DataFrame, asked_url: str = "asked_url", page_name: str = "page_name",
-                 url: str = "url", seq: str = "page_seq", unmatched: str = "quarantine",
-                 literal_rows: int = LITERAL_ROWS) -> DataFrame:
+                 url: str = "url", seq: str = "page_seq", unmatched: str = "quarantine") -> DataFrame:
     """Add ``page_seq`` and ``matched_by`` (url, name, default or NULL) to each item.
 
     ``unmatched="first"`` credits items without a match, and items without any asked URL, to the
@@ -99,8 +91,8 @@ def assign_pages(items: DataFrame, pages: DataFrame, asked_url: str = "asked_url
     work = items.withColumns({
         "_asked": F.nullif(F.lower(F.col(asked_url)), F.lit("")), "_name": F.lower(F.col(page_name)),
     })
-    work = with_first_overlap(work, "_asked", pages, bare, seq, "_by_url", literal_rows)
-    work = with_first_holder(work, "_name", pages, F.lower(url), seq, "_by_name", literal_rows)
+    work = with_first_overlap(work, "_asked", pages, bare, seq, "_by_url")
+    work = with_first_holder(work, "_name", pages, F.lower(url), seq, "_by_name")
     found = F.coalesce("_by_url", "_by_name")
     how = F.when(F.col("_by_url").isNotNull(), F.lit("url")).when(F.col("_by_name").isNotNull(), F.lit("name"))
     if unmatched == "first":

@@ -22,18 +22,13 @@ def carry_forward(
     values: dict[str, Column],
     chunk: Column | None = None,
     include_current: bool = True,
-    small_groups: bool = False,
 ) -> DataFrame:
     """Add for each name the last non-NULL value at or before the row (before it, if not inclusive).
 
     ``order`` must be unique inside a group and groups must not be NULL.  ``chunk`` must grow with
-    ``order``; the default cuts an integer order column every ``CHUNK`` steps.  A caller that has
-    checked that no group is large (``largest_group``) may ask for one plain window.
+    ``order``; the default cuts an integer order column every ``CHUNK`` steps.
     """
     end = Window.currentRow if include_current else -1
-    if small_groups:
-        whole = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumns({n: F.last(v, ignorenulls=True).over(whole) for n, v in values.items()})
     chunk = F.floor(F.col(order) / CHUNK) if chunk is None else chunk
     held = {name: f"_held_{name}" for name in values}
     work = df.withColumn("_chunk", chunk).withColumns({held[n]: v for n, v in values.items()})
@@ -57,7 +52,3 @@ def carry_forward(
         {n: F.coalesce(F.col(n), F.col(f"_in_{n}")) for n in values}
     ).select(*[c for c in df.columns if c not in values], *values)
 
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group."""
-    return df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from railtide import vocab
 from railtide.functions import cells, labels
 from railtide.functions.text import contains_any, let, strip
-from railtide.operators.scan import CHUNK, carry_forward, largest_group
+from railtide.operators.scan import carry_forward
 from railtide.session import cut_lineage
 
 LOOK_BACK = 5
@@ -53,7 +53,6 @@ def blocks(grid: DataFrame) -> DataFrame:
     above the header.
     """
     found = cut_lineage(marks(grid))
-    small = largest_group(found, ["file"]) <= CHUNK
     here = F.col("row_idx")
     above = carry_forward(
         found, ["file"], "row_idx",
@@ -61,19 +60,19 @@ def blocks(grid: DataFrame) -> DataFrame:
             "before": F.struct(here.alias("idx"), F.col("is_station").alias("is_station")),
             "above": F.when(F.col("row_label").isNotNull(), F.struct(here.alias("idx"), F.col("row_label").alias("label"))),
         },
-        include_current=False, small_groups=small,
+        include_current=False,
     )
     follows = F.coalesce(F.col("before.is_station") & (F.col("before.idx") == here - 1), F.lit(False))
     runs = carry_forward(
-        above, ["file"], "row_idx", {"run_start": F.when(F.col("is_station") & ~follows, here)}, small_groups=small)
+        above, ["file"], "row_idx", {"run_start": F.when(F.col("is_station") & ~follows, here)})
     # every second row of a run of Station rows is a header
     headed = runs.withColumns({
         "is_header": F.col("is_station") & ((here - F.col("run_start")) % 2 == 0),
         "period": F.when(here - F.col("above.idx") <= LOOK_BACK, F.col("above.label")),
     })
     owned = carry_forward(
-        headed, ["file"], "row_idx", {"owner": F.when(F.col("is_header"), here)}, include_current=False, small_groups=small)
-    owned = owned if small else cut_lineage(owned)
+        headed, ["file"], "row_idx", {"owner": F.when(F.col("is_header"), here)}, include_current=False)
+    owned = cut_lineage(owned)
     head = F.col("is_header")
     ends = owned.where(F.col("is_stop") & (here >= F.col("owner") + 2)).groupBy("file", F.col("owner").alias("header_idx")).agg(
         F.min("row_idx").alias("body_end"))
@@ -159,11 +158,18 @@ def _cells_long(rows: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def period_rows(grid: DataFrame, heads: DataFrame, year: Column) -> DataFrame:
-    """Long rows of the daily blocks: file, row_idx, date, time_period, column_name, value, reject_reason."""
+    """Long rows of the daily blocks: file, row_idx, date, time_period, column_name, value, reject_reason.
+
+    A row whose first cell has the shape of a date but is none in that year is rejected as bad_date.
+    """
     usable = heads.where(~F.col("is_monthly")).withColumnRenamed("period", "time_period")
     placed = place_rows(grid, usable, ["time_period", "columns"])
-    dated = placed.withColumn("date", labels.service_date(F.get("cells", F.lit(0)), year)).where("date is not null")
-    return _cells_long(dated, ["file", "row_idx", "date", "time_period"])
+    first = F.get("cells", F.lit(0))
+    dated = placed.withColumns({
+        "date": labels.service_date(first, year), "bad_date": labels.service_date_reject(first, year),
+    }).where("date is not null or bad_date is not null")
+    long = _cells_long(dated, ["file", "row_idx", "date", "time_period", "bad_date"])
+    return long.withColumn("reject_reason", F.coalesce("bad_date", "reject_reason")).drop("bad_date")
 
 
 def monthly_rows(grid: DataFrame, heads: DataFrame, year: Column, month: Column) -> DataFrame:

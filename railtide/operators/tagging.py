@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from railtide import vocab
 from railtide.functions import rules, times
 from railtide.functions.text import contains_any
-from railtide.operators.joins import salted_left_join
-from railtide.session import hint_small
+from railtide.operators.joins import unique_left_join
 
 
 def tag_events(df: DataFrame, folded: Column, code_rules=vocab.EVENT_CODE_RULES, cancel_words=vocab.CANCEL_WORDS,
@@ -34,7 +33,7 @@ def friction_weight(folded: Column, words: Mapping[str, Sequence[str]] = vocab.F
 
 def friction_by_hit(hits: DataFrame, weights: DataFrame, group: str = "keyword_group", key: str = "post_id") -> DataFrame:
     """Weight table join: the largest weight of the groups each post hit."""
-    return hits.join(hint_small(weights), group).groupBy(key).agg(F.max("weight").alias("friction_weight"))
+    return hits.join(weights, group).groupBy(key).agg(F.max("weight").alias("friction_weight"))
 
 
 def cancel_earlier(events: DataFrame, source: str = "source_name", code: str = "event_code",
@@ -49,7 +48,7 @@ def cancel_earlier(events: DataFrame, source: str = "source_name", code: str = "
         events.where(F.col(cancels) & F.col(target).isNotNull())
         .groupBy(source, F.col(target).alias(code)).agg(F.max(at).alias("_lifted_at"))
     )
-    met = salted_left_join(events, lifted, [source, code])
+    met = unique_left_join(events, lifted, [source, code])
     dead = ~F.col(cancels) & (F.col(at) < F.col("_lifted_at"))
     return met.withColumn("is_active", ~F.coalesce(dead, F.lit(False))).select(*events.columns, "is_active")
 

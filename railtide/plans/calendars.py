@@ -9,7 +9,7 @@ from railtide import vocab
 from railtide.functions import labels, rules, text, times
 from railtide.operators import dedupe, ids, match
 from railtide.plans.posts import EVENT_COLUMNS, Extractor, read_images
-from railtide.session import cut_lineage, hint_small
+from railtide.session import cut_lineage
 
 
 def school_pages(pages: DataFrame, excluded=tuple(vocab.CALENDAR_EXCLUDED_SOURCES)) -> DataFrame:
@@ -28,7 +28,7 @@ def find_calendars(items: DataFrame, pages: DataFrame, ledger: DataFrame | None,
     placed = match.assign_pages(items, schools, unmatched=unmatched).where("page_seq is not null")
     if ledger is not None:
         placed = dedupe.drop_held(placed, ledger.select(F.col("url").alias("source_url")), "source_url")
-    page = hint_small(schools.select("page_seq", "station", F.col("name").alias("source_name"), F.col("url").alias("page_url")))
+    page = schools.select("page_seq", "station", F.col("name").alias("source_name"), F.col("url").alias("page_url"))
     aged = placed.withColumn("age_days", times.age_days(now, F.col("posted_at"))).where(times.within_age(F.col("age_days"), max_age))
     posts = aged.join(page, "page_seq").withColumn("text", text.clean_caption(F.col("raw_text")))
     posts = posts.withColumn("_folded", rules.folded(F.col("text")))

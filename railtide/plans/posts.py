@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from railtide import vocab
 from railtide.functions import rules, text, times, urls
 from railtide.operators import dedupe, ids, match, nested, tagging, topk
-from railtide.operators.joins import salted_left_join
-from railtide.session import cut_lineage, hint_small
+from railtide.operators.joins import unique_left_join
+from railtide.session import cut_lineage
 from railtide.sources import state
 
 EVENT_COLUMNS = [
@@ -111,8 +111,8 @@ def page_posts(items: DataFrame, pages: DataFrame, mode: str, now: Column, extra
     placed = match.assign_pages(items, chosen, unmatched=unmatched).where("page_seq is not null")
     aged = placed.withColumn("age_days", times.age_days(now, F.col("posted_at")))
     young = aged.where(times.within_age(F.col("age_days"), max_age))
-    page = hint_small(chosen.select(
-        "page_seq", "station", F.col("name").alias("source_name"), "source_type", "tier", F.col("batch"), F.col("url").alias("page_url")))
+    page = chosen.select(
+        "page_seq", "station", F.col("name").alias("source_name"), "source_type", "tier", F.col("batch"), F.col("url").alias("page_url"))
     on_page = young.join(page, "page_seq")
     if keep_newest:
         on_page = topk.first_n_by_tier(
@@ -166,7 +166,7 @@ def number_events(events: DataFrame, stored: DataFrame | None, order: str = "ite
     base = F.concat(F.lit("external_"), rules.category_code(F.col("category")))
     numbered = ids.number_within(events.withColumn("base", base), ["base"], [order], "_n")
     if stored is not None:
-        numbered = salted_left_join(numbered, ids.next_numbers(stored, "id"), ["base"])
+        numbered = unique_left_join(numbered, ids.next_numbers(stored, "id"), ["base"])
     else:
         numbered = numbered.withColumn("last_number", F.lit(0).cast("bigint"))
     at = F.col("_n") + F.coalesce("last_number", F.lit(0))

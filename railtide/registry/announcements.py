@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
+from railtide import vocab
 from railtide.functions import rules
 from railtide.plans import posts
-from railtide.operators import nested, tagging
-from railtide.registry.base import NOW, one_of, query
+from railtide.operators import ids, nested, tagging
+from railtide.registry.base import NOW, one_of, pick, query
 from railtide.registry.texts import CLEAN_SQL, TEXT_KEY, WORDS
 from railtide.session import spread
 from railtide.streaming import events as streams
@@ -27,17 +28,27 @@ CODE_SQL = "CASE " + " ".join(
 ) + " END"
 
 
+NOTICES = ["classes suspended, concert cancelled", "suspended classes lifted", "walang pasok bukas: all classes cancelled due to typhoon",
+           "midterms cancelled", ""]
+NOTICE_SQL = "[" + ", ".join(f"'{n}'" for n in NOTICES) + "][(doc_id % 5 + 1)::INT]"
+
+
 @query("rule_tagger", f"""
-WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents),
-c AS (SELECT doc_id, t, {CODE_SQL} AS event_code FROM d),
-x AS (SELECT *, event_code IS NOT NULL AND event_code <> 'CIVIC_MAINTENANCE' AND {one_of(CANCEL, 't')} AS is_cancellation FROM c)
+WITH d AS (SELECT doc_id, {NOTICE_SQL} || ' ' || {FOLD} AS t FROM documents),
+c AS (SELECT doc_id, t, CASE WHEN doc_id % 5 IN (0, 1, 2) THEN 'CLASS_SUSPENSION' WHEN doc_id % 5 = 3 THEN 'EXAM_WEEK' ELSE {CODE_SQL} END AS event_code FROM d),
+x AS (SELECT *, coalesce(event_code <> 'CIVIC_MAINTENANCE' AND CASE WHEN event_code = 'CLASS_SUSPENSION' THEN {one_of(vocab.SUSPENSION_LIFT_WORDS, 't')}
+  ELSE {one_of(CANCEL + vocab.CANCEL_WORDS, 't')} END, false) AS is_cancellation FROM c)
 SELECT doc_id, event_code, is_cancellation,
   CASE WHEN is_cancellation THEN CASE event_code WHEN 'RESUMPTION_CLASSES' THEN 'CLASS_SUSPENSION' ELSE event_code END END AS cancellation_target_code,
   event_code IS NOT NULL AND NOT {one_of(QUIET, 't')} AS affects_ridership FROM x
 """)
 def rule_tagger(table, spark):
-    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
-    return tagging.tag_events(work, F.col("t"), RULES, CANCEL, QUIET).drop("t")
+    """Invented rule words of the texts, with real notices before them, which have the first say."""
+    notice = pick(F.col("doc_id") % 5, *[F.lit(n) for n in NOTICES])
+    work = spread(table("documents")).select("doc_id", F.concat(notice, F.lit(" "), rules.folded(F.col("text"))).alias("t"))
+    real = [r for r in vocab.EVENT_CODE_RULES if r[0] in ("CLASS_SUSPENSION", "EXAM_WEEK")]
+    later = [(code, words, vetoes, place + 100) for code, words, vetoes, place in RULES]
+    return tagging.tag_events(work, F.col("t"), real + later, CANCEL + vocab.CANCEL_WORDS, QUIET).drop("t")
 
 
 GROUPS = {"full_suspension": ["token"], "transport_strike": ["estion"], "partial_suspension": ["queque"],
@@ -105,9 +116,8 @@ def digest_rows(table, spark):
 
 
 def _folder(spark, name: str) -> str:
-    """A new folder for stream state, beside the checkpoints."""
-    base = spark.sparkContext.getCheckpointDir()
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base.removeprefix("file:")) if base.startswith(("file:", "/")) else f"{base}/{name}"
+    """A folder of its own for stream state, beside the checkpoints; Spark's writers make it."""
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -120,8 +130,7 @@ SELECT event_id, user_id, event_type FROM e WHERE rn = 1
 def stream_dedupe(table, spark):
     from railtide.sinks import tables
 
-    folder = table("events").inputFiles()[0].rsplit("/", 1)[0]
-    stream = streams.read_stream(spark, folder, EVENT_SCHEMA, pattern="events.parquet")
+    stream = streams.table_stream(table("events"), EVENT_SCHEMA)
     keyed = stream.select("event_id", "user_id", "event_type", F.concat_ws("|", "user_id", "event_type").alias("key"))
     path = _folder(spark, "stream-dedupe")
     streams.dedupe_stream(keyed, ["key"], "event_id", f"{path}/table", f"{path}/progress")
@@ -134,8 +143,7 @@ SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITIO
 def stream_snapshot(table, spark):
     from railtide.sinks import tables
 
-    folder = table("events").inputFiles()[0].rsplit("/", 1)[0]
-    stream = streams.read_stream(spark, folder, EVENT_SCHEMA, pattern="events.parquet").select("user_id", "ts", "event_id", "event_type")
+    stream = streams.table_stream(table("events"), EVENT_SCHEMA).select("user_id", "ts", "event_id", "event_type")
     path = _folder(spark, "stream-snapshot")
     streams.snapshot_stream(stream, ["user_id"], ["ts", "event_id"], f"{path}/table", f"{path}/progress")
     return tables.read_table(spark, f"{path}/table").select("user_id", "event_id", "event_type")
@@ -189,8 +197,8 @@ def posts_sweep(table, spark):
     docs = table("documents")
     base = F.lit("https://www.facebook.com/")
     names = docs.select("source").distinct()
-    # pages are numbered by name; a page table is as small as the number of sources
-    numbered = names.agg(F.array_sort(F.collect_list("source")).alias("s")).select(F.posexplode("s").alias("seq", "source"))
+    # pages are numbered by name
+    numbered = ids.number_rows(names, ["source"], "place").select((F.col("place") - 1).alias("seq"), "source")
     seq = F.col("seq")
     pages = numbered.select(
         seq.cast("bigint").alias("page_seq"), F.lit("b").alias("batch"), F.lit("st").alias("station"), F.col("source").alias("name"),

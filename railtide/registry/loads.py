@@ -125,10 +125,10 @@ def ledger_append(table, spark):
 
 
 @query("raw_prefix_dedupe", """
-SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY substr(trim(text), 1, 40) ORDER BY n_chars, doc_id) AS rn FROM documents) WHERE rn = 1
+SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY substr(trim(text), 1, 100) ORDER BY n_chars, doc_id) AS rn FROM documents) WHERE rn = 1
 """)
 def raw_prefix_dedupe(table, spark):
-    keyed = table("documents").select("doc_id", "n_chars", text.raw_text_key(F.col("text"), chars=40).alias("key"))
+    keyed = table("documents").select("doc_id", "n_chars", text.raw_text_key(F.col("text")).alias("key"))
     return dedupe.keep_first_or_blank(keyed, "key", ["n_chars", "doc_id"]).select("doc_id")
 
 

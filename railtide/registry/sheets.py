@@ -342,14 +342,16 @@ def identifier_norm(table, spark):
 
 @query("service_dates", """
 SELECT o_orderkey, strftime(CASE WHEN strftime(o_orderdate, '%m-%d') = '02-29' THEN NULL
-  ELSE TRY_CAST('2023-' || strftime(o_orderdate, '%m-%d') AS DATE) END, '%Y-%m-%d') AS service_date FROM orders
+  ELSE TRY_CAST('2023-' || strftime(o_orderdate, '%m-%d') AS DATE) END, '%Y-%m-%d') AS service_date,
+  CASE WHEN strftime(o_orderdate, '%m-%d') = '02-29' THEN 'bad_date' END AS reject FROM orders
 """)
 def service_dates(table, spark):
     day = F.col("o_orderdate")
     shapes = [F.date_format(day, p) for p in ("d-MMM", "MMMM d", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy")]
     cell = pick(F.col("o_orderkey") % 4, *shapes)
     return table("orders").select(
-        "o_orderkey", F.date_format(labels.service_date(cell, F.lit(2023)), "yyyy-MM-dd").alias("service_date")
+        "o_orderkey", F.date_format(labels.service_date(cell, F.lit(2023)), "yyyy-MM-dd").alias("service_date"),
+        labels.service_date_reject(cell, F.lit(2023)).alias("reject"),
     )
 
 

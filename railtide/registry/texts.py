@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from railtide.functions import rules, text, urls
-from railtide.operators import dedupe, diagnostics, joins, match
+from railtide.operators import dedupe, diagnostics, match
 from railtide.registry.base import one_of, pick, query
-from railtide.session import spread
+from railtide.session import cut_lineage, spread
 
 WORDS = {
     "academic": ["estion", "enlich", "queque", "handed"],
@@ -190,25 +190,55 @@ def greedy_dedupe(table, spark):
     return _greedy(table).select("doc_id")
 
 
-def _greedy(table, tail_rows=dedupe.TAIL_ROWS):
+def _greedy(table):
     size = F.col("n_chars")
     keyed = table("documents").select(
         "doc_id", text.text_key(F.col("text")).alias("text_key"),
         F.when(size % 10 != 0, F.concat_ws("|", "lang", size.cast("string"))).alias("event_key"),
         F.concat_ws("|", "source", F.floor(size / 7).cast("string")).alias("url_key"),
     )
-    return dedupe.greedy_keep(keyed, "doc_id", ["text_key", "event_key", "url_key"], tail_rows)
+    return dedupe.greedy_keep(keyed, "doc_id", ["text_key", "event_key", "url_key"])
 
 
-@query("anti_existing", """
-SELECT d.doc_id, d.source FROM documents d
-WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)
-  AND NOT EXISTS (SELECT 1 FROM benchmark b WHERE substr(b.text, 1, 20) = substr(d.text, 1, 20))
+@query("greedy_chain", """
+WITH RECURSIVE k AS (
+  SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey) AS n, 'c' || o_custkey AS a,
+    CASE WHEN o_orderkey % 3 = 0 THEN 's' || o_orderstatus END AS b FROM orders WHERE o_orderkey IS NOT NULL),
+p AS (SELECT n, id, list_filter([a, b], lambda x: x IS NOT NULL) AS keys FROM k),
+walk(n, id, kept, held) AS (
+  SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), false, CAST([] AS VARCHAR[])
+  UNION ALL
+  SELECT p.n, p.id, NOT list_has_any(w.held, p.keys), CASE WHEN list_has_any(w.held, p.keys) THEN w.held ELSE list_concat(w.held, p.keys) END
+  FROM walk w JOIN p ON p.n = w.n + 1)
+SELECT id AS o_orderkey FROM walk WHERE kept
+""")
+def greedy_chain(table, spark):
+    """Orders by customer, and every third also by its status: three keys hold a third of all rows."""
+    key = F.col("o_orderkey")
+    keyed = table("orders").select(
+        key, F.concat(F.lit("c"), "o_custkey").alias("a"), F.when(key % 3 == 0, F.concat(F.lit("s"), "o_orderstatus")).alias("b"))
+    return dedupe.greedy_keep(keyed, "o_orderkey", ["a", "b"])
+
+
+@query("anti_existing", f"""
+WITH d AS (SELECT doc_id, source, {TEXT_KEY} AS text_key, 'https://x.org/' || source || '/' || (doc_id % 400) AS url_key,
+             CASE WHEN doc_id % 3 <> 0 THEN lang || '|' || (n_chars % 500) END AS event_key FROM documents),
+held AS (SELECT d.* FROM d JOIN labels l ON l.doc_id = d.doc_id AND l.quality = 0)
+SELECT doc_id, source FROM d
+WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.text_key = d.text_key) AND NOT EXISTS (SELECT 1 FROM held h WHERE h.url_key = d.url_key)
+  AND NOT EXISTS (SELECT 1 FROM held h WHERE h.event_key = d.event_key)
 """)
 def anti_existing(table, spark):
-    docs = table("documents").select("doc_id", "source", F.substring("text", 1, 20).alias("head"))
-    held = table("benchmark").select(F.substring("text", 1, 20).alias("head"))
-    return joins.anti(dedupe.drop_held(docs, held, "head"), table("labels").where("quality = 1"), ["doc_id"]).select("doc_id", "source")
+    """Documents that share none of the three stored keys with the rows already held."""
+    doc = F.col("doc_id")
+    keyed = table("documents").select(
+        "doc_id", "source", text.text_key(F.col("text")).alias("text_key"),
+        F.concat(F.lit("https://x.org/"), "source", F.lit("/"), doc % 400).alias("url_key"),
+        F.when(doc % 3 != 0, F.concat("lang", F.lit("|"), F.col("n_chars") % 500)).alias("event_key"))
+    held = cut_lineage(keyed.join(table("labels").where("quality = 0"), "doc_id", "left_semi"))
+    for key in ("text_key", "url_key", "event_key"):
+        keyed = dedupe.drop_held(keyed, held, key)
+    return keyed.select("doc_id", "source")
 
 
 @query("first_match_join", """
@@ -221,13 +251,13 @@ def first_match_join(table, spark):
     return _first_match(table)
 
 
-def _first_match(table, literal_rows=200):
+def _first_match(table):
     pages = table("pages")
     hosts = pages.groupBy(F.lower(F.regexp_extract("url", r"://(?:www\.|m\.|blog\.)?([^/]*)", 1)).alias("host")).agg(
         F.min("page_id").alias("seq"))
     asked = F.when(F.col("page_id") % 5 == 0, F.lower(F.regexp_extract("url", r"://[a-z]+\.([a-z]+)\.", 1))).otherwise(F.lower("url"))
     items = pages.select("page_id", F.nullif(asked, F.lit("")).alias("asked"))
-    out = match.with_first_overlap(items, "asked", hosts, F.col("host"), "seq", "matched_page", literal_rows)
+    out = match.with_first_overlap(items, "asked", hosts, F.col("host"), "seq", "matched_page")
     return out.select("page_id", "matched_page")
 
 

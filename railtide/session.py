@@ -1,16 +1,12 @@
-"""Session settings, lineage cuts and size-checked broadcasts."""
+"""Session settings, lineage cuts and the checkpoint folder."""
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
-
-# a dimension of at most this many rows may be broadcast or embedded in a plan
-SMALL_ROWS = 10_000
-# at most this many rows may be embedded in an expression as literals
-LITERAL_ROWS = 200
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -18,9 +14,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     ensure_checkpoint_dir(spark)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, so that it need not be installed on executors.
+
+    It is zipped on the driver and added once per application; Spark hands it to every executor,
+    also to one that replaces a lost one.
+    """
+    context = spark.sparkContext
+    folder = Path(__file__).resolve().parent
+    if not any(f"/{folder.name}-package.zip" in name for name in context.listFiles):
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{folder.name}-package", "zip", folder.parent, folder.name)
+        context.addPyFile(archive)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named by ``spark.checkpoint.dir``; only a local session may make its own."""
     context = spark.sparkContext
@@ -42,21 +52,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_rows(df: DataFrame, limit: int = LITERAL_ROWS) -> list[Row] | None:
-    """The rows of ``df`` when there are at most ``limit`` of them, else None."""
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
-def hint_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it is small; otherwise leave the join strategy to the planner."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for costly row work on a table scan that has fewer partitions than cores.
 
     A large table has more partitions than that and is left alone, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

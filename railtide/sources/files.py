@@ -122,9 +122,12 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, path: str | Sequence[str], required: Sequence[str] = ()) -> DataFrame:
-    """CSV with a header, every column text, empty rows dropped, plus file and row_idx."""
+    """CSV with a header, every column text, empty rows dropped, plus file and row_idx.
+
+    Doubled quotes and line breaks inside quotes belong to the cell; such books are read unsplit.
+    """
     scan = spark.read.csv(path, header=True, inferSchema=False, ignoreLeadingWhiteSpace=True,
-                          ignoreTrailingWhiteSpace=True)
+                          ignoreTrailingWhiteSpace=True, quote='"', escape='"', multiLine=True)
     require_columns(scan, required)
     return with_row_index(scan).na.drop("all", subset=[f"`{c}`" for c in scan.columns])
 

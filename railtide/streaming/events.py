@@ -29,6 +29,13 @@ def read_stream(spark: SparkSession, folder: str, schema, source: str = "parquet
     return reader.load(folder)
 
 
+def table_stream(table: DataFrame, schema) -> DataFrame:
+    """The files of a parquet table as a stream, be the table one file or a folder of parts."""
+    files = table.inputFiles()
+    folder, _, name = files[0].rpartition("/")
+    return read_stream(table.sparkSession, folder, schema, pattern=name if len(files) == 1 else None)
+
+
 def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Process what is there and stop."""
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -115,6 +122,7 @@ def staleness_alerts(stream: DataFrame, key: str, at: str, minutes: float, delay
         # a timer must lie past the watermark; a report that is late already is due at once
         state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
 
-    timed = stream.withWatermark(at, delay).withColumn("_at", F.unix_micros(at))
+    # a report of unknown time says nothing about when reports stopped
+    timed = stream.where(F.col(at).isNotNull()).withWatermark(at, delay).withColumn("_at", F.unix_micros(at))
     return timed.groupBy(key).applyInPandasWithState(
-        watch, f"{key} string, last_seen timestamp", "newest bigint", "append", GroupStateTimeout.EventTimeTimeout)
+        watch, f"{key} {stream.schema[key].dataType.simpleString()}, last_seen timestamp", "newest bigint", "append", GroupStateTimeout.EventTimeTimeout)

@@ -422,6 +422,9 @@ EVENT_CODE_RULES = [
                           "flooding"], [], 8),
 ]
 CANCEL_WORDS = ["lifted", "called off", "cancelled", "resume", "resumption"]
+# a suspension is only undone by words that end it; "cancelled" beside one announces it
+SUSPENDING_CODES = ["CLASS_SUSPENSION"]
+SUSPENSION_LIFT_WORDS = ["lifted", "called off", "resume", "resumption"]
 CANCEL_TARGETS = {"RESUMPTION_CLASSES": "CLASS_SUSPENSION"}
 NEVER_CANCELS = ["CIVIC_MAINTENANCE"]
 NON_DISRUPTIVE_WORDS = [

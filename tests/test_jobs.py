@@ -353,3 +353,17 @@ def test_year_partitions(spark, tmp_path):
     status = tables.write_accepted_groups(rows, path, "year")
     assert sorted((r.year, r.accepted) for r in status.collect()) == [(2023, True), (2024, False)]
     assert sorted((r.year, r.v) for r in spark.read.parquet(path).collect()) == [(2023, 1), (2024, 9), (2025, 9)]
+
+
+def test_quotes_and_line_breaks_stay_in_their_cell(spark, tmp_path):
+    (tmp_path / "book.csv").write_text('text,n\n"he said ""hi"", ok",1\n"two\nlines",2\n')
+    rows = files.read_sheet(spark, str(tmp_path / "book.csv")).orderBy("n").collect()
+    assert [(r.text, r.n) for r in rows] == [('he said "hi", ok', "1"), ("two\nlines", "2")]
+
+
+def test_impossible_dates_are_rejects(spark):
+    from railtide.functions import labels
+
+    df = spark.createDataFrame([("29-Feb",), ("28-Feb",), ("Total",), ("13/1/2023",), (None,)], "c string")
+    got = [tuple(r) for r in df.select(labels.service_date(F.col("c"), F.lit(2023)).isNotNull(), labels.service_date_reject(F.col("c"), F.lit(2023))).collect()]
+    assert got == [(False, "bad_date"), (True, None), (False, None), (False, "bad_date"), (False, None)]

@@ -25,12 +25,11 @@ def random_rows(seed, n, values):
     ]
 
 
-@pytest.mark.parametrize("tail", [0, 5, 10_000])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_greedy_equals_sequential(spark, seed, tail):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_greedy_equals_sequential(spark, seed):
     rows = random_rows(seed, 60, 12)
     df = spark.createDataFrame(rows, "ord bigint, a int, b int, c int")
-    got = sorted(r.ord for r in dedupe.greedy_keep(df, "ord", ["a", "b", "c"], tail).collect())
+    got = sorted(r.ord for r in dedupe.greedy_keep(df, "ord", ["a", "b", "c"]).collect())
     assert got == sequential_greedy(rows)
 
 
@@ -40,10 +39,22 @@ def test_greedy_with_a_hot_key_and_a_chain(spark):
     rows += [(100 + i, f"a{i // 2}", f"b{(i + 1) // 2}", None) for i in range(12)]
     rows += [(200 + i, None, None, None) for i in range(3)]
     df = spark.createDataFrame(rows, "ord bigint, a string, b string, c string")
-    got = sorted(r.ord for r in dedupe.greedy_keep(df, "ord", ["a", "b", "c"], 0).collect())
+    got = sorted(r.ord for r in dedupe.greedy_keep(df, "ord", ["a", "b", "c"]).collect())
     assert got == sequential_greedy(rows)
 
 
+def test_a_long_sorted_chain_takes_few_checkpoints(spark, monkeypatch):
+    cuts = []
+    real = dedupe.cut_lineage
+    monkeypatch.setattr(dedupe, "cut_lineage", lambda df: cuts.append(1) or real(df))
+    n = 100_000
+    i = F.col("id")
+    df = spark.range(n).select(i.alias("ord"), F.concat(F.lit("a"), F.floor(i / 2)).alias("a"), F.concat(F.lit("b"), F.floor((i + 1) / 2)).alias("b"))
+    kept = dedupe.greedy_keep(df, "ord", ["a", "b"])
+    assert kept.agg(F.count("*"), F.sum(F.col("ord") % 2)).first() == (n // 2, 0)
+    assert len(cuts) <= 60
+
+
 def test_dedupe_against_state_is_idempotent(spark):
     rows = random_rows(3, 40, 8)
     df = spark.createDataFrame(rows, "ord bigint, a int, b int, c int").select("ord", *[F.col(k).cast("string").alias(k) for k in "abc"])
@@ -63,7 +74,7 @@ def test_carry_forward_over_chunks(spark, inclusive):
     rows = [(g, i, rng.choice([None, None, i])) for g in "ab" for i in range(50)]
     df = spark.createDataFrame(rows, "g string, i int, v int")
     chunked = scan.carry_forward(df, ["g"], "i", {"out": F.col("v")}, F.floor(F.col("i") / 7), inclusive)
-    plain = scan.carry_forward(df, ["g"], "i", {"out": F.col("v")}, include_current=inclusive, small_groups=True)
+    plain = scan.carry_forward(df, ["g"], "i", {"out": F.col("v")}, include_current=inclusive)
     expected, last = [], {}
     for g, i, v in rows:
         before = last.get(g)
@@ -71,7 +82,6 @@ def test_carry_forward_over_chunks(spark, inclusive):
         expected.append((g, i, last[g] if inclusive else before))
     for out in (chunked, plain):
         assert sorted((r.g, r.i, r.out) for r in out.collect()) == expected
-    assert scan.largest_group(df, ["g"]) == 50
 
 
 def test_numbers_follow_the_order(spark):
@@ -94,9 +104,8 @@ def test_ids(spark):
     assert ids.next_number(stored.where("false"), "id", "external_acad").first()["next_id"] == "external_acad_0001"
 
 
-@pytest.mark.parametrize("literal_rows", [0, 200])
 @pytest.mark.parametrize("unmatched", ["quarantine", "first"])
-def test_assign_pages_on_both_paths(spark, literal_rows, unmatched):
+def test_assign_pages(spark, unmatched):
     pages = [(0, "https://f.com/Alpha/"), (1, "https://f.com/AlphaBeta"), (2, "https://f.com/gamma.page")]
     items = [
         (1, "https://f.com/alphabeta/posts/1", None), (2, "https://f.com/gamma.page", "x"), (3, "f.com/gam", None),
@@ -118,14 +127,21 @@ def test_assign_pages_on_both_paths(spark, literal_rows, unmatched):
 
     left = spark.createDataFrame(items, "i int, asked_url string, page_name string")
     right = spark.createDataFrame(pages, "page_seq bigint, url string")
-    got = match.assign_pages(left, right, unmatched=unmatched, literal_rows=literal_rows).collect()
+    got = match.assign_pages(left, right, unmatched=unmatched).collect()
     assert {r.i: r.page_seq for r in got} == {i: expected(a, n) for i, a, n in items}
 
 
-def test_salted_join(spark):
+def test_empty_items_match_no_page(spark):
+    left = spark.createDataFrame([(1, ""), (2, None), (3, "b.org"), (4, "x")], "i int, t string")
+    pages = spark.createDataFrame([(5, "https://b.org/"), (6, ""), (7, "b")], "seq bigint, page string")
+    got = match.with_first_overlap(left, "t", pages, F.col("page"), "seq", "found").collect()
+    assert {r.i: r.found for r in got} == {1: None, 2: None, 3: 5, 4: None}
+
+
+def test_unique_join(spark):
     left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(60)], "i int, k string").repartition(6)
     right = spark.createDataFrame([("hot", 1), ("k0", 2)], "k string, v int")
-    got = joins.salted_left_join(left, right, ["k"]).collect()
+    got = joins.unique_left_join(left, right, ["k"]).collect()
     assert len(got) == 60 and sum(r.v == 1 for r in got) == 40 and sum(r.v == 2 for r in got) == 1
 
 
@@ -243,3 +259,10 @@ def test_extract_runs_once_per_value(spark):
 
     got = dedupe.once_per_value(df, "uri", extract, "t").orderBy("i").collect()
     assert seen == [2] and [r.t for r in got] == ["U", "U", None, "V"]
+
+
+def test_a_new_suspension_is_no_cancellation(spark):
+    texts = ["walang pasok bukas: all classes cancelled due to typhoon", "classes suspended, concert cancelled", "suspended classes lifted", "midterms cancelled"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = tagging.tag_events(df, F.col("t")).orderBy("i").collect()
+    assert [r.is_cancellation for r in got] == [False, False, True, True]

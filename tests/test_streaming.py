@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from railtide.operators import dedupe
@@ -79,3 +81,14 @@ def test_staleness_alerts(spark, tmp_path):
         spark, tmp_path, [(1, "A", None, at(0)), (2, "B", None, at(0))], [(3, "B", None, at(40))], [(4, "C", None, at(80))], [(5, "C", None, at(81))])
     alerts = run_to_memory(streams.staleness_alerts(stream, "a", "ts", 45.0, "0 seconds"), "alerts", "append", str(tmp_path / "c"))
     assert [(r.a, r.last_seen) for r in alerts.collect()] == [("A", at(0))]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_table_of_parts_is_read_as_a_stream(spark, tmp_path, parts):
+    table = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    folder = str(tmp_path / "events.parquet")
+    table.repartition(parts).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    stream = streams.table_stream(stored, stored.schema)
+    streams.snapshot_stream(stream.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], str(tmp_path / "t"), str(tmp_path / "p"))
+    assert tables.read_table(spark, str(tmp_path / "t")).count() == table.select("user_id").distinct().count()
