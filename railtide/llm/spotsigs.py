@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railtide.llm.words import bound, words_column
+from railtide.session import cut_lineage
 
 # common words of English, German, French and Spanish that anchor signatures (fixed values)
 ANCHORS = (
@@ -17,6 +19,7 @@ ANCHORS = (
     "como con de del el es las lo los más no para por se su sus una y"
 ).split()
 CHAIN = 2
+THRESHOLD = 0.8
 # rows of a range of documents that are put in order together
 RANGE_ROWS = 1_000
 MOST_RANGES = 1 << 14
@@ -62,6 +65,45 @@ def likeness(a: Column, b: Column) -> Column:
     return bound(F.size(F.array_intersect(a, b)), share)
 
 
+def length_class(n: Column, threshold: float = THRESHOLD) -> Column:
+    """Partition of a set length: sets in classes that do not touch cannot be alike by ``threshold``."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-math.log(threshold)) + F.lit(1e-9)).cast("int")
+
+
+def near_pairs(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b, likeness): pairs of different fingerprints, each under its smallest key, that are alike.
+
+    Texts with one fingerprint are one set, so copies never pair up.  Sets are dealt by length
+    class and meet on a signature among their rarest: two sets alike by ``threshold`` share one of
+    the first n - ceil(threshold * n) + 1 in that order.  Lengths prune what meets, and the Jaccard
+    similarity of whole sets decides.  Sets without signatures are not compared.
+    """
+    signed = docs.select(F.col(key).alias("id"), signatures(words_column(F.col(text))).alias("signed"))
+    sets = cut_lineage(
+        signed.where(F.size("signed") > 0).groupBy("signed").agg(F.min("id").alias("id")).where("id is not null")
+        .select("id", "signed", F.size("signed").alias("n"))
+    )
+    listed = sets.select("id", "n", F.explode("signed").alias("sig"))
+    often = listed.groupBy("sig").agg(F.count("*").alias("often"))
+    rarest = Window.partitionBy("id").orderBy("often", "sig")
+    prefix = (
+        listed.join(often, "sig").withColumn("place", F.row_number().over(rarest))
+        .where(F.col("place") <= F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1)
+        .select("id", "n", "sig", length_class(F.col("n"), threshold).alias("class"))
+    )
+    prefix = cut_lineage(prefix)
+    # the longer set looks in its own class and in the one below
+    longer = prefix.select(F.col("id").alias("a"), F.col("n").alias("an"), "sig", F.explode(F.array("class", F.col("class") - 1)).alias("class"))
+    shorter = prefix.select(F.col("id").alias("b"), F.col("n").alias("bn"), "sig", "class")
+    met = longer.join(shorter, ["sig", "class"]).where(
+        ((F.col("an") > F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("a") < F.col("b")))) & (F.col("bn") >= threshold * F.col("an") - 1e-9)
+    ).select("a", "b").distinct()
+    one = sets.select(F.col("id").alias("a"), F.col("signed").alias("sa"))
+    two = sets.select(F.col("id").alias("b"), F.col("signed").alias("sb"))
+    scored = met.join(one, "a").join(two, "b").select("a", "b", likeness(F.col("sa"), F.col("sb")).alias("likeness"))
+    return scored.where(F.col("likeness") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
+
+
 def _neighbours(docs: DataFrame, key: str, text: str):
     """(rows, order): each row with the text of the row after it by descending key; the last has the first's.
 

@@ -62,3 +62,22 @@ def test_repeated_rows_and_clashing_names(odd_docs, odd_rows, no_docs):
     same = {r["fingerprint"] for r in got if r["doc_id"] in (6, 7)}
     assert len(same) == 1
     assert spotsigs.op1(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_near_pairs_against_all_pairs(spark, threshold):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    sets = {}
+    for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
+        signed = frozenset(slow_signatures(r["text"] or ""))
+        if signed and signed not in sets.values():
+            sets[r["doc_id"]] = signed
+    expected = {(a, b): alike(sets[a], sets[b]) for a in sets for b in sets if a < b and alike(sets[a], sets[b]) >= threshold}
+    got = {(r["a"], r["b"]): r["likeness"] for r in spotsigs.near_pairs(docs, threshold).collect()}
+    assert got == pytest.approx(expected)
+    assert expected or threshold == 0.8
+
+
+def test_near_pairs_of_odd_rows(odd_docs, no_docs):
+    assert all(r["a"] < r["b"] for r in spotsigs.near_pairs(odd_docs).collect())
+    assert spotsigs.near_pairs(no_docs).collect() == []
