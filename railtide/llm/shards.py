@@ -58,11 +58,38 @@ def best_fit(grades: Iterable[tuple[int, int]], capacity: int, most: int | None
     return out
 
 
+def best_fit_even(grades: Iterable[tuple[int, int]], shards: int):
+    """Best fit into ``shards`` bins of an even share; what fits nowhere goes to the emptiest bin."""
+    left = list(grades)
+    share = -(-sum(s * n for s, n in left) // shards)
+    free = [(share, i) for i in range(shards)]
+    out = []
+    for size, count in left:
+        while count:
+            at = bisect.bisect_left(free, (size, -1))
+            fits = at < len(free)
+            space, chosen = free.pop(at if fits else -1)
+            taken = min(count, space // size) if fits else 1
+            out.append((size, chosen, taken))
+            bisect.insort(free, (space - taken * size, chosen))
+            count -= taken
+    return out
+
+
+def spread_of(placed: list[tuple[int, int, int]], shards: int) -> int:
+    """Difference of the fullest and the emptiest bin."""
+    held = [0] * shards
+    for size, chosen, n in placed:
+        held[chosen] += size * n
+    return max(held) - min(held)
+
+
 def pack(grades: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int]]:
-    """Best fit into exactly ``shards`` bins of the smallest capacity that holds everything.
+    """Best fit into exactly ``shards`` bins: (size, bin, count).
 
-    A group larger than an even share cannot be divided: it has a shard of its own, and the rest
-    is packed into the other shards.
+    Two capacities are tried, the smallest that holds everything and the even share with overflow;
+    the more even result counts.  A group larger than an even share cannot be divided: it has a
+    shard of its own, and the rest is packed into the other shards.
     """
     left = sorted(([s, n] for s, n in grades if s > 0 and n > 0), reverse=True)
     total, alone = sum(s * n for s, n in left), []
@@ -86,7 +113,9 @@ def pack(grades: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int
             low = middle + 1
         else:
             high = middle
-    return alone + [(s, b + len(alone), n) for s, b, n in best_fit(left, high, rest)]
+    found = [best_fit(left, high, rest), best_fit_even(left, rest)]
+    even = min(found, key=lambda placed: spread_of(placed, rest))
+    return alone + [(s, b + len(alone), n) for s, b, n in even]
 
 
 def digest_of(text: str = "text") -> Column:

@@ -55,7 +55,7 @@ def test_links_carry_distrust_backwards_and_trust_forwards(spark):
         (3, "http://fan.com/2", "<a class=q HREF='//bad.net/z'>x</a>"), (4, "http://good.org/fr/", '<a href="http://seen.com/">s</a>'),
         (5, "http://seen.com/1", '<a href="http://bad.net/">x</a><a href="/home">h</a>'), (6, None, None), (6, None, None),
     ]
-    got = linkgraph.judge(spark.createDataFrame(pages, PAGE).withColumn("host", F.lit("clash"))).collect()
+    got = linkgraph.judge(spark.createDataFrame(pages, PAGE).withColumn("host", F.lit("clash")), threshold=0.2).collect()
     verdict = {r["page_id"]: r["verdict"] for r in got}
     assert verdict == {1: "block", 2: "block", 3: "block", 4: "allow", 5: verdict[5], 6: "allow"}
     assert len(got) == 7

@@ -33,6 +33,19 @@ def test_whole_sizes_at_once_equal_single_steps(seed):
     assert sorted(capacity - u for u in used.values()) == slow_best_fit(sizes, capacity)
 
 
+@pytest.mark.parametrize("sizes", [[57] * 300, [1000, 999, 5, 5, 5], [3], list(range(1, 200))])
+def test_all_items_are_packed(sizes):
+    placed = shards.pack(sorted(Counter(sizes).items()), 7)
+    assert Counter(s for s, _, n in placed for _ in range(n)) == Counter(sizes)
+    held = Counter()
+    for s, b, n in placed:
+        held[b] += s * n
+    assert all(0 <= b < 7 for b in held)
+    share = sum(sizes) / 7
+    if max(sizes) < share / 4:
+        assert max(held.values()) - min(held[b] for b in range(7)) <= max(sizes)
+
+
 def check(rows, got, count=24):
     assert len(got) == len(rows)
     of_text = {}
@@ -69,7 +82,7 @@ def test_a_group_larger_than_a_share_is_alone(docs_of):
     big = next(r["shard"] for r in got if r["doc_id"] == 0)
     assert {r["doc_id"] for r in got if r["shard"] == big} == set(range(300))
     rest = [h for s, h in enumerate(held) if s != big]
-    assert max(rest) - min(rest) < 0.05 * max(rest)
+    assert max(rest) - min(rest) < 0.12 * max(rest)
 
 
 def test_grades():
