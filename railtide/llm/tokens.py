@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 import re
@@ -81,6 +82,7 @@ class Counts(dict):
             self.update(table)
             self.odd = regex.compile(odd).search
 
+    @functools.cached_property
     def odd_characters(self) -> str:
         """Pattern of the characters that the library and SPLIT class differently (other Unicode versions)."""
         if not self.plain:
@@ -134,8 +136,9 @@ def frequent_pieces(docs: DataFrame, text: str, tokenizer: str, rows: int = TABL
                 for part in counts.cut(value) if counts.plain else ():
                     seen.update(counts.pieces(part))
         top = seen.most_common(entries)
-        yield pd.DataFrame({"piece": [p for p, _ in top], "seen": [n for _, n in top],
-                            "tokens": [counts[p] for p, _ in top]})
+        if top:
+            yield pd.DataFrame({"piece": [p for p, _ in top], "seen": [n for _, n in top],
+                                "tokens": [counts[p] for p, _ in top]})
 
     sample = docs.select(F.col(text).alias("text")).where("text is not null").limit(rows)
     found = (
@@ -154,7 +157,7 @@ def token_counter(docs: DataFrame, text: str = "text", tokenizer: str = "byte_bp
     count as the library counts them by default.  Texts are read whole.
     """
     table = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, text, tokenizer, rows, entries))
-    odd = _worker(tokenizer).odd_characters()
+    odd = _worker(tokenizer).odd_characters
 
     @pandas_udf("long")
     def count(values: pd.Series) -> pd.Series:
