@@ -127,25 +127,28 @@ def _worker(name: str) -> Counts:
 
 def frequent_pieces(docs: DataFrame, text: str, tokenizer: str, rows: int = TABLE_ROWS,
                     entries: int = TABLE_ENTRIES) -> dict[str, int]:
-    """At most ``entries`` pre-tokens with their token counts, the commonest of the first ``rows`` rows."""
+    """At most ``entries`` pre-tokens with their token counts, the commonest of the first ``rows`` rows.
+
+    Each task stops reading after ``rows`` rows, and the limit below runs tasks one after the
+    other until it is filled: in a large corpus only the first partition is looked at.
+    """
     def tally(batches):
         counts = _worker(tokenizer)
         seen: Counter = Counter()
+        read = 0
         for batch in batches:
-            for value in batch["text"]:
+            for value in batch["text"].iloc[: rows - read]:
                 for part in counts.cut(value) if counts.plain else ():
                     seen.update(counts.pieces(part))
+            read += len(batch)
+            if read >= rows:
+                break
         top = seen.most_common(entries)
         if top:
-            yield pd.DataFrame({"piece": [p for p, _ in top], "seen": [n for _, n in top],
-                                "tokens": [counts[p] for p, _ in top]})
-
-    sample = docs.select(F.col(text).alias("text")).where("text is not null").limit(rows)
-    found = (
-        sample.mapInPandas(tally, "piece string, seen long, tokens int").groupBy("piece")
-        .agg(F.sum("seen").alias("seen"), F.first("tokens").alias("tokens"))
-        .orderBy(F.desc("seen"), "piece").limit(entries).collect()
-    )
+            yield pd.DataFrame({"piece": [p for p, _ in top], "tokens": [counts[p] for p, _ in top]})
+
+    sample = docs.select(F.col(text).alias("text")).where("text is not null")
+    found = sample.mapInPandas(tally, "piece string, tokens int").limit(entries).collect()
     return {r["piece"]: r["tokens"] for r in found}
 
 
