@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from railtide.llm.components import components
+from railtide.llm.nearsets import near_set_components
 from railtide.session import cut_lineage
 
 SHINGLE_WORDS = 3
@@ -202,12 +203,15 @@ def op10(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One row of each component, that of the smallest doc_id; same columns.
+    """One row of each group of near copies, that of the smallest doc_id; same columns.
 
-    The pipeline's shingles have five words.  Of rows that repeat a doc_id one stays, that of the
-    smallest text hash.  Rows without a doc_id stay, as nothing tells which of them is first.
+    Near copies have sets of five-word shingles of Jaccard similarity 0.8 or more.  Bits of a
+    SimHash tell such texts from others too poorly: at 0.8 one bit in seven differs, so no list of
+    equal bytes brings most of them together and stays short.  ``nearsets`` finds them.  Of rows
+    that repeat a doc_id one stays, that of the smallest text hash.  Rows without a doc_id stay, as
+    nothing tells which of them is first.
     """
-    first = near_components(docs, shingle_words=5).where("doc_id = component").select(F.col("doc_id").alias("_first")).distinct()
+    first = near_set_components(docs).where("doc_id = component").select(F.col("doc_id").alias("_first")).distinct()
     met = docs.where("doc_id is not null").join(first, docs["doc_id"] == F.col("_first"), "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     once = met.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")

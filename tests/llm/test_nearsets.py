@@ -1,0 +1,96 @@
+import itertools
+import random
+
+import corpus_pipeline
+from railtide.llm import nearsets, simhash
+
+
+def slow_set(text):
+    found = text.lower().split()
+    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
+
+
+def slow_first(rows):
+    """Smallest doc_id of each group over all pairs of Jaccard similarity 0.8 or more; pairs too."""
+    sets = {d: slow_set(t) for d, t in rows}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    pairs = []
+    for a, b in itertools.combinations(sets, 2):
+        shared = len(sets[a] & sets[b])
+        if 5 * shared >= 4 * (len(sets[a]) + len(sets[b]) - shared):
+            pairs.append((a, b))
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    return {find(d) for d in sets}, pairs, sets
+
+
+def planted(rng, groups=50):
+    """Texts and copies of them with words replaced, of similarity from about 0.6 up to 1."""
+    rows = []
+    for g in range(groups):
+        n = rng.choice((60, 200, 500))
+        base = [f"g{g}w{rng.randrange(2000)}" for _ in range(n)]
+        rows.append(base)
+        for share in (0.002, 0.01, 0.018, 0.021, 0.023, 0.03, 0.05):
+            copy = list(base)
+            for at in rng.sample(range(n), max(1, round(share * n))):
+                copy[at] = f"new{rng.randrange(10 ** 6)}"
+            rows.append(copy)
+    ids = rng.sample(range(10_000), len(rows))
+    return [(i, " ".join(r)) for i, r in zip(ids, rows)]
+
+
+def test_copies_from_four_fifths_on_meet_and_no_others(docs_of):
+    rows = planted(random.Random(17))
+    expected, pairs, sets = slow_first(rows)
+    like = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in pairs]
+    assert sum(0.8 <= x < 0.85 for x in like) >= 40
+    assert {r["doc_id"] for r in simhash.keep_first(docs_of(rows)).collect()} == expected
+
+
+def test_one_large_group_and_texts_of_its_edge(docs_of):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(200):
+        copy = list(base)
+        for at in rng.sample(range(150), i % 6):
+            copy[at] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((1000 - i, " ".join(copy)))
+    assert {r["doc_id"] for r in simhash.keep_first(docs_of(rows)).collect()} == slow_first(rows)[0]
+
+
+def test_a_pair_at_four_fifths_shares_a_band():
+    rng = random.Random(2)
+    for _ in range(300):
+        shared, own = [f"{rng.random()}" for _ in range(80)], [f"{rng.random()}" for _ in range(20)]
+        a, b = (nearsets.np.unique([nearsets.xxhash.xxh64_intdigest(s) for s in part]).astype(nearsets.U64) for part in (shared + own[:10], shared + own[10:]))
+        assert set(nearsets.bands(a).tolist()) & set(nearsets.bands(b).tolist())
+
+
+def test_whole_pipeline_against_all_pairs(spark, tmp_path, docs_of, monkeypatch):
+    """run() over planted copies: what leaves the other stages alone is one text of each group."""
+    rows = planted(random.Random(23), groups=12)
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    seen = {}
+
+    def kept(name, stage):
+        def run(*args):
+            out = stage(*args)
+            seen[name] = (sorted(r["doc_id"] for r in args[1].collect()), sorted(r["doc_id"] for r in out.collect()))
+            return out
+        return name, run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [kept(*s) for s in corpus_pipeline.STAGES])
+    corpus_pipeline.run(spark, str(tmp_path))
+    before, after = seen["simhash near-dedup"]
+    assert after == sorted(slow_first([r for r in rows if r[0] in set(before)])[0])
+    assert len(after) < len(before)
