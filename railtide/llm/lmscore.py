@@ -2,185 +2,247 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructType
 
-from railtide.llm.wordhash import U64, chunks, mix, words_of
+from railtide.llm.wordhash import STEP, U64, chunks, mix, words_of
+from railtide.session import cut_lineage
 
-# cells of the hashed count tables: the models have this size whatever the corpus
-WORD_BITS = 20
-PAIR_BITS = 22
-BLOCK = 4096
 # words met fewer times in the whole corpus are one unknown word
 LEAST_COUNT = 2
 # pull of word pairs towards the single word's probability
 PULL = 4.0
-UNKNOWN = 1 << WORD_BITS
-START = UNKNOWN + 1
-
-
-@dataclass(frozen=True)
-class Models:
-    """Counts of both models over one vocabulary; index 0 is the target, 1 the background."""
-
-    known: np.ndarray
-    words: np.ndarray
-    pairs: np.ndarray
-
-    def losses(self, run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens, loss per token of both models) of each text; a text without words has loss 0."""
-        word, before, owner = _tokens(run, self.known)
-        pair = _pair(word, before)
-        tokens = np.bincount(owner, minlength=len(run))
-        out = np.zeros((2, len(run)))
-        for m in (0, 1):
-            single = (self.words[m][word] + 1.0) / (self.words[m][:START].sum(dtype=float) + self.known.sum() + 1.0)
-            p = (self.pairs[m][pair] + PULL * single) / (self.words[m][before] + PULL)
-            out[m] = np.bincount(owner, -np.log2(p), minlength=len(run)) / np.maximum(tokens, 1)
-        return tokens, out
+UNKNOWN, START = U64(1), U64(2)
+# Counts are summed in ranges of the 64-bit hashes, one range at a time in a task: there are more
+# ranges the more entries the corpus gives, about so many entries each
+RANGE_ENTRIES = 2_000_000
 
 
-def _cells(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    words, owner = words_of(run, fold=True, marks=False)
-    return (words >> U64(64 - WORD_BITS)).astype(np.int64), owner
+def _pack(values: np.ndarray) -> bytes:
+    """Compressed with equal bytes of all values side by side."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
 
 
-def _tokens(run: list[bytes], known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, word before, place of the text); the first word of a text follows START."""
-    cell, owner = _cells(run)
-    word = np.where(known[cell], cell, UNKNOWN)
-    before = np.append(START, word[:-1])[: len(word)]
-    before[np.append(True, owner[1:] != owner[:-1])[: len(word)]] = START
-    return word, before, owner
+def _unpack(data: bytes, kind) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).reshape(-1).view(kind)
 
 
-def _pair(word: np.ndarray, before: np.ndarray) -> np.ndarray:
-    both = before.astype(U64) << U64(WORD_BITS + 1) | word.astype(U64)
-    return (mix(both) >> U64(64 - PAIR_BITS)).astype(np.int64)
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return _pack(np.diff(keys, prepend=U64(0)))
 
 
-def _blocks(table: int, counts: np.ndarray):
-    """Rows (block, counts) of the blocks that are not all zero, compressed."""
-    packer = zstandard.ZstdCompressor(level=1)
-    for at in range(0, len(counts), BLOCK):
-        part = counts[at : at + BLOCK]
-        if part.any():
-            yield table << 32 | at // BLOCK, packer.compress(part.tobytes())
+def _unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data, U64), dtype=U64)
 
 
-def _frame(rows) -> pd.DataFrame:
-    rows = list(rows)
-    return pd.DataFrame({"block": pd.Series([b for b, _ in rows], dtype="int64"), "counts": [c for _, c in rows]})
+def _rows(batches):
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield {name: batch.column(i)[at] for i, name in enumerate(batch.schema.names)}
 
 
-def _sum_blocks(parts: DataFrame) -> list:
-    """Blocks summed over all tasks.  Each task adds up its blocks one row at a time."""
-    def add(batches):
-        at, total = None, None
-        unpack = zstandard.ZstdDecompressor().decompress
-        packer = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            done = []
-            for block, data in zip(batch["block"], batch["counts"]):
-                part = np.frombuffer(unpack(data), dtype=np.int64)
-                if block == at:
-                    total = total + part
-                    continue
-                if at is not None:
-                    done.append((at, packer.compress(total.tobytes())))
-                at, total = block, part
-            yield _frame(done)
-        if at is not None:
-            yield _frame([(at, packer.compress(total.tobytes()))])
-
-    met = parts.repartition("block").sortWithinPartitions("block")
-    return met.mapInPandas(add, "block long, counts binary").collect()
-
-
-def _table(rows: list, number: int, size: int) -> np.ndarray:
-    out = np.zeros(size, dtype=np.int64)
-    unpack = zstandard.ZstdDecompressor().decompress
-    for r in rows:
-        if r["block"] >> 32 == number:
-            part = np.frombuffer(unpack(r["counts"]), dtype=np.int64)
-            at = (r["block"] & 0xFFFFFFFF) * BLOCK
-            out[at : at + len(part)] = part
-    return out
-
-
-def vocabulary(docs: DataFrame, text: str = "text", least: int = LEAST_COUNT) -> np.ndarray:
-    """Which word cells hold at least ``least`` words of the whole corpus."""
-    def count(batches):
-        total = np.zeros(1 << WORD_BITS, dtype=np.int64)
-        for batch in batches:
-            for run in chunks(list(batch["text"])):
-                total += np.bincount(_cells(run)[0], minlength=len(total))
-        yield _frame(_blocks(0, total))
-
-    plain = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return _table(_sum_blocks(plain.mapInPandas(count, "block long, counts binary")), 0, 1 << WORD_BITS) >= least
+def _counts(place: np.ndarray, size: int, weights: np.ndarray) -> np.ndarray:
+    return np.bincount(place, weights, minlength=size).astype(np.int64)
 
 
-def fit(docs: DataFrame, target: DataFrame, text: str = "text", key: str = "doc_id") -> Models:
-    """Both models from all documents: ``target`` (key) names those of the target, the background is every document.
-
-    The models match in vocabulary, order, smoothing and cells, so the difference of their losses
-    is about the texts.  Tasks send compressed blocks of counts, never words or pairs.
+def _chunked(docs: DataFrame) -> DataFrame:
+    """Rows of (key, text, target) to one row per about four megabytes of text: its different words
+    and, per token, which of them it is.
     """
-    known = vocabulary(docs, text)
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    chosen = target.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
-    flagged = (
-        docs.select(F.col(key).alias("_own"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .join(chosen, F.col("_own") == F.col("_key"), "left").select("text", F.col("_key").isNotNull().alias("target"))
+    kind = docs.schema["key"].dataType
+    schema = (
+        StructType().add("chunk", LongType()).add("keys", ArrayType(kind)).add("words", BinaryType()).add("tokens", BinaryType())
+        .add("lengths", BinaryType()).add("targets", BinaryType()).add("n_words", LongType()).add("n_tokens", LongType())
+        .add("n_target", LongType()).add("starts", LongType()).add("target_starts", LongType())
     )
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
 
-    def count(batches):
-        words = np.zeros((2, START + 1), dtype=np.int64)
-        pairs = np.zeros((2, 1 << PAIR_BITS), dtype=np.int64)
+    def run(batches):
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for m, part in ((0, batch[batch["target"]]), (1, batch)):
-                for run in chunks(list(part["text"])):
-                    word, before, _ = _tokens(run, shared.value)
-                    words[m] += np.bincount(word, minlength=words.shape[1])
-                    words[m][START] += np.count_nonzero(before == START)
-                    np.add.at(pairs[m], _pair(word, before), 1)
-        for m in (0, 1):
-            yield _frame(_blocks(m, words[m]))
-            yield _frame(_blocks(2 + m, pairs[m]))
-
-    rows = _sum_blocks(flagged.mapInPandas(count, "block long, counts binary"))
-    return Models(
-        known, np.stack([_table(rows, m, START + 1) for m in (0, 1)]).astype(np.float32),
-        np.stack([_table(rows, 2 + m, 1 << PAIR_BITS) for m in (0, 1)]).astype(np.float32),
-    )
+            first = 0
+            targets = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)
+            for texts in chunks(batch.column(1).to_pylist()):
+                found, owner = words_of(texts, fold=True, marks=False)
+                words, tokens = np.unique(found, return_inverse=True)
+                lengths = np.bincount(owner, minlength=len(texts)).astype(np.uint32)
+                target = targets[first : first + len(texts)]
+                keys = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column(0).slice(first, len(texts)))
+                values = [
+                    number, None, _pack_keys(words), _pack(tokens.astype(np.uint32)), _pack(lengths), _pack(target), len(words),
+                    len(tokens), int(lengths[target > 0].sum()), int((lengths > 0).sum()), int(((lengths > 0) & (target > 0)).sum()),
+                ]
+                yield pa.RecordBatch.from_arrays([
+                    keys.cast(f.type) if f.name == "keys" else pa.array([v], f.type) for f, v in zip(arrow, values)
+                ], schema=arrow)
+                first += len(texts)
+                number += 1
+
+    return docs.mapInArrow(run, schema)
+
+
+PARTS = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("keys", pa.binary()), ("target", pa.binary()), ("all", pa.binary())])
+SUMS = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("target", pa.binary()), ("all", pa.binary())])
+PARTS_DDL = "chunk long, range int, keys binary, target binary, all binary"
+SUMS_DDL = "chunk long, range int, target binary, all binary"
+
+
+def _parts(chunk: int, ranges: int, keys: np.ndarray, target: np.ndarray, every: np.ndarray) -> pa.RecordBatch:
+    """Counts of a chunk by sorted key, cut at the bounds of the ranges."""
+    place = (keys >> U64(32)) * U64(ranges) >> U64(32)
+    cuts = np.append(np.append(0, np.flatnonzero(place[1:] != place[:-1]) + 1), len(keys))
+    spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
+    return pa.RecordBatch.from_arrays([
+        pa.array([chunk] * len(spans), pa.int64()), pa.array([int(place[s.start]) for s in spans], pa.int32()),
+        pa.array([_pack_keys(keys[s]) for s in spans], pa.binary()), pa.array([_pack(target[s].astype(np.uint32)) for s in spans], pa.binary()),
+        pa.array([_pack(every[s].astype(np.uint32)) for s in spans], pa.binary()),
+    ], schema=PARTS)
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    """Exact sums over the corpus of every key, for each chunk in the order of its own keys.
+
+    Of every range there is one row more, of chunk -1: (keys with LEAST_COUNT or more, target count
+    and count of the other keys).
+    """
+    def of_range(number, held):
+        keys = [_unpack_keys(k) for _, k, _, _ in held]
+        ends = np.cumsum([0, *map(len, keys)])
+        _, place = np.unique(np.concatenate(keys), return_inverse=True)
+        size = int(place.max()) + 1
+        target, every = (_counts(place, size, np.concatenate([_unpack(h[i], np.uint32) for h in held])) for i in (2, 3))
+        rare = every < LEAST_COUNT
+        facts = np.array([np.count_nonzero(~rare), target[rare].sum(), every[rare].sum()], dtype=np.int64)
+        spans = [place[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        return pa.RecordBatch.from_arrays([
+            pa.array([-1, *(h[0] for h in held)], pa.int64()), pa.array([number] * (len(held) + 1), pa.int32()),
+            pa.array([_pack(facts), *(_pack(target[s]) for s in spans)], pa.binary()),
+            pa.array([b"", *(_pack(every[s]) for s in spans)], pa.binary()),
+        ], schema=SUMS)
+
+    def run(batches):
+        number, held = None, []
+        for r in _rows(batches):
+            if held and r["range"].as_py() != number:
+                yield of_range(number, held)
+                held = []
+            number = r["range"].as_py()
+            held.append((r["chunk"].as_py(), r["keys"].as_py(), r["target"].as_py(), r["all"].as_py()))
+        if held:
+            yield of_range(number, held)
+
+    return parts.repartition("range").sortWithinPartitions("range").mapInArrow(run, SUMS_DDL)
+
+
+def _by_chunk(sums: DataFrame, name: str) -> DataFrame:
+    """One row per chunk: its sums in the order of the ranges, which is that of its keys."""
+    return sums.where("chunk >= 0").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("range", "target", "all"))).alias(name))
+
+
+def _joined(got: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    rows = got.as_py() or []
+    return tuple(np.concatenate([np.zeros(0, np.int64), *(_unpack(r[m], np.int64) for r in rows)]) for m in ("target", "all"))
+
+
+def _ranges(entries: int | None) -> int:
+    return max(1, -(-(entries or 0) // RANGE_ENTRIES))
+
+
+class _Chunk:
+    """Tokens of a chunk after rare words have become one: pairs with the word before."""
+
+    def __init__(self, row: dict):
+        words = _unpack_keys(row["words"].as_py())
+        self.tokens = _unpack(row["tokens"].as_py(), np.uint32).astype(np.int64)
+        self.lengths = _unpack(row["lengths"].as_py(), np.uint32).astype(np.int64)
+        targets = _unpack(row["targets"].as_py(), np.uint8)
+        self.owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.target = targets[self.owner].astype(np.int64)
+        self.counts = _joined(row["word_sums"])
+        self.rare = self.counts[1] < LEAST_COUNT
+        word = np.where(self.rare, UNKNOWN, words)[self.tokens]
+        self.opens = np.append(True, self.owner[1:] != self.owner[:-1])[: len(word)]
+        before = np.append(START, word[:-1])[: len(word)].astype(U64)
+        before[self.opens] = START
+        self.pairs, self.pair = np.unique(mix(before * U64(3) + (word ^ STEP)), return_inverse=True)
 
 
 def score_documents(docs: DataFrame, target: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, target_loss, background_loss, score): bits per token and their difference.
 
+    ``target`` (key) names the documents of the target model, the background is every document.
+    The models match in vocabulary, order and smoothing, so the difference of their losses is about
+    the texts.  Counts of words and of word pairs are exact (by 64-bit hash) and grow with the
+    corpus: each chunk of documents sends its different words, then pairs, to ranges of hashes,
+    which send the sums over the corpus back.  No model is held as a whole anywhere.
+
     A low score means closer to the target than to the corpus.  Tokens are lower-cased words; texts
     without any (NULL, empty, punctuation) have losses and score 0.  Equal texts score alike.
     """
-    models = docs.sparkSession.sparkContext.broadcast(fit(docs, target, text, key))
-
-    @pandas_udf("n_tokens long, target_loss double, background_loss double")
-    def losses(values: pd.Series) -> pd.DataFrame:
-        found = [models.value.losses(run) for run in chunks(list(values))]
-        tokens = np.concatenate([t for t, _ in found]) if found else np.zeros(0, np.int64)
-        loss = np.concatenate([b for _, b in found], axis=1) if found else np.zeros((2, 0))
-        return pd.DataFrame({"n_tokens": tokens, "target_loss": loss[0], "background_loss": loss[1]})
-
-    scored = docs.select(F.col(key).alias(key), losses(F.coalesce(F.col(text), F.lit(""))).alias("_s"))
+    chosen = target.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
+    flagged = (
+        docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        .join(chosen, F.col("key") == F.col("_key"), "left").select("key", "text", F.col("_key").isNotNull().alias("target"))
+    )
+    held = cut_lineage(_chunked(flagged))
+    size = held.agg(*[F.sum(c).alias(c) for c in ("n_words", "n_tokens", "n_target", "starts", "target_starts")]).first()
+
+    word_ranges = _ranges(size["n_words"])
+
+    def word_parts(batches):
+        for r in _rows(batches):
+            words, tokens = _unpack_keys(r["words"].as_py()), _unpack(r["tokens"].as_py(), np.uint32).astype(np.int64)
+            flags = np.repeat(_unpack(r["targets"].as_py(), np.uint8), _unpack(r["lengths"].as_py(), np.uint32).astype(np.int64))
+            if len(words):
+                n = len(words)
+                yield _parts(r["chunk"].as_py(), word_ranges, words, _counts(tokens, n, flags), np.bincount(tokens, minlength=n))
+
+    word_sums = cut_lineage(_summed(held.select("chunk", "words", "tokens", "lengths", "targets").mapInArrow(word_parts, PARTS_DDL)))
+    facts = [_unpack(r["target"], np.int64) for r in word_sums.where("chunk < 0").select("target").collect()]
+    known, *unknown = (int(n) for n in np.sum([np.zeros(3, np.int64), *facts], axis=0))
+    totals = (size["n_target"] or 0, size["n_tokens"] or 0)
+    starts = (size["target_starts"] or 0, size["starts"] or 0)
+    pair_ranges = _ranges(size["n_tokens"])
+
+    def pair_parts(batches):
+        for r in _rows(batches):
+            c = _Chunk(r)
+            if len(c.pairs):
+                n = len(c.pairs)
+                yield _parts(r["chunk"].as_py(), pair_ranges, c.pairs, _counts(c.pair, n, c.target), np.bincount(c.pair, minlength=n))
+
+    told = held.join(_by_chunk(word_sums, "word_sums"), "chunk", "left")
+    columns = ["chunk", "words", "tokens", "lengths", "targets", "word_sums"]
+    pair_sums = cut_lineage(_summed(told.select(*columns).mapInArrow(pair_parts, PARTS_DDL)))
+
+    kind = docs.schema[key].dataType
+    schema = StructType().add("key", kind).add("n_tokens", LongType()).add("target_loss", DoubleType()).add("background_loss", DoubleType())
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
+
+    def losses(batches):
+        for r in _rows(batches):
+            c = _Chunk(r)
+            pairs, out = _joined(r["pair_sums"]), []
+            for m in (0, 1):
+                word = np.where(c.rare, unknown[m], c.counts[m])[c.tokens].astype(float)
+                before = np.append(0.0, word[:-1])[: len(word)]
+                before[c.opens] = starts[m]
+                single = (word + 1.0) / (totals[m] + known + 1.0)
+                p = (pairs[m][c.pair] + PULL * single) / (before + PULL)
+                out.append(np.bincount(c.owner, -np.log2(p), minlength=len(c.lengths)) / np.maximum(c.lengths, 1))
+            yield pa.RecordBatch.from_arrays([r["keys"].values.cast(arrow[0].type), pa.array(c.lengths), *map(pa.array, out)], schema=arrow)
+
+    scored = told.join(_by_chunk(pair_sums, "pair_sums"), "chunk", "left").select("keys", *columns, "pair_sums").mapInArrow(losses, schema)
     return scored.select(
-        key, "_s.n_tokens", "_s.target_loss", "_s.background_loss",
-        (F.col("_s.target_loss") - F.col("_s.background_loss")).alias("score"),
+        F.col("key").alias(key), "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"),
     )
 
 

@@ -63,3 +63,34 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     assert len({r["score"] for r in got if r["doc_id"] in (6, 7)}) == 1
     assert lmscore.op6(no_docs, labels).collect() == []
     assert lmscore.op6(odd_docs, labels.where("false")).count() == len(odd_rows)
+
+
+def test_more_pairs_than_any_fixed_table(spark, docs_of):
+    """5 million different pairs of 300,000 words; each comes as often as counted."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    drawn = rng.integers(0, 300_000, (2500, 2000))
+    rows = [(i, " ".join(f"q{w:x}" for w in line)) for i, line in enumerate(drawn.tolist())]
+    target = list(range(0, 2500, 5))
+    frame = spark.createDataFrame([(t,) for t in target], "doc_id bigint")
+    df = docs_of(rows[:0]).unionByName(spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs_of([]).schema).repartition(8))
+    got = {r["doc_id"]: (r["target_loss"], r["background_loss"]) for r in lmscore.score_documents(df, frame).collect()}
+    assert len(got) == 2500
+
+    losses = []
+    known = np.bincount(drawn.ravel(), minlength=300_000) >= 2
+    words = np.where(known[drawn], drawn, 300_000)
+    before = np.hstack([np.full((2500, 1), 300_001), words[:, :-1]])
+    pair = before * 300_002 + words
+    for part in (np.arange(0, 2500, 5), np.arange(2500)):
+        single = np.bincount(words[part].ravel(), minlength=300_002)
+        context = single.copy()
+        context[300_001] = len(part)
+        keys, n = np.unique(pair[part], return_counts=True)
+        at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        both = np.where(keys[at] == pair, n[at], 0)
+        p = (both + lmscore.PULL * (single[words] + 1) / (single.sum() + known.sum() + 1)) / (context[before] + lmscore.PULL)
+        losses.append(-np.log2(p).mean(axis=1))
+    assert len(np.unique(pair)) > 1 << 22
+    assert np.abs(np.array([got[i] for i in range(2500)]) - np.array(losses).T).max() < 1e-6
