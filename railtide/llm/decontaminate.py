@@ -10,21 +10,40 @@ from pyspark.sql import functions as F
 from railtide.llm.words import bound, hashed, words_column
 from railtide.session import cut_lineage
 
-# 1: the token counts, 0: any token will do; two substitutions close together spoil one mask, rarely both
+# 1: the token counts, 0: any token will do.  These are the masks of the SQL alone.
 MASKS = ("11101100101", "11010011011")
 # an overlap is a stretch of so many tokens, of which so large a share is equal place by place
 WINDOW = 15
 SHARE = 0.8
+# By the length of an overlap: masks of which one at least, somewhere in the overlap, looks at equal
+# tokens only, whichever of its tokens differ as SHARE allows (one of 5 to 9, two of 10 to 14, three
+# of 15).  Found by search, tested by enumeration.
+SEEDS = {
+    5: ("1111", "11011", "11101", "10111"),
+    6: ("1111", "110011"),
+    7: ("11111", "111011", "1101101"),
+    8: ("111111", "11110011", "11001111"),
+    9: ("1101111", "11111001"),
+    10: ("111011", "11010011", "1100001011"),
+    11: ("1101111", "111100011", "1100011011"),
+    12: ("11101011", "1100100111", "110000101011"),
+    13: ("11101011", "1100100111", "110000101011"),
+    14: ("111001011", "11001000001011"),
+    15: ("1101111", "11100010011", "10001101011"),
+}
 # a benchmark item of fewer words occurs in ordinary text and is not looked for
 LEAST_WORDS = 5
 # seeds of the benchmark may be broadcast up to this many rows, about 60 MB
 BROADCAST_SEEDS = 500_000
 
 
-def _masks(lengths: list[int]) -> list[str]:
-    """The masks, and for items shorter than a mask one that looks at every token."""
-    span = max(map(len, MASKS))
-    return [*MASKS, *("1" * n for n in sorted(lengths) if LEAST_WORDS <= n < span)]
+def _masks(lengths: list[int]) -> dict[str, list[int]]:
+    """Masks for overlaps of the given lengths, each with those it is for."""
+    out = {}
+    for n in sorted(lengths):
+        for mask in SEEDS[n]:
+            out.setdefault(mask, []).append(n)
+    return out
 
 
 def seed_hashes(tokens: Column, mask: str, number: int) -> Column:
@@ -35,14 +54,20 @@ def seed_hashes(tokens: Column, mask: str, number: int) -> Column:
     return F.when(F.size(tokens) >= len(mask), one).otherwise(F.array().cast("array<bigint>"))
 
 
-def _seeds(df: DataFrame, keep: list[str], tokens: Column, masks: list[str], place: str) -> DataFrame:
-    """One row per seed: the columns of ``keep``, the seed's hash and its place in ``tokens``."""
+def _seeds(df: DataFrame, keep: list[str], tokens: Column, masks: dict[str, list[int]], place: str, items: bool = False) -> DataFrame:
+    """One row per seed: the columns of ``keep``, the seed's hash and its place in ``tokens``.
+
+    Of ``items`` only the masks for the item's length are taken, of texts all.
+    """
     def listed(held: Column) -> Column:
-        counts = [F.greatest(F.size(held) - len(m) + 1, F.lit(0)) for m in masks]
+        window = F.least(F.size(held), F.lit(WINDOW))
+        taken = [window.isin(lengths) if items else F.lit(True) for lengths in masks.values()]
+        counts = [F.when(t, F.greatest(F.size(held) - len(m) + 1, F.lit(0))).otherwise(F.lit(0)) for m, t in zip(masks, taken)]
         before = [functools.reduce(lambda a, b: a + b, counts[:i], F.lit(0)) for i in range(len(masks) + 1)]
-        return F.struct(
-            F.array(*before).alias("starts"), F.concat(*[seed_hashes(held, m, i) for i, m in enumerate(masks)]).alias("hashes")
-        )
+        hashes = [
+            F.when(t, seed_hashes(held, m, i)).otherwise(F.array().cast("array<bigint>")) for i, (m, t) in enumerate(zip(masks, taken))
+        ]
+        return F.struct(F.array(*before).alias("starts"), F.concat(*hashes).alias("hashes"))
 
     made = df.select(*keep, bound(tokens, listed).alias("s")).select(*keep, F.col("s.starts").alias("starts"), F.posexplode("s.hashes").alias("n", "seed"))
     at = F.col("n")
@@ -93,12 +118,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataF
     Seeds of texts meet seeds of the benchmark in one equi-join; hits on one diagonal of a text and
     an item are one candidate.  Candidates are few and come back to their texts by digest, where
     the tokens around them are compared place by place: an overlap is WINDOW tokens (or the whole
-    item, if shorter) of which SHARE are equal.  Every place of every text is a seed.
+    item, if shorter) of which SHARE are equal.  Every place of every text is a seed, and every
+    overlap holds one that no substitution touches.
     """
     items = cut_lineage(benchmark_items(benchmark))
-    lengths = [r["n"] for r in items.select(F.size("tokens").alias("n")).where(F.col("n") < max(map(len, MASKS))).distinct().collect()]
-    masks = _masks(lengths)
-    seeds = cut_lineage(_seeds(items, ["item"], F.col("tokens"), masks, "item_at"))
+    lengths = [r["n"] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW)).alias("n")).distinct().collect()]
+    masks = _masks(lengths or [WINDOW])
+    seeds = cut_lineage(_seeds(items, ["item"], F.col("tokens"), masks, "item_at", items=True))
     asked = F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds
     texts = docs.select(_digest(text).alias("digest"), F.col(text).alias("text"))
     candidates = (

@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 import pytest
@@ -96,3 +98,29 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
 def test_no_python_runs(spark, docs_of):
     plan = decontaminate.op2(docs_of([(1, "a")]), spark.createDataFrame([(1, "a b c d e f")], BENCH))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("n", range(decontaminate.LEAST_WORDS, decontaminate.WINDOW + 1))
+def test_every_overlap_that_is_accepted_holds_a_seed(n):
+    places = [{at + i for i, c in enumerate(m) if c == "1"} for m in decontaminate.SEEDS[n] for at in range(n - len(m) + 1)]
+    differ = n - math.ceil(decontaminate.SHARE * n)
+    assert all(any(not p & set(spoilt) for p in places) for spoilt in itertools.combinations(range(n), differ))
+
+
+def test_no_overlap_of_any_length_is_missed(spark, docs_of):
+    """All substitutions of items of 5 to 16 words, also cut off by the end of the text."""
+    rng = random.Random(31)
+    items = [[f"i{n}w{j}" for j in range(n)] for n in range(5, 17)]
+    texts = []
+    for item in items:
+        w = min(len(item), 15)
+        spoilt = list(itertools.combinations(range(w), w - math.ceil(0.8 * w)))
+        for pattern in rng.sample(spoilt, min(len(spoilt), 60)):
+            texts.append(["a", *["x" if j in pattern else t for j, t in enumerate(item)], "b"])
+        texts.append(["a", *["x" if j < 1 + w - math.ceil(0.8 * w) else t for j, t in enumerate(item[:w])], "b"])
+        texts.append(item[w - math.ceil(0.8 * w) : w])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], BENCH)
+    expected = slow_flags(rows, [" ".join(t) for t in items])
+    assert flags(docs_of(rows), bench) == expected
+    assert 0 < sum(expected.values()) < len(rows)
