@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from railtide.llm import decontaminate, linkgraph, lmscore, mixing, quality, repeats, shards, simhash, spotsigs, tokens
+from railtide.llm import (
+    align, decontaminate, infill, linkgraph, lmscore, mixing, packing, quality, repeats, shards, simhash, spotsigs, tokens,
+)
 from railtide.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,4 +39,7 @@ register("op7_mixing", mixing.op7, "documents", sql=mixing.OP7_SQL)
 register("op8_url_filter", linkgraph.op8, "pages", sql=linkgraph.OP8_SQL)
 register("op9_token_counts", tokens.op9, "documents")
 register("op10_simhash", simhash.op10, "documents")
+register("op11_fill_in_middle", infill.op11, "documents", sql=infill.OP11_SQL)
+register("op12_align", align.op12, "documents")
+register("op13_packing", packing.op13, "documents")
 QUERIES["pipeline"] = corpus_pipeline.run
