@@ -15,6 +15,9 @@ from railtide.llm.tokens import BYTE_LETTERS, Counts
 CACHE_ENTRIES = 200_000
 CACHE_CHARS = 64
 
+# how byte-level vocabularies write each byte
+LETTER_OF = [BYTE_LETTERS.get(b, chr(b)) for b in range(256)]
+
 _workers: dict[tuple, "ByteIds | PieceIds"] = {}
 
 
@@ -31,31 +34,35 @@ class ByteIds(Counts):
     seconds to find and so comes from the driver.
     """
 
-    def __init__(self, name: str, special: bool, odd: str):
+    def __init__(self, name: str, special: bool, odd: str, entries: int):
         super().__init__(name)
+        self.entries = entries
         self.library.encode_special_tokens = not special
         added = sorted(self.library.get_added_tokens_decoder().items(), key=lambda kv: -len(kv[1].content))
         self.special_ids = {a.content: packed([i]) for i, a in added} if special else {}
         self.halves = regex.compile("|".join(f"({regex.escape(c)})" for c in self.special_ids)).split if self.special_ids else None
         self.odd = regex.compile(odd).search
+        self.written = [packed([i]) for i in range(self.library.get_vocab_size(with_added_tokens=True))]
+        # a vocabulary with every byte gives back every piece
+        self.closed = set(LETTER_OF) <= self.library.get_vocab(with_added_tokens=False).keys()
         self.exact = True
 
     @functools.cached_property
     def token_bytes(self) -> list[bytes]:
         """Bytes of each id."""
-        letters = {chr(b): b for b in range(256) if b not in BYTE_LETTERS} | {c: b for b, c in BYTE_LETTERS.items()}
+        letters = {c: b for b, c in enumerate(LETTER_OF)}
         out = [b""] * self.library.get_vocab_size(with_added_tokens=True)
         for token, i in self.library.get_vocab(with_added_tokens=True).items():
             out[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         return out
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
         raw = piece.encode("utf-8", "surrogatepass")
-        ids = [t.id for t in self.library.model.tokenize(raw.decode("latin-1").translate(BYTE_LETTERS))]
-        out = packed(ids)
-        if b"".join(map(self.token_bytes.__getitem__, ids)) != raw:
+        ids = [t.id for t in self.library.model.tokenize("".join([LETTER_OF[b] for b in raw]))]
+        out = b"".join([self.written[i] for i in ids])
+        if len(self) >= self.entries:
+            self.clear()
+        if not self.closed and b"".join(map(self.token_bytes.__getitem__, ids)) != raw:
             self.exact = False
         elif len(piece) <= CACHE_CHARS:
             self[piece] = out
@@ -87,8 +94,9 @@ class PieceIds(dict):
     mark itself or a blank at the end.
     """
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, entries: int):
         super().__init__()
+        self.entries = entries
         import public_tokenizers
         import sentencepiece
 
@@ -108,7 +116,7 @@ class PieceIds(dict):
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= self.entries:
             self.clear()
         ids = self.library.encode(word[1:], num_threads=1)  # the library puts the first blank back
         if not ids:  # a blank alone
@@ -137,15 +145,15 @@ def odd_pattern(name: str) -> str:
     return Counts(name).odd_characters
 
 
-def byte_ids(name: str, special: bool = True, odd: str | None = None) -> ByteIds:
-    """This worker's encoder of a byte-level vocabulary."""
+def byte_ids(name: str, special: bool = True, odd: str | None = None, entries: int = CACHE_ENTRIES) -> ByteIds:
+    """This worker's encoder of a byte-level vocabulary; it remembers up to ``entries`` pieces."""
     if (name, special) not in _workers:
-        _workers[name, special] = ByteIds(name, special, odd if odd is not None else odd_pattern(name))
+        _workers[name, special] = ByteIds(name, special, odd if odd is not None else odd_pattern(name), entries)
     return _workers[name, special]
 
 
-def piece_ids(name: str) -> PieceIds:
-    """This worker's encoder of a piece vocabulary."""
+def piece_ids(name: str, entries: int = CACHE_ENTRIES) -> PieceIds:
+    """This worker's encoder of a piece vocabulary; it remembers up to ``entries`` words."""
     if (name,) not in _workers:
-        _workers[name,] = PieceIds(name)
+        _workers[name,] = PieceIds(name, entries)
     return _workers[name,]

@@ -17,6 +17,8 @@ END = 1
 # partially filled windows that a task keeps; beyond them a document is cut to fill the fullest one
 MOST_OPEN = 1024
 WIDTH = 4
+# pre-tokens whose ids a worker remembers
+CACHE_ENTRIES = 600_000
 
 
 class Levels:
@@ -154,7 +156,7 @@ def pack_tokens(docs: DataFrame, text: str = "text", key: str = "doc_id", tokeni
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = byte_ids(tokenizer, odd=odd)
+        encoder = byte_ids(tokenizer, odd=odd, entries=CACHE_ENTRIES)
         packer = Packer(window, most_open, TaskContext.get().partitionId() << 33)
 
         def batch_of(pieces, key_type):

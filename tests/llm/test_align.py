@@ -136,9 +136,11 @@ def test_groups_end_where_both_sides_end():
     assert a.tolist() == [0, 0, 1, 1] and b.tolist() == [0, 0, 1, 1]
 
 
-def test_cached_ids_equal_the_libraries(monkeypatch):
-    monkeypatch.setattr(encode, "CACHE_ENTRIES", 7)
-    a, b, c = encode.byte_ids("byte_bpe_50k.json", False), encode.piece_ids("piece_bpe_32k.model"), encode.byte_ids("byte_bpe_50k.json")
+@pytest.mark.parametrize("entries", [7, 10_000])
+def test_cached_ids_equal_the_libraries(entries):
+    odd = encode.odd_pattern("byte_bpe_50k.json")
+    a, c = (encode.ByteIds("byte_bpe_50k.json", special, odd, entries) for special in (False, True))
+    b = encode.PieceIds("piece_bpe_32k.model", entries)
     default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for text in odd_texts(3, 1500) + ["ՠ x ꟓ", "a\U0001f600 ok"]:
         assert a.ids(text) == encode.packed(A.encode(text, add_special_tokens=False).ids)
