@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from railtide.llm.components import components
-from railtide.llm.nearsets import near_set_components
 from railtide.session import cut_lineage
 
 SHINGLE_WORDS = 3
@@ -174,6 +173,12 @@ def near_links(prints: DataFrame, column: str = "print", max_bits: int = MAX_BIT
     return met.mapInArrow(_links_in_lists(max_bits), "a bigint, b bigint").distinct()
 
 
+def print_roots(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``nodes``, which holds each ``print`` once, with the ``root`` of its component."""
+    roots = components(near_links(nodes, "print", max_bits))
+    return nodes.join(roots, nodes["print"] == roots["node"], "left").select(*[nodes[c] for c in nodes.columns], F.coalesce("root", "print").alias("root"))
+
+
 def near_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(key, print, component): the smallest key reachable over links of at most ``max_bits`` bits.
@@ -184,11 +189,7 @@ def near_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     index is built, so groups of copies cost one entry.
     """
     rows = cut_lineage(docs.select(F.col(key).alias("key"), fingerprint_column(shingle_words)(F.col(text)).alias("print")))
-    nodes = cut_lineage(rows.groupBy("print").agg(F.min("key").alias("least")))
-    roots = components(near_links(nodes, "print", max_bits))
-    joined = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
-        "print", "least", F.coalesce("root", "print").alias("root")
-    )
+    joined = print_roots(cut_lineage(rows.groupBy("print").agg(F.min("key").alias("least"))), max_bits)
     smallest = joined.groupBy("root").agg(F.min("least").alias("component"))
     member = joined.join(smallest, "root").select("print", "component")
     return rows.join(member, "print").select(F.col("key").alias(key), "print", "component")
@@ -202,17 +203,24 @@ def op10(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies, that of the smallest doc_id; same columns.
+def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id",
+               shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group of near copies, that of the smallest key; same columns.
 
-    Near copies have sets of five-word shingles of Jaccard similarity 0.8 or more.  Bits of a
-    SimHash tell such texts from others too poorly: at 0.8 one bit in seven differs, so no list of
-    equal bytes brings most of them together and stays short.  ``nearsets`` finds them.  Of rows
-    that repeat a doc_id one stays, that of the smallest text hash.  Rows without a doc_id stay, as
-    nothing tells which of them is first.
+    Groups are the components of ``near_components``.  Rows are told apart by key and text, so two
+    texts under one key are dropped only where each is near another: of equal keys the smallest text
+    digest stays, of rows equal in both any one.  NULL is the empty text; texts without words are
+    copies of each other.  Rows without a key stay, as nothing tells which of them is first, and
+    displace nothing.  An empty table stays empty.
     """
-    first = near_set_components(docs).where("doc_id = component").select(F.col("doc_id").alias("_first")).distinct()
-    met = docs.where("doc_id is not null").join(first, docs["doc_id"] == F.col("_first"), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    once = met.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
-    return once.unionByName(docs.where("doc_id is null"))
+    digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    rows = cut_lineage(docs.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), digest.alias("digest"), fingerprint_column(shingle_words)(F.col(text)).alias("print")
+    ))
+    joined = print_roots(cut_lineage(rows.groupBy("print").agg(F.min(F.struct("key", "digest")).alias("least"))), max_bits)
+    first = joined.groupBy("root").agg(F.min("least").alias("least")).select("least.key", "least.digest")
+    held = docs.where(F.col(key).isNotNull()).select(F.struct("*").alias("row"), F.col(key).alias("key"), digest.alias("digest"))
+    # a digest belongs to one group and so to one first row; repeats of that row are cut before the shuffle
+    once = Window.partitionBy("key", "digest").orderBy("key")
+    met = held.join(first, ["key", "digest"], "left_semi").withColumn("place", F.row_number().over(once)).where("place = 1")
+    return met.select("row.*").unionByName(docs.where(F.col(key).isNull()))

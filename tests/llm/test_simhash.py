@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import random
 import re
@@ -6,6 +7,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from railtide.llm import simhash
 from railtide.llm.components import components
 
@@ -122,3 +125,46 @@ def test_one_document_of_each_group_stays(odd_docs, no_docs):
     assert sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 8, 9, 10] or sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 9, 10]
     assert ids.count(None) == 2
     assert simhash.op10(no_docs).collect() == [] and simhash.keep_first(no_docs).collect() == []
+
+
+def near(a, b):
+    return bin(a ^ b).count("1") <= 3
+
+
+def slow_first(rows):
+    """(doc_id, text) of one row of each component over all pairs of fingerprints."""
+    prints = [simhash.fingerprint(text or "") for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if near(prints[i], prints[j]):
+                root[find(i)] = find(j)
+    groups = {}
+    for i, (doc, text) in enumerate(rows):
+        key = (doc, hashlib.md5((text or "").encode()).digest(), text or "")
+        groups[find(i)] = min(groups.get(find(i), key), key)
+    return sorted((doc, text) for doc, _, text in groups.values())
+
+
+def test_rows_of_one_doc_id_are_told_apart(docs_of):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(80)) for _ in range(12)]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[0]), (6, texts[1]), (4, texts[2]), (4, texts[3]), (3, texts[3]), (9, None), (8, "")]
+    rows += [(20 + i % 4, t) for i, t in enumerate(texts[4:])] * 2
+    kept = simhash.keep_first(docs_of(rows)).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()
+    assert sorted(map(tuple, kept)) == slow_first(rows)
+    assert {(5, texts[0]), (5, texts[1]), (3, texts[3]), (4, texts[2]), (8, "")} <= set(map(tuple, kept))
+
+
+def test_other_columns_and_their_names_stay(docs_of):
+    names = ["row", "place", "_place", "_first", "root", "least", "node", "key", "digest", "print"]
+    df = docs_of([(1, "a b c d"), (2, "a b c d"), (3, "x y z")]).select("*", *[F.lit(n).alias(n) for n in names])
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3] and all(r[n] == n for r in kept.collect() for n in names)
