@@ -20,31 +20,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    NULL and empty texts are scored like others.  Repeated rows are scored alike and stay all.
+    """
     prepare(spark)
     return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id."""
+    """One document of each group of near duplicates, that of the smallest doc_id.
+
+    Near duplicates are what ``op10_simhash`` links: fingerprints of three-word shingles that differ
+    in at most three bits.  Rows without a doc_id stay; see ``simhash.keep_first`` for ties.
+    """
     prepare(spark)
     return simhash.keep_first(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
+    """Documents that overlap no benchmark item.  NULL and empty texts overlap nothing."""
     prepare(spark)
     return decontaminate.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; NULL is a source of its own."""
     prepare(spark)
     return mixing.mix(docs)
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the shard that each is written to; equal texts share one."""
+    """Documents with the shard that each is written to; equal texts share one, NULL is the empty text."""
     prepare(spark)
     return shards.with_shard(docs)
 
