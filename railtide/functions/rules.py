@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from railtide import vocab
+from railtide.functions.keywords import groups_found
 from railtide.functions.labels import lookup
 from railtide.functions.text import contains_any, fold
 
@@ -33,11 +34,11 @@ def gate_category(text: Column, groups: dict[str, Sequence[str]] = DEFAULT_GROUP
     Traffic, transport, train and arena words win; then academic words that have a school
     context; then words of local government as long as no academic word occurs.
     """
-    academic = contains_any(text, groups["academic"], mode)
+    has = groups_found(text, groups, mode)
     return (
-        F.when(contains_any(text, groups["always_lgu"], mode), F.lit("lgu"))
-        .when(academic & contains_any(text, groups["context"], mode), F.lit("academic"))
-        .when(~academic & contains_any(text, groups["lgu"], mode), F.lit("lgu"))
+        F.when(has["always_lgu"], F.lit("lgu"))
+        .when(has["academic"] & has["context"], F.lit("academic"))
+        .when(~has["academic"] & has["lgu"], F.lit("lgu"))
     )
 
 
@@ -46,20 +47,17 @@ def is_relevant(text: Column, mode: str = "substring", strong=vocab.RELEVANT_STR
                 pattern=vocab.SUSPENSION_PATTERN,
                 context=vocab.SUSPENSION_CONTEXT + vocab.RELEVANT_GENERAL) -> Column:
     """Announcement filter on folded text; a bare calendar title vetoes."""
-    title_only = contains_any(text, titles, mode) & ~contains_any(text, actions, mode)
-    return ~title_only & (
-        contains_any(text, strong, mode) | (text.rlike(pattern) & contains_any(text, context, mode))
-    )
+    has = groups_found(text, {"titles": titles, "actions": actions, "strong": strong, "context": context}, mode)
+    title_only = has["titles"] & ~has["actions"]
+    return ~title_only & (has["strong"] | (has["context"] & text.rlike(pattern)))
 
 
 def calendar_flags(text: Column, primary=vocab.CALENDAR_PRIMARY, timeframe=vocab.CALENDAR_TIMEFRAME,
                    action=vocab.CALENDAR_ACTION, structure=vocab.CALENDAR_STRUCTURE,
                    negative=vocab.CALENDAR_NEGATIVE) -> dict[str, Column]:
-    return {
-        "primary": contains_any(text, primary), "timeframe": contains_any(text, timeframe),
-        "action": contains_any(text, action), "structure": contains_any(text, structure),
-        "negative": contains_any(text, negative),
-    }
+    return groups_found(text, {
+        "primary": primary, "timeframe": timeframe, "action": action, "structure": structure, "negative": negative,
+    })
 
 
 def is_calendar_release(text: Column, **lists) -> Column:
@@ -133,24 +131,39 @@ def rainfall_level(mm: Column) -> Column:
     )
 
 
-def event_code(text: Column, rules=vocab.EVENT_CODE_RULES) -> Column:
-    """Code of the first rule, by priority, whose words occur and whose vetoes do not."""
+def code_groups(rules=vocab.EVENT_CODE_RULES) -> dict[str, Sequence[str]]:
+    """Keyword groups of the rules: the words of each code and its vetoes."""
+    words = {f"{code}+{rank}": include for code, include, _, rank in rules}
+    return words | {f"{code}-{rank}": exclude for code, _, exclude, rank in rules if exclude}
+
+
+def event_code(text: Column | None, rules=vocab.EVENT_CODE_RULES, found: Mapping[str, Column] | None = None) -> Column:
+    """Code of the first rule, by priority, whose words occur and whose vetoes do not.
+
+    ``found`` are the groups of ``code_groups`` where they have been looked up already.
+    """
+    found = found or groups_found(text, code_groups(rules))
     out = F.lit(None).cast("string")
-    for code, include, exclude, _ in sorted(rules, key=lambda r: r[3], reverse=True):
-        hit = contains_any(text, include)
+    for code, _, exclude, rank in sorted(rules, key=lambda r: r[3], reverse=True):
+        hit = found[f"{code}+{rank}"]
         if exclude:
-            hit = hit & ~contains_any(text, exclude)
+            hit = hit & ~found[f"{code}-{rank}"]
         out = F.when(hit, F.lit(code)).otherwise(out)
     return out
 
 
-def is_cancellation(text: Column, code: Column, words=vocab.CANCEL_WORDS,
-                    lift_words=vocab.SUSPENSION_LIFT_WORDS) -> Column:
+def cancel_groups(words=vocab.CANCEL_WORDS, lift_words=vocab.SUSPENSION_LIFT_WORDS) -> dict[str, Sequence[str]]:
+    return {"cancel": words, "lift": lift_words}
+
+
+def is_cancellation(text: Column | None, code: Column, words=vocab.CANCEL_WORDS,
+                    lift_words=vocab.SUSPENSION_LIFT_WORDS, found: Mapping[str, Column] | None = None) -> Column:
     """True when something is lifted or called off; a new suspension is not a cancellation.
 
     Of a suspension only ``lift_words`` count: cancelled classes are the suspension itself.
     """
-    said = F.when(code.isin(*vocab.SUSPENDING_CODES), contains_any(text, lift_words)).otherwise(contains_any(text, words))
+    found = found or groups_found(text, cancel_groups(words, lift_words))
+    said = F.when(code.isin(*vocab.SUSPENDING_CODES), found["lift"]).otherwise(found["cancel"])
     return code.isNotNull() & ~code.isin(*vocab.NEVER_CANCELS) & said
 
 
@@ -158,8 +171,10 @@ def cancellation_target(code: Column, cancels: Column) -> Column:
     return F.when(cancels, lookup(code, vocab.CANCEL_TARGETS, code))
 
 
-def affects_ridership(text: Column, code: Column, words=vocab.NON_DISRUPTIVE_WORDS) -> Column:
-    return code.isNotNull() & ~contains_any(text, words)
+def affects_ridership(text: Column | None, code: Column, words=vocab.NON_DISRUPTIVE_WORDS,
+                      found: Mapping[str, Column] | None = None) -> Column:
+    found = found or groups_found(text, {"quiet": words})
+    return code.isNotNull() & ~found["quiet"]
 
 
 def repaired_category(source_name: Column, event_name: Column) -> Column:

@@ -9,25 +9,31 @@ from pyspark.sql import functions as F
 
 from railtide import vocab
 from railtide.functions import rules, times
-from railtide.functions.text import contains_any
+from railtide.functions.keywords import group_mask, groups_found, in_mask
 from railtide.operators.joins import unique_left_join
 
 
 def tag_events(df: DataFrame, folded: Column, code_rules=vocab.EVENT_CODE_RULES, cancel_words=vocab.CANCEL_WORDS,
                quiet_words=vocab.NON_DISRUPTIVE_WORDS) -> DataFrame:
-    """Add event_code, is_cancellation, cancellation_target_code and affects_ridership."""
-    out = df.withColumn("event_code", rules.event_code(folded, code_rules))
-    out = out.withColumn("is_cancellation", rules.is_cancellation(folded, F.col("event_code"), cancel_words))
+    """Add event_code, is_cancellation, cancellation_target_code and affects_ridership.
+
+    The words of all rules are looked up in one pass; every decision reads the same mask.
+    """
+    groups = {**rules.code_groups(code_rules), **rules.cancel_groups(cancel_words), "quiet": quiet_words}
+    found = in_mask(F.col("_found_groups"), groups)
+    out = df.withColumn("_found_groups", group_mask(folded, groups))
+    out = out.withColumn("event_code", rules.event_code(None, code_rules, found))
+    out = out.withColumn("is_cancellation", rules.is_cancellation(None, F.col("event_code"), found=found))
     return out.withColumns({
         "cancellation_target_code": rules.cancellation_target(F.col("event_code"), F.col("is_cancellation")),
-        "affects_ridership": rules.affects_ridership(folded, F.col("event_code"), quiet_words),
-    })
+        "affects_ridership": rules.affects_ridership(None, F.col("event_code"), found=found),
+    }).drop("_found_groups")
 
 
 def friction_weight(folded: Column, words: Mapping[str, Sequence[str]] = vocab.FRICTION_GROUP_WORDS,
                     weights: Mapping[str, float] = vocab.GROUP_FRICTION) -> Column:
     """Largest weight among the keyword groups that occur; NULL if none does."""
-    hits = [F.when(contains_any(folded, words[g]), F.lit(float(weights[g]))) for g in words]
+    hits = [F.when(has, F.lit(float(weights[g]))) for g, has in groups_found(folded, words).items()]
     return F.greatest(*hits) if len(hits) > 1 else hits[0]
 
 

@@ -11,7 +11,7 @@ from railtide.functions import rules
 from railtide.plans import posts
 from railtide.operators import ids, nested, tagging
 from railtide.registry.base import NOW, one_of, pick, query
-from railtide.registry.texts import CLEAN_SQL, TEXT_KEY, WORDS
+from railtide.registry.texts import CLEAN_SQL, TEXT_KEY
 from railtide.session import spread
 from railtide.streaming import events as streams
 
@@ -160,6 +160,13 @@ def sweep_windows(table, spark):
     return out.select("event_type", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n")
 
 
+# words that the invented prose holds
+WORDS = {
+    "academic": ["estion", "enlich", "queque", "handed"],
+    "lgu": ["ndat", "haon", "osci"],
+    "always_lgu": ["token", "copyright", "edonble"],
+    "context": ["of the", "der", "pour"],
+}
 SWEEP_KEY = TEXT_KEY.replace("text,", "c || ' ',")
 
 

@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from railtide import vocab
 from railtide.functions import rules, text, urls
 from railtide.operators import dedupe, diagnostics, match
-from railtide.registry.base import one_of, pick, query
+from railtide.registry.base import one_of, pick, query, seeded, seeded_sql
 from railtide.session import cut_lineage, spread
 
-WORDS = {
-    "academic": ["estion", "enlich", "queque", "handed"],
-    "lgu": ["ndat", "haon", "osci"],
-    "always_lgu": ["token", "copyright", "edonble"],
-    "context": ["of the", "der", "pour"],
-}
 FOLD = "replace(lower(strip_accents(text)), 'ß', 'ss')"
 
 
@@ -30,15 +25,24 @@ def unicode_norm(table, spark):
     )
 
 
+# each text gets words of the real lists, which the invented prose lacks: one of three lists by the
+# text's id, and for some texts a second one
+GATE = rules.DEFAULT_GROUPS
+GATE_SEEDS = [
+    (3, 0, vocab.CLASS_SUSPENSION + vocab.ACADEMIC_CALENDAR + vocab.ACADEMIC_EXTRA), (3, 1, vocab.LGU_ADVISORY + vocab.LGU_EXTRA),
+    (5, 2, vocab.ACADEMIC_CONTEXT), (7, 3, GATE["always_lgu"]),
+]
+
+
 @query("keyword_gate", f"""
-WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents)
-SELECT doc_id, CASE WHEN {one_of(WORDS['always_lgu'], 't')} THEN 'lgu'
-  WHEN {one_of(WORDS['academic'], 't')} AND {one_of(WORDS['context'], 't')} THEN 'academic'
-  WHEN NOT {one_of(WORDS['academic'], 't')} AND {one_of(WORDS['lgu'], 't')} THEN 'lgu' END AS category FROM d
+WITH s AS (SELECT doc_id, {seeded_sql('text', GATE_SEEDS)} AS text FROM documents), d AS (SELECT doc_id, {FOLD} AS t FROM s)
+SELECT doc_id, CASE WHEN {one_of(GATE['always_lgu'], 't')} THEN 'lgu'
+  WHEN {one_of(GATE['academic'], 't')} AND {one_of(GATE['context'], 't')} THEN 'academic'
+  WHEN NOT {one_of(GATE['academic'], 't')} AND {one_of(GATE['lgu'], 't')} THEN 'lgu' END AS category FROM d
 """)
 def keyword_gate(table, spark):
-    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
-    return work.select("doc_id", rules.gate_category(F.col("t"), WORDS).alias("category"))
+    work = spread(table("documents")).select("doc_id", rules.folded(seeded(F.col("text"), GATE_SEEDS)).alias("t"))
+    return work.select("doc_id", rules.gate_category(F.col("t")).alias("category"))
 
 
 @query("keyword_gate_words", """
@@ -55,40 +59,42 @@ def keyword_gate_words(table, spark):
     )
 
 
-LISTS = {
-    "primary": ["tion", "eaux"], "timeframe": ["ation", "heit"], "action": ["estion", "pour"],
-    "structure": ["http", ".com"], "negative": ["token", "worthless"],
-}
+CALENDAR_SEEDS = [
+    (2, 0, vocab.CALENDAR_PRIMARY), (3, 0, vocab.CALENDAR_TIMEFRAME), (5, 0, vocab.CALENDAR_ACTION), (7, 0, vocab.CALENDAR_STRUCTURE),
+    (4, 1, vocab.CALENDAR_NEGATIVE),
+]
 
 
 @query("boolean_filter", f"""
-WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents),
-f AS (SELECT doc_id, {one_of(LISTS['primary'], 't')} AS p, {one_of(LISTS['timeframe'], 't')} AS y,
-  {one_of(LISTS['action'], 't')} AS a, {one_of(LISTS['structure'], 't')} AS s, {one_of(LISTS['negative'], 't')} AS n FROM d)
+WITH s AS (SELECT doc_id, {seeded_sql('text', CALENDAR_SEEDS)} AS text FROM documents), d AS (SELECT doc_id, {FOLD} AS t FROM s),
+f AS (SELECT doc_id, {one_of(vocab.CALENDAR_PRIMARY, 't')} AS p, {one_of(vocab.CALENDAR_TIMEFRAME, 't')} AS y,
+  {one_of(vocab.CALENDAR_ACTION, 't')} AS a, {one_of(vocab.CALENDAR_STRUCTURE, 't')} AS s, {one_of(vocab.CALENDAR_NEGATIVE, 't')} AS n FROM d)
 SELECT doc_id, p AND y AND (a OR s) AND NOT n AS is_release, p OR y AS has_hint FROM f
 """)
 def boolean_filter(table, spark):
-    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
-    t = F.col("t")
+    work = spread(table("documents")).select("doc_id", rules.folded(seeded(F.col("text"), CALENDAR_SEEDS)).alias("t"))
     return work.select(
-        "doc_id", rules.is_calendar_release(t, **LISTS).alias("is_release"), rules.has_calendar_hint(t, **LISTS).alias("has_hint")
+        "doc_id", rules.is_calendar_release(F.col("t")).alias("is_release"), rules.has_calendar_hint(F.col("t")).alias("has_hint")
     )
 
 
-RELEVANT = {
-    "titles": ["nicht"], "actions": ["von", "sich"], "strong": ["estion", "queque"],
-    "pattern": r"(?U)\b(thnt(?:ed|ing)?|eaux|ciones?)\b", "context": ["pour", "the", "para"],
-}
+RELEVANT_SEEDS = [
+    (3, 0, vocab.CALENDAR_TITLES), (4, 0, vocab.CALENDAR_TITLE_ACTIONS), (7, 1, vocab.RELEVANT_STRONG),
+    (2, 1, ["Suspended", "Walang", "closed", "delays", "unsuspended"]), (3, 1, vocab.SUSPENSION_CONTEXT + vocab.RELEVANT_GENERAL),
+]
+# the pattern as SQL engines without Unicode classes read it; folded text has no marks
+SUSPENSION_SQL = r"(^|[^\p{L}\p{N}_])" + vocab.SUSPENSION_PATTERN.replace("(?iU)", "").replace(r"\b", "") + r"([^\p{L}\p{N}_]|$)"
 
 
 @query("relevance_filter", f"""
-WITH d AS (SELECT doc_id, {FOLD} AS t FROM documents)
-SELECT doc_id, NOT (contains(t, 'nicht') AND NOT {one_of(RELEVANT['actions'], 't')}) AND ({one_of(RELEVANT['strong'], 't')}
-  OR (regexp_matches(t, '\\b(thnt(?:ed|ing)?|eaux|ciones?)\\b') AND {one_of(RELEVANT['context'], 't')})) AS is_relevant FROM d
+WITH s AS (SELECT doc_id, {seeded_sql('text', RELEVANT_SEEDS)} AS text FROM documents), d AS (SELECT doc_id, {FOLD} AS t FROM s)
+SELECT doc_id, NOT ({one_of(vocab.CALENDAR_TITLES, 't')} AND NOT {one_of(vocab.CALENDAR_TITLE_ACTIONS, 't')}) AND (
+  {one_of(vocab.RELEVANT_STRONG, 't')} OR (regexp_matches(t, '{SUSPENSION_SQL}')
+    AND {one_of(vocab.SUSPENSION_CONTEXT + vocab.RELEVANT_GENERAL, 't')})) AS is_relevant FROM d
 """)
 def relevance_filter(table, spark):
-    work = spread(table("documents")).select("doc_id", rules.folded(F.col("text")).alias("t"))
-    return work.select("doc_id", rules.is_relevant(F.col("t"), **RELEVANT).alias("is_relevant"))
+    work = spread(table("documents")).select("doc_id", rules.folded(seeded(F.col("text"), RELEVANT_SEEDS)).alias("t"))
+    return work.select("doc_id", rules.is_relevant(F.col("t")).alias("is_relevant"))
 
 
 @query("branch_filter", """
