@@ -15,13 +15,14 @@ READINGS = list(vocab.BASELINE_WEATHER)
 
 
 def fill_from_neighbours(df: DataFrame, group: Sequence[str], order: str, values: Sequence[str],
-                         valid: Column, chunk: Column | None = None, suffix: str = "_near") -> DataFrame:
+                         valid: Column, chunk: Column | None = None, suffix: str = "_near", **options) -> DataFrame:
     """Add for each value the reading of the nearest earlier valid row along ``order``.
 
     The whole reading moves together: a missing field of a valid row is not patched from elsewhere.
+    ``options`` go to ``carry_forward``.
     """
     packed = F.when(valid, F.struct(*[F.col(v).alias(v) for v in values]))
-    carried = carry_forward(df, group, order, {"_near": packed}, chunk)
+    carried = carry_forward(df, group, order, {"_near": packed}, chunk, **options)
     return carried.select(*df.columns, *[F.col(f"_near.{v}").alias(v + suffix) for v in values],
                           F.col("_near").isNotNull().alias("has" + suffix))
 

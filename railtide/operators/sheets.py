@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from railtide import vocab
 from railtide.functions import cells, labels
 from railtide.functions.text import contains_any, let, strip
-from railtide.operators.scan import carry_forward
+from railtide.operators.scan import CHUNK_ROWS, carry_forward, chunked
 from railtide.session import cut_lineage
 
 LOOK_BACK = 5
@@ -44,34 +44,34 @@ def marks(grid: DataFrame) -> DataFrame:
         "cells", F.when(F.col("is_station") | F.col("is_metric"), F.col("cells")))
 
 
-def blocks(grid: DataFrame) -> DataFrame:
+def blocks(grid: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One row per header: header_idx, period, column names, is_monthly, and where its rows are.
 
     A ``Station`` row starts a block unless the row above started one.  Its rows run from two below
     the header (body_start) up to the next ``Station`` row or label of a period (body_end,
     exclusive, NULL for the end of the sheet).  The period is the nearest label in the five rows
-    above the header.
+    above the header.  All scans share one cut into chunks of ``chunk_rows`` marked rows.
     """
-    found = cut_lineage(marks(grid))
-    here = F.col("row_idx")
+    found = chunked(marks(grid), ["file"], "row_idx", "_scan", chunk_rows)
+    here, scan = F.col("row_idx"), F.col("_scan")
     above = carry_forward(
         found, ["file"], "row_idx",
         {
             "before": F.struct(here.alias("idx"), F.col("is_station").alias("is_station")),
             "above": F.when(F.col("row_label").isNotNull(), F.struct(here.alias("idx"), F.col("row_label").alias("label"))),
         },
-        include_current=False,
+        scan, include_current=False,
     )
     follows = F.coalesce(F.col("before.is_station") & (F.col("before.idx") == here - 1), F.lit(False))
     runs = carry_forward(
-        above, ["file"], "row_idx", {"run_start": F.when(F.col("is_station") & ~follows, here)})
+        above, ["file"], "row_idx", {"run_start": F.when(F.col("is_station") & ~follows, here)}, scan)
     # every second row of a run of Station rows is a header
     headed = runs.withColumns({
         "is_header": F.col("is_station") & ((here - F.col("run_start")) % 2 == 0),
         "period": F.when(here - F.col("above.idx") <= LOOK_BACK, F.col("above.label")),
     })
     owned = carry_forward(
-        headed, ["file"], "row_idx", {"owner": F.when(F.col("is_header"), here)}, include_current=False)
+        headed, ["file"], "row_idx", {"owner": F.when(F.col("is_header"), here)}, scan, include_current=False)
     owned = cut_lineage(owned)
     head = F.col("is_header")
     ends = owned.where(F.col("is_stop") & (here >= F.col("owner") + 2)).groupBy("file", F.col("owner").alias("header_idx")).agg(

@@ -12,7 +12,7 @@ from railtide.plans import posts
 from railtide.operators import ids, nested, tagging
 from railtide.registry.base import NOW, one_of, pick, query
 from railtide.registry.texts import CLEAN_SQL, TEXT_KEY
-from railtide.session import spread
+from railtide.session import cut_lineage, spread
 from railtide.streaming import events as streams
 
 RULES = [
@@ -123,30 +123,104 @@ def _folder(spark, name: str) -> str:
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+def _in_runs(table, spark, name: str, run_of, columns, step):
+    """Runs a stream over the events three times, each time with one more part of them; returns its folder.
+
+    ``run_of`` says in which run a row arrives; ``step`` takes (stream, folder of its own).
+    """
+    path = _folder(spark, name)
+    parts = cut_lineage(table("events").select(*columns, run_of.alias("_run")))
+    for run in range(3):
+        parts.where(F.col("_run") == run).drop("_run").write.mode("append").parquet(f"{path}/in")
+        step(streams.read_stream(spark, f"{path}/in", parts.drop("_run").schema), path)
+    return path
+
+
+def _run_by_id():
+    """Events arrive in three runs by their id."""
+    return F.col("event_id") % 3
+
+
 @query("stream_dedupe", """
-WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events)
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3, event_id) AS rn FROM events)
 SELECT event_id, user_id, event_type FROM e WHERE rn = 1
 """)
 def stream_dedupe(table, spark):
-    from railtide.sinks import tables
+    def step(stream, path):
+        streams.first_row_stream(stream, ["user_id", "event_type"], "event_id", f"{path}/table", f"{path}/progress")
 
-    stream = streams.table_stream(table("events"), EVENT_SCHEMA)
-    keyed = stream.select("event_id", "user_id", "event_type", F.concat_ws("|", "user_id", "event_type").alias("key"))
-    path = _folder(spark, "stream-dedupe")
-    streams.dedupe_stream(keyed, ["key"], "event_id", f"{path}/table", f"{path}/progress")
-    return tables.read_table(spark, f"{path}/table").select("event_id", "user_id", "event_type")
+    path = _in_runs(table, spark, "stream-dedupe", _run_by_id(), ["event_id", "user_id", "event_type"], step)
+    return streams.read_batches(spark, f"{path}/table")
 
 
 @query("stream_snapshot", """
 SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
 """)
 def stream_snapshot(table, spark):
-    from railtide.sinks import tables
+    key, order = ["user_id"], ["ts", "event_id"]
+
+    def step(stream, path):
+        streams.snapshot_stream(stream, key, order, f"{path}/table", f"{path}/progress")
+
+    path = _in_runs(table, spark, "stream-snapshot", _run_by_id(), ["user_id", "ts", "event_id", "event_type"], step)
+    return streams.read_snapshot(spark, f"{path}/table", key, order).select("user_id", "event_id", "event_type")
+
+
+# ends of the first and second third of the time the events span, as both engines compute them
+SPAN_SQL = """span AS (SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // 3 AS third FROM events),
+timed AS (SELECT e.*, epoch_us(ts) AS us, least(2, (epoch_us(ts) - lo) // greatest(third, 1)) AS by_time FROM events e, span)"""
+
 
-    stream = streams.table_stream(table("events"), EVENT_SCHEMA).select("user_id", "ts", "event_id", "event_type")
-    path = _folder(spark, "stream-snapshot")
-    streams.snapshot_stream(stream, ["user_id"], ["ts", "event_id"], f"{path}/table", f"{path}/progress")
-    return tables.read_table(spark, f"{path}/table").select("user_id", "event_id", "event_type")
+def _run_by_time(table):
+    """In which third of the time span an event lies."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = table("events").agg(F.min(micros), F.max(micros)).first()
+    third = max(((high or 0) - (low or 0)) // 3, 1)
+    return F.least(F.lit(2), F.floor((micros - F.lit(low)) / F.lit(third))).cast("int")
+
+
+@query("late_data", f"""
+WITH {SPAN_SQL},
+arriving AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE us // 1000 END AS ms, us,
+    CASE WHEN event_id % 11 = 0 THEN 2 ELSE by_time END AS run, event_id % 13 = 0 AS untimed FROM timed),
+marks AS (SELECT r.run, coalesce((SELECT max(a.ms) - 3600000 FROM arriving a WHERE a.run < r.run), -1) AS mark FROM (VALUES (0), (1), (2)) r(run))
+SELECT event_id, CASE WHEN untimed AND event_id % 7 = 0 AND run < 2 THEN 2 ELSE 1 END AS n
+FROM arriving JOIN marks USING (run) WHERE untimed OR us > mark * 1000
+""")
+def late_data(table, spark):
+    """Rows of unknown time, rows that come hours late, and rows that come again with the next run."""
+    event = F.col("event_id")
+    when_known = F.when(event % 13 != 0, F.col("ts").cast("timestamp"))
+    run = F.when(event % 11 == 0, 2).otherwise(_run_by_time(table))
+    both = table("events").select("event_id", when_known.alias("ts"), run.alias("run"))
+    again = both.where((event % 7 == 0) & (F.col("run") < 2)).withColumn("run", F.col("run") + 1)
+    arriving = both.unionByName(again)
+
+    def step(stream, path):
+        rows = streams.first_within_or_untimed(stream, ["event_id"], "ts", "1 hour")
+        streams.run_available(rows, streams.write_batch(f"{path}/table"), f"{path}/progress")
+
+    path = _in_runs(lambda _: arriving, spark, "late-data", F.col("run"), ["event_id", "ts"], step)
+    return streams.read_batches(spark, f"{path}/table").groupBy("event_id").agg(F.count("*").alias("n"))
+
+
+ALERT_MINUTES = 24 * 60.0
+
+
+@query("staleness_stream", f"""
+WITH e AS (SELECT user_id, epoch_us(ts) AS us, lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS next_us FROM events),
+last AS (SELECT max(epoch_us(ts)) // 1000 AS ms FROM events)
+SELECT user_id, us AS last_seen_us FROM e, last
+WHERE next_us - us > {int(ALERT_MINUTES * 60_000_000)} OR (next_us IS NULL AND (us + {int(ALERT_MINUTES * 60_000_000)}) // 1000 < ms)
+""")
+def staleness_stream(table, spark):
+    def step(stream, path):
+        alerts = streams.staleness_alerts(stream, "user_id", "ts", ALERT_MINUTES, "0 seconds")
+        streams.run_available(alerts, streams.write_batch(f"{path}/table"), f"{path}/progress")
+
+    columns = ["user_id", F.col("ts").cast("timestamp").alias("ts")]
+    path = _in_runs(table, spark, "staleness", _run_by_time(table), columns, step)
+    return streams.read_batches(spark, f"{path}/table").select("user_id", F.unix_micros("last_seen").alias("last_seen_us"))
 
 
 @query("sweep_windows", """

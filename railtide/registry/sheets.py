@@ -173,7 +173,7 @@ FROM seg h WHERE h.is_header
 """)
 def sheet_blocks(table, spark):
     grid = event_grid(table("events"))
-    heads = sheets.blocks(grid)
+    heads = sheets.blocks(grid, chunk_rows=2)
     counted = sheets.place_rows(grid, heads, ["header_idx"]).groupBy("file", "header_idx").agg(F.count("*").alias("n_rows"))
     return heads.select("file", "header_idx", "period").join(counted, ["file", "header_idx"], "left").fillna(0, ["n_rows"])
 

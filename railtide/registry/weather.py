@@ -45,7 +45,9 @@ def locf_fallback(table, spark):
         F.col("value").alias("temperature"), F.when(F.col("event_id") % 11 != 0, F.col("value") / 2).alias("humidity"),
         F.col("user_id").cast("double").alias("temperature_prev"), F.lit(None).cast("double").alias("humidity_prev"),
     )
-    near = gapfill.fill_from_neighbours(work, ["run"], "event_id", list(READING), F.col("ok"))
+    # sparse order values and short chunks: every run carries over many of them
+    work = work.withColumn("place", F.col("event_id") * 10_000_000)
+    near = gapfill.fill_from_neighbours(work, ["run"], "place", list(READING), F.col("ok"), chunk_rows=16)
     filled = gapfill.fallback_chain(
         near, list(READING),
         [("fresh", F.col("ok"), ""), ("neighbour", F.col("has_near"), "_near"), ("stored", F.col("has_prev"), "_prev")], READING)

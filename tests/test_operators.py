@@ -84,6 +84,25 @@ def test_carry_forward_over_chunks(spark, inclusive):
         assert sorted((r.g, r.i, r.out) for r in out.collect()) == expected
 
 
+@pytest.mark.parametrize("step", [1, 10 ** 7, 10 ** 12])
+@pytest.mark.parametrize("group", [["g"], []])
+def test_chunks_hold_counted_rows_however_sparse_the_order(spark, monkeypatch, step, group):
+    rng = random.Random(8)
+    rows = [("hot" if i % 3 else "cold", i * step, rng.choice([None] * 40 + [i])) for i in range(1500)]
+    df = spark.createDataFrame(rows, "g string, i bigint, v int").repartition(5)
+    cut = scan.chunked(df, group, "i", chunk_rows=10)
+    sizes = [r["count"] for r in cut.groupBy("_chunk").count().collect()]
+    assert max(sizes) == 10 and sum(sizes) == 1500 and len(sizes) < 170
+    monkeypatch.setattr(scan, "RUN_CHUNKS", 7)
+    got = scan.carry_forward(df, group, "i", {"out": F.col("v")}, chunk_rows=10).collect()
+    last, expected = {}, []
+    for g, i, v in rows:
+        name = g if group else ""
+        last[name] = v if v is not None else last.get(name)
+        expected.append((i, last[name]))
+    assert sorted((r.i, r.out) for r in got) == expected
+
+
 def test_numbers_follow_the_order(spark):
     values = random.Random(1).sample(range(1000), 300)
     df = spark.createDataFrame([(v, "hot" if v % 3 else "cold") for v in values], "v int, g string")

@@ -48,7 +48,7 @@ def test_dedupe_stream_equals_batch(spark, tmp_path):
 def test_snapshot_and_absent_streams(spark, tmp_path):
     stream = feed(spark, tmp_path, *ROWS)
     streams.snapshot_stream(stream.where("a is not null"), ["a"], ["ts", "ord"], str(tmp_path / "s"), str(tmp_path / "c1"))
-    assert {r.a: r.ord for r in tables.read_table(spark, str(tmp_path / "s")).collect()} == {"x": 2, "y": 3, "z": 7, "w": 8}
+    assert {r.a: r.ord for r in streams.read_snapshot(spark, str(tmp_path / "s"), ["a"], ["ts", "ord"]).collect()} == {"x": 2, "y": 3, "z": 7, "w": 8}
     streams.absent_stream(stream.where("a is not null"), ["a"], str(tmp_path / "n"), str(tmp_path / "c3"))
     assert sorted(r.a for r in tables.read_table(spark, str(tmp_path / "n")).collect()) == ["w", "x", "y", "z"]
 
@@ -91,4 +91,65 @@ def test_a_table_of_parts_is_read_as_a_stream(spark, tmp_path, parts):
     stored = spark.read.parquet(folder)
     stream = streams.table_stream(stored, stored.schema)
     streams.snapshot_stream(stream.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], str(tmp_path / "t"), str(tmp_path / "p"))
-    assert tables.read_table(spark, str(tmp_path / "t")).count() == table.select("user_id").distinct().count()
+    current = streams.read_snapshot(spark, str(tmp_path / "t"), ["user_id"], ["ts", "event_id"])
+    assert current.count() == table.select("user_id").distinct().count()
+
+
+def test_first_rows_of_any_batch(spark, tmp_path):
+    rows = [ROWS[0], [(9, "x", "p", at(3)), (10, None, "q", at(4)), (4, "z", "q", at(3))], [(2, "x", "q", at(1)), (11, None, "q", at(9)), (3, "z", "a", at(6))]]
+    stream = feed(spark, tmp_path, *rows)
+    path = str(tmp_path / "t")
+    streams.first_row_stream(stream, ["a"], "ord", path, str(tmp_path / "c"))
+    assert sorted((r.ord, r.a, r.b, r.ts) for r in streams.read_batches(spark, path).collect()) == [
+        (1, "x", "p", at(0)), (3, "y", "p", at(2)), (4, "z", "q", at(3)), (10, None, "q", at(4))]
+    streams.first_row_stream(stream, ["a"], "ord", path, str(tmp_path / "c"))
+    assert streams.read_batches(spark, path).count() == 4
+
+
+def keyed(first, n):
+    return [(i, f"k{i}", None, at(0)) for i in range(first, first + n)]
+
+
+@pytest.mark.parametrize("run", ["first", "snapshot"])
+def test_a_batch_does_not_pay_for_what_is_stored(spark, tmp_path, run):
+    """The same small batch after a small and after a large one reads, updates and writes the same."""
+    seen = []
+    for name, stored in (("small", 50), ("large", 20_000)):
+        folder = tmp_path / name
+        stream = feed(spark, folder, keyed(0, stored), [(stored + 1, "k7", None, at(1)), *keyed(10 ** 6, 20)])
+        path, progress = str(folder / "t"), str(folder / "c")
+        if run == "first":
+            query = streams.first_row_stream(stream, ["a"], "ord", path, progress)
+        else:
+            query = streams.snapshot_stream(stream, ["a"], ["ts", "ord"], path, progress)
+        last = next(p for p in query.recentProgress if p["batchId"] == 1)
+        state = last["stateOperators"][0]
+        assert state["numRowsTotal"] >= stored and "rocksdbTotalBytesRead" in str(state["customMetrics"])
+        written = spark.read.parquet(f"{path}/batch=1").count()
+        seen.append((last["numInputRows"], state["numRowsUpdated"], written))
+        assert state["customMetrics"]["rocksdbTotalBytesRead"] < 20_000
+    assert seen[0] == seen[1] and seen[0][:2] == (21, 21)
+
+
+def test_late_untimed_and_repeated_rows_in_one_sink(spark, tmp_path):
+    rows = [
+        [(1, "a", None, at(0)), (2, "b", None, None), (1, "a", None, at(0)), (3, "c", None, at(300))],
+        [(6, "f", None, at(301))],
+        [(1, "a", None, at(0)), (2, "b", None, None), (3, "c", None, at(300)), (4, "d", None, at(239)), (5, "e", None, at(241))],
+    ]
+    kept = streams.first_within_or_untimed(feed(spark, tmp_path, *rows), ["ord"], "ts", "1 hour")
+    streams.run_available(kept, streams.write_batch(str(tmp_path / "t")), str(tmp_path / "c"))
+    assert sorted(r.ord for r in streams.read_batches(spark, str(tmp_path / "t")).collect()) == [1, 2, 2, 3, 5, 6]
+
+
+def test_stops_inside_a_batch_and_across(spark, tmp_path):
+    rows = [
+        [(1, "A", None, at(0)), (2, "A", None, at(50)), (3, "A", None, at(60)), (4, "B", None, at(0)), (5, "B", None, None)],
+        [(6, "A", None, at(110)), (7, "B", None, at(20)), (8, "C", None, at(100))],
+        [(9, "A", None, at(111)), (10, "D", None, at(200))],
+    ]
+    alerts = streams.staleness_alerts(feed(spark, tmp_path, *rows), "a", "ts", 45.0, "0 seconds")
+    streams.run_available(alerts, streams.write_batch(str(tmp_path / "t")), str(tmp_path / "c"))
+    got = sorted((r.a, r.last_seen) for r in streams.read_batches(spark, str(tmp_path / "t")).collect())
+    assert ("A", at(0)) in got and ("A", at(60)) in got and ("A", at(111)) in got and ("C", at(100)) in got
+    assert len([g for g in got if g[0] == "A"]) == 3 and not [g for g in got if g[0] == "D"]
