@@ -73,10 +73,18 @@ def number_years(wide: DataFrame) -> DataFrame:
 
 
 def parse_ridership(grid: DataFrame, strict: bool = True, columns: Sequence[str] | None = None,
-                    count_existing_totals: bool = False, per_file_totals: bool = True) -> Ridership:
-    """All sheets of a grid.  With ``strict`` a year with any problem is left out as a whole."""
+                    count_existing_totals: bool = False, per_file_totals: bool = True,
+                    unreadable: DataFrame | None = None) -> Ridership:
+    """All sheets of a grid.  With ``strict`` a year with any problem is left out as a whole.
+
+    ``unreadable`` are (file, problem) of sheets that gave no grid: problems of their years as well.
+    """
     long, problems = long_rows(grid, count_existing_totals, per_file_totals)
-    of_file = grid.select("file").distinct().withColumn("year", labels.file_year(_stem(F.col("file"))))
+    of_file = grid.select("file").distinct()
+    if unreadable is not None:
+        problems = problems.unionByName(unreadable)
+        of_file = of_file.unionByName(unreadable.select("file")).distinct()
+    of_file = of_file.withColumn("year", labels.file_year(_stem(F.col("file"))))
     bad = cut_lineage(problems.join(of_file, "file").groupBy("year").agg(
         F.count("*").alias("problems"), F.array_sort(F.collect_set("problem")).alias("kinds")))
     status = (
@@ -100,11 +108,14 @@ def load_ridership(spark: SparkSession, folder: str, main: str, backup: str, now
     ``by_date`` identifies a row by date and period; ``reference`` by its running id, so that a
     later load of the same year only touches the rows that have those ids.
     """
-    grid = files.read_grid(spark, folder)
     name = F.element_at(F.split(F.url_decode(F.col("file")), "/"), -1)
-    grid = grid.where(~name.startswith("~$") & F.lower(_stem(F.col("file"))).contains("afcs"))
-    parsed = parse_ridership(grid, strict, per_file_totals=mode == "reference",
-                             count_existing_totals=mode == "reference")
+    wanted = ~name.startswith("~$") & F.lower(_stem(F.col("file"))).contains("afcs")
+    books = cut_lineage(files.read_workbook_grid(spark, folder, strict=False).where(wanted))
+    grid = files.read_grid(spark, folder).where(wanted)
+    grid = grid.unionByName(books.where("problem is null").drop("problem"))
+    parsed = parse_ridership(
+        grid, strict, per_file_totals=mode == "reference", count_existing_totals=mode == "reference",
+        unreadable=books.where("problem is not null").select("file", "problem"))
     key = ["id"] if mode == "reference" else ["date", "time_period"]
     new = parsed.wide.withColumn("load_timestamp", now)
     if mode != "reference":

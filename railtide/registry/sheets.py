@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from railtide import vocab
@@ -9,6 +11,7 @@ from railtide.functions import cells, labels
 from railtide.operators import checks, ids, reshape, sheets
 from railtide.registry.base import pick, query
 from railtide.session import cut_lineage
+from railtide.sources import files
 
 PRIORITY_PERIODS = {
     "1-URGENT": vocab.AM_PEAK, "2-HIGH": vocab.PM_PEAK, "3-MEDIUM": vocab.EARLY_OFF_PEAK,
@@ -204,6 +207,34 @@ def sheet_ridership(table, spark):
     return reshape.with_daily_totals(long, ["file", "column_name"], "date", "time_period", "value")
 
 
+@query("raw_sheet", """
+SELECT event_id, user_id % 8 AS book, row_number() OVER (PARTITION BY user_id % 8 ORDER BY event_id) - 1 AS row_idx,
+  CASE event_id % 5 WHEN 0 THEN 2 ELSE 4 END AS n_cells,
+  CASE event_id % 3 WHEN 0 THEN event_type || chr(10) || 'said "' || user_id || '", twice' || chr(10) WHEN 1 THEN '5" pipe' ELSE event_type END AS note,
+  CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 THEN 'v,' || event_id END AS mark
+FROM events
+""")
+def raw_sheet(table, spark):
+    """Events as headerless books whose quoted cells hold commas, quotes and line breaks, written and read in many splits."""
+    event, user = F.col("event_id"), F.col("user_id")
+    spoken = F.concat(F.lit('"'), "event_type", F.lit('\nsaid ""'), user, F.lit('"", twice\n"'))
+    note = pick(event % 3, spoken, F.lit('5" pipe'), F.col("event_type"))
+    rest = F.when(event % 5 == 0, "").otherwise(F.concat(F.lit(',"'), F.when(event % 7 == 0, " ").otherwise(F.concat(F.lit("v,"), event)), F.lit('",x')))
+    books = table("events").select((user % 8).alias("book"), event, F.concat(event, F.lit(","), note, rest).alias("value"))
+    folder = f"{spark.sparkContext.getCheckpointDir()}/raw-sheet-{uuid.uuid4().hex}"
+    books.repartition(8, "book").sortWithinPartitions("book", "event_id").drop("event_id").write.partitionBy("book").text(folder)
+    whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 14))  # many splits in small books
+    try:
+        grid = cut_lineage(files.read_grid(spark, folder, "*.txt"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", whole)
+    return grid.select(
+        F.get("cells", F.lit(0)).cast("bigint").alias("event_id"), F.regexp_extract("file", r"book=(\d+)", 1).cast("bigint").alias("book"),
+        "row_idx", F.size("cells").alias("n_cells"), F.get("cells", F.lit(1)).alias("note"), F.get("cells", F.lit(2)).alias("mark"),
+    )
+
+
 SHAPES = [
     "7-9am (AM Peak)", "5-7PM  Peak", "5-7am Off", "9am-5pm off-peak", "7-10pm OFF peak", "7-11pm off", "Daily  Total",
     "Sub Total", "07:00-09:00", "1700 - 1900", "Subtotal (Peak)", "Off-Peak Total", "Total (Peak + Off Peak)", "7-9am off peak",
