@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from railtide import vocab
 from railtide.functions import cells, labels
 from railtide.operators.ids import padded_id
+from railtide.session import cut_lineage
 
 LAST_COLUMNS = ["total_entry", "total_exit"]
-MAX_PIVOT_COLUMNS = 2_000
 
 
 def month_matrix(df: DataFrame, month: str, years: Sequence[str]) -> DataFrame:
@@ -60,11 +60,11 @@ def number_months(df: DataFrame, prefix: str = "STU") -> DataFrame:
 
 
 def column_names(df: DataFrame, name: str) -> list[str]:
-    """Distinct column names of a long table, in sheet order: sorted, grand totals last."""
-    rows = df.select(name).distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()
-    if len(rows) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} columns; keep the long form")
-    found = sorted(r[name] for r in rows if r[name] is not None)
+    """Distinct column names of a long table, in sheet order: sorted, grand totals last.
+
+    They are a table's schema, which the driver holds in any case.
+    """
+    found = sorted(r[name] for r in df.select(name).where(F.col(name).isNotNull()).distinct().collect())
     return [c for c in found if c not in LAST_COLUMNS] + [c for c in LAST_COLUMNS if c in found]
 
 
@@ -97,7 +97,8 @@ def daily_totals(detail: DataFrame, keys: Sequence[str], date: str, period: str,
 
 
 def with_daily_totals(detail: DataFrame, keys: Sequence[str], date: str, period: str, value: str, **options) -> DataFrame:
-    """Daily totals and the detail rows in one table."""
+    """Daily totals and the detail rows in one table; what made the detail rows runs once."""
+    detail = cut_lineage(detail)
     totals = daily_totals(detail, keys, date, period, value, **options)
     return totals.unionByName(detail.select(*totals.columns))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railtide.functions import labels
-from railtide.operators import ids, merge, reshape, sheets
+from railtide.operators import dedupe, ids, merge, reshape, sheets
 from railtide.session import cut_lineage
 from railtide.sinks import tables
 from railtide.sources import files
@@ -113,16 +113,26 @@ def load_ridership(spark: SparkSession, folder: str, main: str, backup: str, now
     books = cut_lineage(files.read_workbook_grid(spark, folder, strict=False).where(wanted))
     grid = files.read_grid(spark, folder).where(wanted)
     grid = grid.unionByName(books.where("problem is null").drop("problem"))
-    parsed = parse_ridership(
-        grid, strict, per_file_totals=mode == "reference", count_existing_totals=mode == "reference",
-        unreadable=books.where("problem is not null").select("file", "problem"))
+    return store_ridership(grid, main, backup, now, mode, strict, books.where("problem is not null").select("file", "problem"))
+
+
+def store_ridership(grid: DataFrame, main: str, backup: str, now: Column, mode: str = "by_date", strict: bool = True,
+                    unreadable: DataFrame | None = None) -> Ridership:
+    """Merge the sheets of a grid into the table and its backup, one partition per year.
+
+    A year is the unit of a commit: only the partitions of accepted years are read, merged and
+    replaced, a rejected year keeps what was stored.  Columns that one side lacks are NULL there.
+    """
+    parsed = parse_ridership(grid, strict, per_file_totals=mode == "reference",
+                             count_existing_totals=mode == "reference", unreadable=unreadable)
     key = ["id"] if mode == "reference" else ["date", "time_period"]
     new = parsed.wide.withColumn("load_timestamp", now)
     if mode != "reference":
-        from railtide.operators.dedupe import keep_first
-
-        new = keep_first(new, key, ["id"])
-    stored = tables.read_table(spark, main)
-    merged = new if stored is None else merge.insert_or_touch(stored, new, key, "load_timestamp", now)
-    tables.write_twice(merged, main, backup, ["year"])
+        new = dedupe.keep_first(new, key, ["id"])
+    stored = tables.read_table(grid.sparkSession, main)
+    if stored is not None:
+        # one entry per accepted year: a filter on partitions, which the scan prunes by
+        years = [r["year"] for r in parsed.status.where("accepted").select("year").collect()]
+        new = merge.insert_or_touch(stored.where(F.col("year").isin(years)), new, key, "load_timestamp", now)
+    tables.write_twice(new, main, backup, ["year"])
     return parsed

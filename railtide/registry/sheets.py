@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from railtide import vocab
 from railtide.functions import cells, labels
 from railtide.operators import checks, ids, reshape, sheets
+from railtide.plans import ridership
 from railtide.registry.base import pick, query
 from railtide.session import cut_lineage
+from railtide.sinks import tables
 from railtide.sources import files
 
 PRIORITY_PERIODS = {
@@ -235,6 +237,96 @@ def raw_sheet(table, spark):
     )
 
 
+def order_sheets(orders, stations=("Recto",), years=None):
+    """Orders as one ridership sheet per month, twelve years later; the fifteenths of 2007 hold a negative cell."""
+    day = F.col("o_orderdate")
+    year, month = F.year(day) + 12, F.month(day)
+    daily = orders.groupBy(day.alias("day"), year.alias("year"), month.alias("month")).agg(
+        F.count("*").alias("n"), F.sum(F.col("o_custkey") % 7).alias("m"))
+    if years is not None:
+        daily = daily.where(F.col("year").isin(*years))
+    bad = (F.col("year") == 2007) & (F.dayofmonth("day") == 15)
+    entry = F.when(bad, F.lit("-1")).otherwise(F.format_number("n", 0))
+    none = F.lit(None).cast("string")
+    wide = F.array(
+        F.date_format("day", "d-MMM"), F.date_format("day", "EEE"), *[c for _ in stations for c in (entry, F.col("m").cast("string"))])
+    heads = [
+        F.array(F.lit("Counts 7-9am (AM Peak)")), F.array(F.lit(" Station"), none, *[c for s in stations for c in (F.lit(s), none)]),
+        F.array(F.lit("Date"), F.lit("Day"), *[F.lit(c) for _ in stations for c in ("Entry", "Exit")]),
+    ]
+    file = F.concat(F.lit("afcs_"), F.lower(F.date_format(F.make_date(F.lit(2000), "month", F.lit(1)), "MMMM")), F.lit("_"), "year", F.lit(".csv"))
+    top = daily.select("year", "month").distinct().select(file.alias("file"), F.posexplode(F.array(*heads)).alias("row_idx", "cells"))
+    body = daily.select(file.alias("file"), (F.dayofmonth("day") + 2).alias("row_idx"), wide.alias("cells"))
+    return cut_lineage(top.unionByName(body).withColumn("row_idx", F.col("row_idx").cast("bigint")))
+
+
+@query("year_load", f"""
+WITH d AS (SELECT o_orderdate AS day, CAST(year(o_orderdate) + 12 AS INTEGER) AS year, count(*) AS n, CAST(sum(o_custkey % 7) AS BIGINT) AS m FROM orders GROUP BY ALL),
+s AS (SELECT year, year <> 2007 AS accepted, count(*) FILTER (WHERE year = 2007 AND day(day) = 15) AS problems FROM d GROUP BY 1),
+p AS (SELECT unnest(['{vocab.AM_PEAK}', '{vocab.DAILY_TOTAL}']) AS time_period)
+SELECT s.year, s.accepted, s.problems, CASE WHEN accepted THEN d.year || '-' || strftime(d.day, '%m-%d') END AS service_date,
+  time_period, CAST(CASE WHEN accepted THEN n END AS INTEGER) AS recto_entry, CAST(CASE WHEN accepted THEN m END AS INTEGER) AS recto_exit,
+  CAST(CASE WHEN accepted AND s.year = 2010 AND time_period = '{vocab.AM_PEAK}' THEN NULL END AS INTEGER) AS legarda_entry,
+  CASE WHEN accepted THEN CASE WHEN s.year IN (2009, 2010) THEN '2024-02-02' ELSE '2024-02-01' END END AS loaded
+FROM d JOIN s USING (year) CROSS JOIN p WHERE accepted
+UNION ALL SELECT year, accepted, problems, NULL, NULL, NULL, NULL, NULL, NULL FROM s WHERE NOT accepted
+""")
+def year_load(table, spark):
+    """All months loaded, then those of two years again with one more station: rows of stored years and the verdict on each."""
+    folder = f"{spark.sparkContext.getCheckpointDir()}/year-load-{uuid.uuid4().hex}"
+    first, again = (F.lit(f"2024-02-0{d} 00:00:00").cast("timestamp") for d in (1, 2))
+    done = ridership.store_ridership(order_sheets(table("orders")), f"{folder}/main", f"{folder}/backup", first)
+    later = order_sheets(table("orders"), ("Recto", "Legarda"), (2009, 2010))
+    ridership.store_ridership(later, f"{folder}/main", f"{folder}/backup", again)
+    stored = tables.read_table(spark, f"{folder}/backup").select(
+        F.col("year").alias("stored_year"), F.date_format("date", "yyyy-MM-dd").alias("service_date"), "time_period", "recto_entry",
+        "recto_exit", "legarda_entry", F.date_format("load_timestamp", "yyyy-MM-dd").alias("loaded"))
+    return done.status.join(stored, F.col("year") == F.col("stored_year"), "left").select(
+        F.col("year").cast("int").alias("year"), "accepted", "problems", *stored.columns[1:])
+
+
+MONTHLY_HOURS = ["07:00-08:00", "08:00-09:00", "17:00-18:00"]
+
+
+def event_summaries(events):
+    """Events as monthly summaries, one sheet per user group: hours, an empty row, then totals under Peak Hours."""
+    group = F.col("user_id") % 12 + 1
+    counted = events.groupBy(group.alias("month")).agg(
+        *[F.count(F.when(F.hour("ts") == h, 1)).alias(f"h{h}") for h in (7, 8, 17)], F.count("*").alias("n"),
+        F.sum(F.col("event_id") % 5).alias("m"))
+    none = F.lit(None).cast("string")
+
+    def row(label, *values):
+        return F.array(F.lit(label), *[v if v is none else v.cast("string") for v in values])
+
+    rows = F.array(
+        row("Summary", none, none, none, none), F.array(*map(F.lit, ("Station", "Recto")), none, F.lit("Total"), none),
+        F.array(*map(F.lit, ("Time", "Entry", "Exit", "Entry", "Exit"))),
+        *[row(label, F.col(h), F.col("m"), F.col("n"), F.lit("-")) for label, h in zip(MONTHLY_HOURS, ("h7", "h8", "h17"))],
+        row("", none, none, none, none), F.array(F.lit("Peak Hours"), F.lit("Recto"), none, F.lit("Total"), none),
+        row("Subtotal (Peak)", F.col("h7") + F.col("h8"), F.col("m"), F.col("n"), F.col("m")), row("Total", F.col("n"), F.col("m"), F.col("n"), F.lit("")),
+        row("", none, none, none, none), row("Total", F.col("m"), F.col("m"), F.col("m"), F.col("m")),
+    )
+    file = F.concat(F.lit("afcs_"), F.lower(F.date_format(F.make_date(F.lit(2024), "month", F.lit(1)), "MMMM")), F.lit("_2024.csv"))
+    return cut_lineage(counted.select(file.alias("file"), F.posexplode(rows).alias("row_idx", "cells")).withColumn(
+        "row_idx", F.col("row_idx").cast("bigint")))
+
+
+@query("monthly_summary", f"""
+WITH c AS (SELECT CAST(user_id % 12 + 1 AS INTEGER) AS month, count(*) FILTER (WHERE hour(ts) = 7) AS h7, count(*) FILTER (WHERE hour(ts) = 8) AS h8,
+    count(*) FILTER (WHERE hour(ts) = 17) AS h17, count(*) AS n, CAST(sum(event_id % 5) AS BIGINT) AS m FROM events GROUP BY 1),
+r AS (
+  SELECT month, '{MONTHLY_HOURS[0]}' AS time_period, [h7, m, n, NULL] AS v FROM c UNION ALL SELECT month, '{MONTHLY_HOURS[1]}', [h8, m, n, NULL] FROM c
+  UNION ALL SELECT month, '{MONTHLY_HOURS[2]}', [h17, m, n, NULL] FROM c UNION ALL SELECT month, '{vocab.PEAK_TOTAL}', [h7 + h8, m, n, m] FROM c
+  UNION ALL SELECT month, '{vocab.MONTHLY_TOTAL}', [n, m, n, NULL] FROM c)
+SELECT '2024-' || printf('%02d', month) || '-01' AS service_date, time_period, unnest(['recto_entry', 'recto_exit', 'total_entry', 'total_exit']) AS column_name,
+  unnest(v) AS value FROM r
+""")
+def monthly_summary(table, spark):
+    long, _ = ridership.long_rows(event_summaries(table("events")))
+    return long.select(F.date_format("date", "yyyy-MM-dd").alias("service_date"), "time_period", "column_name", F.col("value").cast("bigint").alias("value"))
+
+
 SHAPES = [
     "7-9am (AM Peak)", "5-7PM  Peak", "5-7am Off", "9am-5pm off-peak", "7-10pm OFF peak", "7-11pm off", "Daily  Total",
     "Sub Total", "07:00-09:00", "1700 - 1900", "Subtotal (Peak)", "Off-Peak Total", "Total (Peak + Off Peak)", "7-9am off peak",

@@ -37,8 +37,12 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows of a table: of its current version, or of all its partitions; None when nothing was written yet."""
     version = current_version(spark, path)
-    return None if version is None else spark.read.option("mergeSchema", True).parquet(version)
+    system, folder = _system(spark, path)
+    if version is None and not system.exists(folder):
+        return None
+    return spark.read.option("mergeSchema", True).parquet(version or path)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
@@ -106,18 +110,18 @@ def load_update_only(new: DataFrame, path: str, key: Sequence[str]) -> DataFrame
     return report
 
 
-def write_twice(df: DataFrame, main: str, backup: str, partition_by: Sequence[str] = ()) -> None:
-    """The same rows to a table and its backup, computed once."""
-    rows = cut_lineage(df)
-    replace_table(rows, main, partition_by)
-    replace_table(rows, backup, partition_by)
-
-
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace just the partitions that ``df`` holds rows for; rows of other partitions stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def write_twice(df: DataFrame, main: str, backup: str, partition_by: Sequence[str]) -> None:
+    """The same partitions of a table and its backup replaced; rows are computed once."""
+    rows = cut_lineage(df)
+    replace_partitions(rows, main, partition_by)
+    replace_partitions(rows, backup, partition_by)
+
+
 def write_accepted_groups(df: DataFrame, path: str, group: str, rejects: str = "rejects") -> DataFrame:
     """Write the groups without bad rows, leave the others as they are; returns the status per group."""
     rows = cut_lineage(df)
