@@ -63,18 +63,12 @@ def month_number(name: Column) -> Column:
     return lookup(F.lower(strip(name)), vocab.MONTHS)
 
 
-FILE_PERIOD = (
-    r"(?i)(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|jun(?:e)?|jul(?:y)?|aug(?:ust)?"
-    r"|sep(?:t|tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)[^0-9]*(20\d{2})"
-)
-
-
 def file_month(stem: Column) -> Column:
-    return month_number(F.nullif(F.regexp_extract(stem, FILE_PERIOD, 1), F.lit("")))
+    return month_number(F.nullif(F.regexp_extract(stem, vocab.FILE_PERIOD, 1), F.lit("")))
 
 
 def file_year(stem: Column) -> Column:
-    return F.regexp_extract(stem, FILE_PERIOD, 2).try_cast("int")
+    return F.regexp_extract(stem, vocab.FILE_PERIOD, 2).try_cast("int")
 
 
 def _month_day(cell: Column) -> Column:

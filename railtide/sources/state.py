@@ -16,14 +16,18 @@ def event_key(source: Column, name: Column, date: Column) -> Column:
     ])))
 
 
-def stored_keys(events: DataFrame, keep_params=None) -> DataFrame:
-    """The three dedupe keys of stored events; the scan reads just the six columns they need."""
+def key_columns(keep_params=None) -> list[Column]:
+    """The three dedupe keys of events."""
     key = urls.url_key(F.col("source_url")) if keep_params is None else urls.url_key(F.col("source_url"), keep_params)
-    return events.select(
-        key.alias("url_key"),
-        text.text_key(F.col("post_text"), F.col("image_text")).alias("text_key"),
+    return [
+        key.alias("url_key"), text.text_key(F.col("post_text"), F.col("image_text")).alias("text_key"),
         event_key(F.col("source_name"), F.col("event_name"), F.col("event_date")).alias("event_key"),
-    )
+    ]
+
+
+def stored_keys(events: DataFrame, keep_params=None) -> DataFrame:
+    """The three dedupe keys of stored events; the scan reads just the six columns they need."""
+    return events.select(*key_columns(keep_params))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

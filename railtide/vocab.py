@@ -19,6 +19,12 @@ FULL_MONTHS = [
     "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER",
 ]
 
+# month and year in the name of a sheet
+FILE_PERIOD = (
+    r"(?i)(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|jun(?:e)?|jul(?:y)?|aug(?:ust)?"
+    r"|sep(?:t|tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)[^0-9]*(20\d{2})"
+)
+
 AM_PEAK = "7-9am (AM PEAK)"
 PM_PEAK = "5-7pm (PM PEAK)"
 EARLY_OFF_PEAK = "5-7am (OFF PEAK)"
