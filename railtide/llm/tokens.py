@@ -16,8 +16,10 @@ from pyspark.sql.functions import pandas_udf
 
 # entries of the broadcast table: its size is bounded whatever the corpus
 TABLE_ENTRIES = 32_768
-# rows the table is fitted on; it is a speed-up only, counts never depend on it
-TABLE_ROWS = 4_096
+# rows of each partition that the table is fitted on, and pieces that each of them names; the table
+# is a speed-up only, counts never depend on it
+TABLE_ROWS = 256
+TASK_ENTRIES = 4_096
 # misses a worker remembers before it starts anew
 CACHE_ENTRIES = 600_000
 
@@ -127,10 +129,11 @@ def _worker(name: str) -> Counts:
 
 def frequent_pieces(docs: DataFrame, text: str, tokenizer: str, rows: int = TABLE_ROWS,
                     entries: int = TABLE_ENTRIES) -> dict[str, int]:
-    """At most ``entries`` pre-tokens with their token counts, the commonest of the first ``rows`` rows.
+    """At most ``entries`` pre-tokens with their token counts, the commonest of ``rows`` rows of every partition.
 
-    Each task stops reading after ``rows`` rows, and the limit below runs tasks one after the
-    other until it is filled: in a large corpus only the first partition is looked at.
+    Every partition has a say, so a table that is ordered by source or language is covered like
+    any other.  A task reads no further than its rows and names TASK_ENTRIES pieces at most; these
+    short lists are all that is shuffled, the pre-tokens of the texts are not.
     """
     def tally(batches):
         counts = _worker(tokenizer)
@@ -143,13 +146,15 @@ def frequent_pieces(docs: DataFrame, text: str, tokenizer: str, rows: int = TABL
             read += len(batch)
             if read >= rows:
                 break
-        top = seen.most_common(entries)
+        top = seen.most_common(TASK_ENTRIES)
         if top:
-            yield pd.DataFrame({"piece": [p for p, _ in top], "tokens": [counts[p] for p, _ in top]})
+            pieces, times = zip(*top)
+            yield pd.DataFrame({"piece": pieces, "times": times, "tokens": [counts[p] for p in pieces]})
 
     sample = docs.select(F.col(text).alias("text")).where("text is not null")
-    found = sample.mapInPandas(tally, "piece string, tokens int").limit(entries).collect()
-    return {r["piece"]: r["tokens"] for r in found}
+    named = sample.mapInPandas(tally, "piece string, times bigint, tokens int").groupBy("piece")
+    common = named.agg(F.sum("times").alias("times"), F.min("tokens").alias("tokens")).orderBy(F.desc("times"), "piece")
+    return {r["piece"]: r["tokens"] for r in common.limit(entries).collect()}
 
 
 def token_counter(docs: DataFrame, text: str = "text", tokenizer: str = "byte_bpe_50k.json",

@@ -51,3 +51,10 @@ def test_cache_starts_anew(monkeypatch):
 
 def test_empty_table(no_docs):
     assert tokens.op9(no_docs).collect() == []
+
+
+def test_every_partition_names_frequent_pieces(spark):
+    texts = [("red " * 30 + "rare", 1), ("blue " * 20, 2), ("green " * 40, 3), (None, 4)]
+    df = spark.createDataFrame(texts, "text string, part int").repartitionByRange(4, "part")
+    found = tokens.frequent_pieces(df, "text", "byte_bpe_50k.json", rows=1, entries=3)
+    assert set(found) == {" red", " blue", " green"} and all(n == 1 for n in found.values())
