@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -19,6 +20,10 @@ LEAST_COUNT = 2
 # pull of word pairs towards the single word's probability
 PULL = 4.0
 UNKNOWN, START = U64(1), U64(2)
+# Documents are counted in chunks of so many bytes of text, before anything is shuffled
+CHUNK_BYTES = 16_000_000
+# what a document adds to its chunk beside its bytes, so that empty texts fill chunks too
+DOCUMENT_BYTES = 64
 # Counts are summed in ranges of the 64-bit hashes, one range at a time in a task: there are more
 # ranges the more entries the corpus gives, about so many entries each
 RANGE_ENTRIES = 2_000_000
@@ -54,45 +59,58 @@ def _counts(place: np.ndarray, size: int, weights: np.ndarray) -> np.ndarray:
 
 
 def _chunked(docs: DataFrame) -> DataFrame:
-    """Rows of (key, text, target) to one row per about four megabytes of text: its different words
-    and, per token, which of them it is.
+    """Rows of (key, text) to one row per CHUNK_BYTES of text: keys and lengths of its documents, its
+    different words and, per token, which of them it is.
     """
-    kind = docs.schema["key"].dataType
+    document = StructType().add("key", docs.schema["key"].dataType).add("n", LongType())
     schema = (
-        StructType().add("chunk", LongType()).add("keys", ArrayType(kind)).add("words", BinaryType()).add("tokens", BinaryType())
-        .add("lengths", BinaryType()).add("targets", BinaryType()).add("n_words", LongType()).add("n_tokens", LongType())
-        .add("n_target", LongType()).add("starts", LongType()).add("target_starts", LongType())
+        StructType().add("chunk", LongType()).add("docs", ArrayType(document)).add("words", BinaryType()).add("tokens", BinaryType())
+        .add("n_words", LongType()).add("n_tokens", LongType()).add("starts", LongType())
     )
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
+    listed = arrow.field("docs").type
+
+    def row(number, keys, run):
+        found, lengths = [], []
+        for part in chunks(run):
+            words, owner = words_of(part, fold=True, marks=False)
+            found.append(words)
+            lengths.append(np.bincount(owner, minlength=len(part)))
+        lengths = np.concatenate(lengths).astype(np.int64)
+        words, tokens = np.unique(np.concatenate(found), return_inverse=True)
+        held = pa.StructArray.from_arrays([pa.concat_arrays(keys).cast(listed.value_type[0].type), pa.array(lengths)], fields=list(listed.value_type))
+        values = [
+            pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(run)], pa.int32()), held).cast(listed),
+            *[pa.array([v], pa.binary()) for v in (_pack_keys(words), _pack(tokens.astype(np.uint32)))],
+            *[pa.array([int(v)], pa.int64()) for v in (len(words), len(tokens), np.count_nonzero(lengths))],
+        ]
+        return pa.RecordBatch.from_arrays(values, schema=arrow)
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
+        keys, texts, size = [], [], 0
         for batch in batches:
             first = 0
-            targets = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)
-            for texts in chunks(batch.column(1).to_pylist()):
-                found, owner = words_of(texts, fold=True, marks=False)
-                words, tokens = np.unique(found, return_inverse=True)
-                lengths = np.bincount(owner, minlength=len(texts)).astype(np.uint32)
-                target = targets[first : first + len(texts)]
-                keys = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column(0).slice(first, len(texts)))
-                values = [
-                    number, None, _pack_keys(words), _pack(tokens.astype(np.uint32)), _pack(lengths), _pack(target), len(words),
-                    len(tokens), int(lengths[target > 0].sum()), int((lengths > 0).sum()), int(((lengths > 0) & (target > 0)).sum()),
-                ]
-                yield pa.RecordBatch.from_arrays([
-                    keys.cast(f.type) if f.name == "keys" else pa.array([v], f.type) for f, v in zip(arrow, values)
-                ], schema=arrow)
-                first += len(texts)
-                number += 1
+            for at, (text, n) in enumerate(zip(batch.column(1).to_pylist(), pc.binary_length(batch.column(1)).to_pylist())):
+                if texts and size + n > CHUNK_BYTES:
+                    yield row(number, [*keys, batch.column(0).slice(first, at - first)], texts)
+                    keys, texts, size, first, number = [], [], 0, at, number + 1
+                texts.append(text)
+                size += n + DOCUMENT_BYTES
+            keys.append(batch.column(0).slice(first))
+        if texts:
+            yield row(number, keys, texts)
 
     return docs.mapInArrow(run, schema)
 
 
 PARTS = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("keys", pa.binary()), ("target", pa.binary()), ("all", pa.binary())])
-SUMS = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("target", pa.binary()), ("all", pa.binary())])
+SUMS = pa.schema([
+    ("chunk", pa.int64()), ("range", pa.int32()), ("target", pa.binary()), ("all", pa.binary()),
+    ("known", pa.int64()), ("rare_target", pa.int64()), ("rare_all", pa.int64()),
+])
 PARTS_DDL = "chunk long, range int, keys binary, target binary, all binary"
-SUMS_DDL = "chunk long, range int, target binary, all binary"
+SUMS_DDL = "chunk long, range int, target binary, all binary, known long, rare_target long, rare_all long"
 
 
 def _parts(chunk: int, ranges: int, keys: np.ndarray, target: np.ndarray, every: np.ndarray) -> pa.RecordBatch:
@@ -108,24 +126,26 @@ def _parts(chunk: int, ranges: int, keys: np.ndarray, target: np.ndarray, every:
 
 
 def _summed(parts: DataFrame) -> DataFrame:
-    """Exact sums over the corpus of every key, for each chunk in the order of its own keys.
+    """For each chunk, in the order of its own keys, the counts of all other chunks: exact, and zero
+    for a key that no other chunk has, which compression leaves next to nothing of.
 
-    Of every range there is one row more, of chunk -1: (keys with LEAST_COUNT or more, target count
-    and count of the other keys).
+    Of every range there is one row more, without a chunk: the number of keys with LEAST_COUNT or
+    more, target count and count of the other keys.
     """
     def of_range(number, held):
         keys = [_unpack_keys(k) for _, k, _, _ in held]
+        own = [[_unpack(h[i], np.uint32).astype(np.int64) for h in held] for i in (2, 3)]
         ends = np.cumsum([0, *map(len, keys)])
         _, place = np.unique(np.concatenate(keys), return_inverse=True)
         size = int(place.max()) + 1
-        target, every = (_counts(place, size, np.concatenate([_unpack(h[i], np.uint32) for h in held])) for i in (2, 3))
+        target, every = (_counts(place, size, np.concatenate(o)) for o in own)
         rare = every < LEAST_COUNT
-        facts = np.array([np.count_nonzero(~rare), target[rare].sum(), every[rare].sum()], dtype=np.int64)
         spans = [place[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        none = [None] * len(held)
         return pa.RecordBatch.from_arrays([
-            pa.array([-1, *(h[0] for h in held)], pa.int64()), pa.array([number] * (len(held) + 1), pa.int32()),
-            pa.array([_pack(facts), *(_pack(target[s]) for s in spans)], pa.binary()),
-            pa.array([b"", *(_pack(every[s]) for s in spans)], pa.binary()),
+            pa.array([None, *(h[0] for h in held)], pa.int64()), pa.array([number] * (len(held) + 1), pa.int32()),
+            *[pa.array([None, *(_pack(sums[s] - o) for s, o in zip(spans, mine))], pa.binary()) for sums, mine in zip((target, every), own)],
+            *[pa.array([int(v), *none], pa.int64()) for v in (np.count_nonzero(~rare), target[rare].sum(), every[rare].sum())],
         ], schema=SUMS)
 
     def run(batches):
@@ -144,7 +164,7 @@ def _summed(parts: DataFrame) -> DataFrame:
 
 def _by_chunk(sums: DataFrame, name: str) -> DataFrame:
     """One row per chunk: its sums in the order of the ranges, which is that of its keys."""
-    return sums.where("chunk >= 0").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("range", "target", "all"))).alias(name))
+    return sums.where("chunk IS NOT NULL").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("range", "target", "all"))).alias(name))
 
 
 def _joined(got: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
@@ -156,19 +176,33 @@ def _ranges(entries: int | None) -> int:
     return max(1, -(-(entries or 0) // RANGE_ENTRIES))
 
 
-class _Chunk:
-    """Tokens of a chunk after rare words have become one: pairs with the word before."""
+class _Words:
+    """Tokens of a chunk: which of its words each is, and whether its document is in the target."""
 
     def __init__(self, row: dict):
-        words = _unpack_keys(row["words"].as_py())
+        self.number = row["chunk"].as_py()
+        self.words = _unpack_keys(row["words"].as_py())
         self.tokens = _unpack(row["tokens"].as_py(), np.uint32).astype(np.int64)
-        self.lengths = _unpack(row["lengths"].as_py(), np.uint32).astype(np.int64)
-        targets = _unpack(row["targets"].as_py(), np.uint8)
+        self.keys, lengths = row["docs"].values.flatten()
+        self.lengths = lengths.to_numpy()
+        flags = np.zeros(len(self.lengths), dtype=np.int64)
+        flags[row["places"].as_py() or []] = 1
         self.owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.target = targets[self.owner].astype(np.int64)
-        self.counts = _joined(row["word_sums"])
+        self.target = flags[self.owner]
+
+    def counted(self, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Own counts (in the target, in all) of what ``place`` says of each token."""
+        return _counts(place, size, self.target), np.bincount(place, minlength=size)
+
+
+class _Pairs(_Words):
+    """Pairs of each token with the one before, after rare words have become one word."""
+
+    def __init__(self, row: dict):
+        super().__init__(row)
+        self.counts = [a + b for a, b in zip(_joined(row["word_sums"]), self.counted(self.tokens, len(self.words)))]
         self.rare = self.counts[1] < LEAST_COUNT
-        word = np.where(self.rare, UNKNOWN, words)[self.tokens]
+        word = np.where(self.rare, UNKNOWN, self.words)[self.tokens]
         self.opens = np.append(True, self.owner[1:] != self.owner[:-1])[: len(word)]
         before = np.append(START, word[:-1])[: len(word)].astype(U64)
         before[self.opens] = START
@@ -181,47 +215,44 @@ def score_documents(docs: DataFrame, target: DataFrame, text: str = "text", key:
     ``target`` (key) names the documents of the target model, the background is every document.
     The models match in vocabulary, order and smoothing, so the difference of their losses is about
     the texts.  Counts of words and of word pairs are exact (by 64-bit hash) and grow with the
-    corpus: each chunk of documents sends its different words, then pairs, to ranges of hashes,
-    which send the sums over the corpus back.  No model is held as a whole anywhere.
+    corpus: each chunk of documents adds up its words, then pairs, and sends the sums to ranges of
+    hashes, which send back what the other chunks have.  No model is held as a whole anywhere, and
+    texts do not move: target documents are found by key, their places go to the chunks.
 
     A low score means closer to the target than to the corpus.  Tokens are lower-cased words; texts
-    without any (NULL, empty, punctuation) have losses and score 0.  Equal texts score alike.
+    without any (NULL, empty, punctuation) have losses and score 0.  Equal texts score alike, repeated
+    rows stay and are counted as often as they come, NULL keys are never in the target.
     """
-    chosen = target.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
-    flagged = (
-        docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .join(chosen, F.col("key") == F.col("_key"), "left").select("key", "text", F.col("_key").isNotNull().alias("target"))
+    chosen = target.where(F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct()
+    held = cut_lineage(_chunked(docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))))
+    size = held.agg(*[F.sum(c).alias(c) for c in ("n_words", "n_tokens", "starts")]).first()
+    places = cut_lineage(
+        held.select("chunk", F.posexplode("docs").alias("place", "doc")).select("chunk", "place", "doc.key", "doc.n").join(chosen, "key", "left_semi")
+        .groupBy("chunk").agg(F.collect_list("place").alias("places"), F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("starts"))
     )
-    held = cut_lineage(_chunked(flagged))
-    size = held.agg(*[F.sum(c).alias(c) for c in ("n_words", "n_tokens", "n_target", "starts", "target_starts")]).first()
+    aim = places.agg(F.sum("n").alias("n_tokens"), F.sum("starts").alias("starts")).first()
+    totals, starts = ((aim[c] or 0, size[c] or 0) for c in ("n_tokens", "starts"))
+    chunk = held.select("chunk", "docs", "words", "tokens").join(places.select("chunk", "places"), "chunk", "left")
 
-    word_ranges = _ranges(size["n_words"])
+    word_ranges, pair_ranges = _ranges(size["n_words"]), _ranges(size["n_tokens"])
 
     def word_parts(batches):
         for r in _rows(batches):
-            words, tokens = _unpack_keys(r["words"].as_py()), _unpack(r["tokens"].as_py(), np.uint32).astype(np.int64)
-            flags = np.repeat(_unpack(r["targets"].as_py(), np.uint8), _unpack(r["lengths"].as_py(), np.uint32).astype(np.int64))
-            if len(words):
-                n = len(words)
-                yield _parts(r["chunk"].as_py(), word_ranges, words, _counts(tokens, n, flags), np.bincount(tokens, minlength=n))
-
-    word_sums = cut_lineage(_summed(held.select("chunk", "words", "tokens", "lengths", "targets").mapInArrow(word_parts, PARTS_DDL)))
-    facts = [_unpack(r["target"], np.int64) for r in word_sums.where("chunk < 0").select("target").collect()]
-    known, *unknown = (int(n) for n in np.sum([np.zeros(3, np.int64), *facts], axis=0))
-    totals = (size["n_target"] or 0, size["n_tokens"] or 0)
-    starts = (size["target_starts"] or 0, size["starts"] or 0)
-    pair_ranges = _ranges(size["n_tokens"])
+            c = _Words(r)
+            if len(c.words):
+                yield _parts(c.number, word_ranges, c.words, *c.counted(c.tokens, len(c.words)))
 
     def pair_parts(batches):
         for r in _rows(batches):
-            c = _Chunk(r)
+            c = _Pairs(r)
             if len(c.pairs):
-                n = len(c.pairs)
-                yield _parts(r["chunk"].as_py(), pair_ranges, c.pairs, _counts(c.pair, n, c.target), np.bincount(c.pair, minlength=n))
+                yield _parts(c.number, pair_ranges, c.pairs, *c.counted(c.pair, len(c.pairs)))
 
-    told = held.join(_by_chunk(word_sums, "word_sums"), "chunk", "left")
-    columns = ["chunk", "words", "tokens", "lengths", "targets", "word_sums"]
-    pair_sums = cut_lineage(_summed(told.select(*columns).mapInArrow(pair_parts, PARTS_DDL)))
+    word_sums = cut_lineage(_summed(chunk.mapInArrow(word_parts, PARTS_DDL)))
+    facts = word_sums.agg(*[F.sum(c).alias(c) for c in ("known", "rare_target", "rare_all")]).first()
+    known, *unknown = (n or 0 for n in facts)
+    told = chunk.join(_by_chunk(word_sums, "word_sums"), "chunk", "left")
+    pair_sums = _by_chunk(_summed(told.mapInArrow(pair_parts, PARTS_DDL)), "pair_sums")
 
     kind = docs.schema[key].dataType
     schema = StructType().add("key", kind).add("n_tokens", LongType()).add("target_loss", DoubleType()).add("background_loss", DoubleType())
@@ -229,8 +260,9 @@ def score_documents(docs: DataFrame, target: DataFrame, text: str = "text", key:
 
     def losses(batches):
         for r in _rows(batches):
-            c = _Chunk(r)
-            pairs, out = _joined(r["pair_sums"]), []
+            c = _Pairs(r)
+            pairs = [a + b for a, b in zip(_joined(r["pair_sums"]), c.counted(c.pair, len(c.pairs)))]
+            out = []
             for m in (0, 1):
                 word = np.where(c.rare, unknown[m], c.counts[m])[c.tokens].astype(float)
                 before = np.append(0.0, word[:-1])[: len(word)]
@@ -238,9 +270,9 @@ def score_documents(docs: DataFrame, target: DataFrame, text: str = "text", key:
                 single = (word + 1.0) / (totals[m] + known + 1.0)
                 p = (pairs[m][c.pair] + PULL * single) / (before + PULL)
                 out.append(np.bincount(c.owner, -np.log2(p), minlength=len(c.lengths)) / np.maximum(c.lengths, 1))
-            yield pa.RecordBatch.from_arrays([r["keys"].values.cast(arrow[0].type), pa.array(c.lengths), *map(pa.array, out)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([c.keys.cast(arrow[0].type), pa.array(c.lengths), *map(pa.array, out)], schema=arrow)
 
-    scored = told.join(_by_chunk(pair_sums, "pair_sums"), "chunk", "left").select("keys", *columns, "pair_sums").mapInArrow(losses, schema)
+    scored = told.join(pair_sums, "chunk", "left").mapInArrow(losses, schema)
     return scored.select(
         F.col("key").alias(key), "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"),
     )

@@ -94,3 +94,15 @@ def test_more_pairs_than_any_fixed_table(spark, docs_of):
         losses.append(-np.log2(p).mean(axis=1))
     assert len(np.unique(pair)) > 1 << 22
     assert np.abs(np.array([got[i] for i in range(2500)]) - np.array(losses).T).max() < 1e-6
+
+
+def test_many_chunks_and_ranges(spark, docs_of, monkeypatch):
+    """Counts meet across chunks and ranges, also for repeated rows, NULL keys and empty texts."""
+    import random
+
+    monkeypatch.setattr(lmscore, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(lmscore, "RANGE_ENTRIES", 40)
+    rng = random.Random(12)
+    rows = [(i % 50 if i % 9 else None, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randrange(25)))) for i in range(120)]
+    rows += [(60, None), (61, ""), (3, rows[3][1])]
+    check(spark, docs_of(rows), rows, [3, 4, 8, 60, 77])
