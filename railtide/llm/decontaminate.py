@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 from railtide.llm.words import bound, hashed, words_column
 from railtide.session import cut_lineage
 
-# 1: the token counts, 0: any token will do.  These are the masks of the SQL alone.
-MASKS = ("11101100101", "11010011011")
 # an overlap is a stretch of so many tokens, of which so large a share is equal place by place
 WINDOW = 15
 SHARE = 0.8
-# By the length of an overlap: masks of which one at least, somewhere in the overlap, looks at equal
+# By the length of an overlap, 1: the token counts, 0: any token will do.  Masks of which one at least, somewhere in the overlap, looks at equal
 # tokens only, whichever of its tokens differ as SHARE allows (one of 5 to 9, two of 10 to 14, three
 # of 15).  Found by search, tested by enumeration.
 SEEDS = {
@@ -31,7 +29,7 @@ SEEDS = {
     14: ("111001011", "11001000001011"),
     15: ("1101111", "11100010011", "10001101011"),
 }
-# a benchmark item of fewer words occurs in ordinary text and is not looked for
+# a benchmark item of fewer words occurs in ordinary text: it is looked for as a whole text only
 LEAST_WORDS = 5
 # seeds of the benchmark may be broadcast up to this many rows, about 60 MB
 BROADCAST_SEEDS = 500_000
@@ -78,10 +76,10 @@ def _seeds(df: DataFrame, keep: list[str], tokens: Column, masks: dict[str, list
 
 
 def benchmark_items(benchmark: DataFrame, text: str = "text", key: str = "item_id") -> DataFrame:
-    """(item, tokens) of items long enough to look for; equal items are one, under the smallest key."""
+    """(item, tokens) of items with words; equal items are one, under the smallest key."""
     tokens = hashed(words_column(F.col(text)))
     return (
-        benchmark.select(F.col(key).alias("item"), tokens.alias("tokens")).where(F.size("tokens") >= LEAST_WORDS)
+        benchmark.select(F.col(key).alias("item"), tokens.alias("tokens")).where(F.size("tokens") > 0)
         .groupBy("tokens").agg(F.min("item").alias("item")).select("item", "tokens")
     )
 
@@ -112,36 +110,48 @@ def _verified(tokens: Column, found: Column) -> Column:
     return F.filter(bound(tokens, lambda held: F.transform(found, lambda c: check(c, held))), lambda r: r["first"].isNotNull())
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``_overlaps``: array of (item, first, last, equal), token places in the text.
-
-    Seeds of texts meet seeds of the benchmark in one equi-join; hits on one diagonal of a text and
-    an item are one candidate.  Candidates are few and come back to their texts by digest, where
-    the tokens around them are compared place by place: an overlap is WINDOW tokens (or the whole
-    item, if shorter) of which SHARE are equal.  Every place of every text is a seed, and every
-    overlap holds one that no substitution touches.
-    """
+def _matched(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
+    """(row, overlaps): each row of ``docs`` as one struct, so that no column of its can clash."""
     items = cut_lineage(benchmark_items(benchmark))
-    lengths = [r["n"] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW)).alias("n")).distinct().collect()]
+    long = items.where(F.size("tokens") >= LEAST_WORDS)
+    lengths = [r["n"] for r in long.select(F.least(F.size("tokens"), F.lit(WINDOW)).alias("n")).distinct().collect()]
     masks = _masks(lengths or [WINDOW])
-    seeds = cut_lineage(_seeds(items, ["item"], F.col("tokens"), masks, "item_at", items=True))
+    seeds = cut_lineage(_seeds(long, ["item"], F.col("tokens"), masks, "item_at", items=True))
     asked = F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds
     texts = docs.select(_digest(text).alias("digest"), F.col(text).alias("text"))
     candidates = (
         _seeds(texts, ["digest"], hashed(words_column(F.col("text"))), masks, "at").join(asked, "seed")
         .select("digest", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     )
+    short = texts.select("digest", hashed(words_column(F.col("text"))).alias("tokens")).where(F.size("tokens").between(1, LEAST_WORDS - 1))
+    whole = short.distinct().join(items.where(F.size("tokens") < LEAST_WORDS), "tokens").select("digest", "item", F.lit(0).alias("shift"))
     listed = cut_lineage(
-        candidates.join(items, "item").groupBy(F.col("digest").alias("_digest"))
-        .agg(F.collect_list(F.struct("item", "shift", "tokens")).alias("_found"))
+        candidates.unionByName(whole).join(items, "item").groupBy("digest")
+        .agg(F.collect_list(F.struct("item", "shift", "tokens")).alias("found"))
     )
-    met = docs.withColumn("_own", _digest(text)).join(listed, F.col("_own") == F.col("_digest"), "left")
-    verified = _verified(hashed(words_column(F.col(text))), F.col("_found"))
-    return met.withColumn("_overlaps", F.when(F.col("_found").isNotNull(), verified)).drop("_own", "_digest", "_found")
+    held = docs.select(F.struct("*").alias("row"), _digest(text).alias("digest"))
+    verified = _verified(hashed(words_column(F.col("row")[text])), F.col("found"))
+    return held.join(listed, "digest", "left").select("row", F.when(F.col("found").isNotNull(), verified).alias("overlaps"))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "overlaps") -> DataFrame:
+    """``docs`` with an array of (item, first, last, equal) in ``out``, token places in the text.
+
+    Seeds of texts meet seeds of the benchmark in one equi-join; hits on one diagonal of a text and
+    an item are one candidate.  Candidates are few and come back to their texts by digest, where
+    the tokens around them are compared place by place: an overlap is WINDOW tokens (or the whole
+    item, if shorter) of which SHARE are equal.  Every place of every text is a seed, and every
+    overlap holds one that no substitution touches.  Items of fewer than LEAST_WORDS words overlap
+    a text that has the same words and no others.
+
+    NULL and empty texts and texts without words overlap nothing, nor do such items.  Repeated rows
+    stay and are judged alike; a column named ``out`` is replaced.  Empty tables are no special case.
+    """
+    return _matched(docs.drop(out), benchmark, text).select("row.*", F.col("overlaps").alias(out))
 
 
 def _is_hit() -> Column:
-    return F.coalesce(F.size("_overlaps") > 0, F.lit(False))
+    return F.coalesce(F.size("overlaps") > 0, F.lit(False))
 
 
 def op2(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -150,49 +160,43 @@ def op2(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     NULL and empty texts overlap nothing.  ``item_id`` is the smallest item that overlaps,
     ``equal`` the largest share of an item's tokens found in place.
     """
-    found = overlaps(docs.select("doc_id", "text"), benchmark)
-    items = F.array_distinct(F.transform("_overlaps", lambda r: r["item"]))
+    found = _matched(docs.select("doc_id", "text"), benchmark, "text").select("row.doc_id", "overlaps")
+    items = F.array_distinct(F.transform("overlaps", lambda r: r["item"]))
     return found.select(
         "doc_id", _is_hit().alias("contaminated"),
         F.when(_is_hit(), F.size(items)).otherwise(F.lit(0)).cast("bigint").alias("n_items"),
         F.when(_is_hit(), F.array_min(items)).alias("item_id"),
-        F.when(_is_hit(), F.array_max(F.transform("_overlaps", lambda r: r["equal"]))).otherwise(F.lit(0.0)).alias("equal"),
+        F.when(_is_hit(), F.array_max(F.transform("overlaps", lambda r: r["equal"]))).otherwise(F.lit(0.0)).alias("equal"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` without an overlap, with the same columns."""
-    return overlaps(docs, benchmark).where(~_is_hit()).drop("_overlaps")
+    """Rows of ``docs`` without an overlap, with the same columns, whatever their names; see ``overlaps``."""
+    return _matched(docs, benchmark, "text").where(~_is_hit()).select("row.*")
 
 
 def _sql() -> str:
-    def seeds(table: str, key: str, place: str) -> str:
-        parts = []
-        for number, mask in enumerate(MASKS):
-            seen = " || ' ' || ".join(f"words[p + {i + 1}]" for i, c in enumerate(mask) if c == "1")
-            parts.append(
-                f"SELECT {key}, {number} AS mask, p AS {place}, {seen} AS seed FROM ("
-                f"SELECT {key}, words, unnest(range(0, len(words) - {len(mask) - 1})) AS p FROM {table})"
-            )
-        span = max(map(len, MASKS))
-        for n in range(LEAST_WORDS, span):
-            parts.append(
-                f"SELECT {key}, {len(MASKS) + n} AS mask, p AS {place}, array_to_string(words[p + 1:p + {n}], ' ') AS seed FROM ("
-                f"SELECT {key}, words, unnest(range(0, len(words) - {n - 1})) AS p FROM {table}"
-                f" WHERE EXISTS (SELECT 1 FROM i WHERE len(i.words) = {n}))"
-            )
-        return " UNION ALL ".join(parts)
+    """Without seeds: what SHARE accepts leaves two equal tokens in a row in a window of 5 and three in
+    a longer one, so texts and items meet on those.
+    """
+    def runs(table: str, key: str, place: str, which: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT {key}, {n} AS run, p AS {place}, array_to_string(words[p + 1:p + {n}], ' ') AS seed FROM ("
+            f"SELECT {key}, words, unnest(range(0, len(words) - {n - 1})) AS p FROM {table} WHERE {which.format(size)})"
+            for n, size in ((2, f"len(i.words) = {LEAST_WORDS}"), (3, f"len(i.words) > {LEAST_WORDS}"))
+        )
 
     words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
     return f"""
 WITH i AS MATERIALIZED (
   SELECT min(item_id) AS item_id, words FROM (SELECT item_id, {words} AS words FROM benchmark)
-  WHERE len(words) >= {LEAST_WORDS} GROUP BY words
+  WHERE len(words) > 0 GROUP BY words
 ), d AS MATERIALIZED (SELECT doc_id, {words} AS words FROM documents
-), ds AS ({seeds('d', 'doc_id', 'doc_at')}
-), bs AS ({seeds('i', 'item_id', 'item_at')}
+), ds AS ({runs('d', 'doc_id', 'doc_at', 'EXISTS (SELECT 1 FROM i WHERE {})')}
+), bs AS ({runs('i', 'item_id', 'item_at', '{}')}
 ), c AS (
-  SELECT DISTINCT doc_id, item_id, doc_at - item_at AS shift FROM ds JOIN bs USING (mask, seed)
+  SELECT DISTINCT doc_id, item_id, doc_at - item_at AS shift FROM ds JOIN bs USING (run, seed)
+  UNION ALL SELECT doc_id, item_id, 0 FROM d JOIN i ON d.words = i.words WHERE len(i.words) < {LEAST_WORDS}
 ), e AS (
   SELECT doc_id, item_id, shift, least(len(i.words), {WINDOW}) AS w, len(i.words) AS n,
          list_transform(range(0, len(i.words)), lambda j: CASE WHEN j + shift >= 0 AND coalesce(d.words[j + shift + 1] = i.words[j + 1], false) THEN 1 ELSE 0 END) AS eq

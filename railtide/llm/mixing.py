@@ -148,23 +148,15 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     The size of a document is its words; NULL sources are a source of their own, after all others.
     Rows that repeat key, source and size are drawn together.  A source without words has target 0
     and gives nothing.  Texts do not move: each row is compared with its source's cut where it is.
+    Columns may have any names; an empty table stays empty.
     """
     _, cuts = draw(docs, text, key, source, **options)
-    columns = docs.columns
-    cut = _small(cuts.select(F.col("absent").alias("_absent"), F.col("source").alias("_source"), F.struct(*cuts.columns).alias("_cut")))
-    absent, name = _source(source)
-    met = docs.join(cut, (absent == F.col("_absent")) & (name == F.col("_source")))
-    inner = F.struct(
-        uniform(key).alias("u"), F.coalesce(F.col(key), F.lit(-(1 << 63))).alias("key"), word_count(text).alias("size")
-    )
-    rank = pareto_rank(F.col("_own.u"), F.col("_cut.inclusion"))
-    here = F.struct(rank.alias("rank"), F.col("_own.key").alias("key"), F.col("_own.size").alias("size"))
-    drawn = F.when(F.col("_cut.inclusion") > 0, F.col("_cut.cut").isNull() | (here <= F.col("_cut.cut")))
-    times = F.col("_cut.whole") + F.coalesce(drawn, F.lit(False)).cast("int")
-    return (
-        met.withColumn("_own", inner).withColumn("_times", times).where("_times > 0")
-        .withColumn("_one", F.explode(F.array_repeat(F.lit(1), F.col("_times")))).select(*columns)
+    held = docs.select(
+        F.struct("*").alias("row"), *_source(source), uniform(key).alias("u"),
+        F.coalesce(F.col(key), F.lit(-(1 << 63))).alias("key"), word_count(text).alias("size"),
     )
+    met = held.join(_small(cuts), ["absent", "source"])
+    return met.select("row", F.explode(F.array_repeat(F.lit(1), copies()))).select("row.*")
 
 
 OP7_SQL = r"""

@@ -187,8 +187,11 @@ def op4(docs: DataFrame) -> DataFrame:
 
 
 def with_shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", out: str = "shard") -> DataFrame:
-    """``docs`` with the shard of each row in ``out``; a column of that name is replaced."""
+    """``docs`` with the shard of each row in ``out``; a column of that name is replaced.
+
+    NULL is the empty text, rows of equal texts share a shard, repeated rows stay.  Other columns may
+    have any names; an empty table stays empty.
+    """
     rows = docs.select(size_of(text).alias("size"), digest_of(text).alias("digest"))
-    chosen = shard_groups(rows, shards).select(F.col("digest").alias("_digest"), F.col("shard").alias("_shard"))
-    tagged = docs.drop(out).withColumn("_digest", digest_of(text))
-    return tagged.join(chosen, "_digest").withColumn(out, F.col("_shard")).drop("_digest", "_shard")
+    held = docs.drop(out).select(F.struct("*").alias("row"), digest_of(text).alias("digest"))
+    return held.join(shard_groups(rows, shards), "digest").select("row.*", F.col("shard").alias(out))

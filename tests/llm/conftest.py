@@ -37,7 +37,8 @@ def odd_rows():
 @pytest.fixture
 def odd_docs(docs_of, odd_rows):
     """The same with extra columns whose names operators also use."""
-    extra = ["key", "size", "score", "digest", "print", "rank", "u", "v", "ident", "start", "tokens", "item", "shard", "n", "words"]
+    extra = ["key", "size", "score", "digest", "print", "rank", "u", "v", "ident", "start", "tokens", "item", "shard", "n", "words",
+             "row", "place", "found", "overlaps", "chunk", "cut", "col", "_own", "_digest", "_found", "_shard", "_cut", "_one", "_place", "_first"]
     df = docs_of(odd_rows)
     return df.select("*", *[F.lit("x").alias(c) for c in extra])
 

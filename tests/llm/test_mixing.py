@@ -88,3 +88,19 @@ def test_rows_of_the_mix_add_up_to_what_is_taken(spark):
     times = Counter(r["doc_id"] for r in mixed.select("doc_id").collect())
     assert all(times[i] * size == n for i, (n, size) in taken.items())
     assert {r["doc_id"]: r["n"] for r in mixing.mix(docs).groupBy("doc_id").agg({"*": "count"}).toDF("doc_id", "n").collect()} == dict(times)
+
+
+def test_pipeline_form_keeps_columns(odd_docs):
+    """Rows come whole, as often as the query says, whatever other columns are called."""
+    from collections import Counter
+
+    out = mixing.mix(odd_docs)
+    assert out.columns == odd_docs.columns
+    rows = out.collect()
+    assert all(r["_one"] == r["_cut"] == "x" for r in rows)
+    got, taken = Counter(), Counter()
+    for r in rows:
+        got[r["doc_id"]] += len((r["text"] or "").split())
+    for r in mixing.op7(odd_docs).collect():
+        taken[r["doc_id"]] += r["taken"]
+    assert +got == +taken
