@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from railtide import vocab
 from railtide.functions import rules
 from railtide.operators import gapfill, nested
+from railtide.session import cut_lineage
+from railtide.sinks import tables
 from railtide.sources import feeds
 
 READINGS = gapfill.READINGS
@@ -70,3 +72,35 @@ def watchdog(stations: DataFrame, current: DataFrame, payloads: DataFrame, now:
         rules.rainfall_level(F.col("_f_rainfall_mm")).alias("computed_rainfall_level"),
         F.coalesce("observed_at", feeds.local_hour(now)).alias("observed_at"),
         F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("fetched_at"), "fallback_level")
+
+
+def _named(report: DataFrame, name: str) -> DataFrame:
+    return report.select(F.lit(name).alias("table"), "matched", "unmatched")
+
+
+def store_refresh(stations: DataFrame, payloads: DataFrame, current_path: str, forecasts_path: str, now: Column,
+                  days: int = vocab.FORECAST_DAYS) -> DataFrame:
+    """Refresh all stations and write both tables; returns (table, matched, unmatched).
+
+    Stored rows are updated by station, forecast slots by (id, station); nothing is inserted, and what
+    has no stored row is counted as unmatched.  Readings are written down before either table
+    changes, so both get the same run, and a run can be repeated.
+    """
+    spark = stations.sparkSession
+    current = tables.read_table(spark, current_path)
+    if current is None:
+        raise ValueError(f"{current_path} holds no table to update")
+    rows, forecasts = (cut_lineage(df) for df in refresh(stations, payloads, current, now, days))
+    seen = tables.load_update_only(rows, current_path, ["station"])
+    slots = tables.load_update_only(forecasts, forecasts_path, ["id", "station"])
+    return _named(seen, "current").unionByName(_named(slots, "forecasts"))
+
+
+def store_watchdog(stations: DataFrame, payloads: DataFrame, current_path: str, now: Column,
+                   threshold: float = vocab.STALE_MINUTES) -> DataFrame:
+    """Update the stored rows of stale stations; returns (table, matched, unmatched)."""
+    current = tables.read_table(stations.sparkSession, current_path)
+    if current is None:
+        raise ValueError(f"{current_path} holds no table to update")
+    rows = cut_lineage(watchdog(stations, current, payloads, now, threshold))
+    return _named(tables.load_update_only(rows, current_path, ["station"]), "current")

@@ -322,9 +322,13 @@ def weather_refresh_slots(table, spark):
 
 
 def _refresh(table):
-    """Users as stations: some report, the others fall back on a neighbour, a stored row or constants."""
     from railtide.plans import weather
 
+    return weather.refresh(*_stations(table), now())
+
+
+def _stations(table):
+    """Users as stations: some report, the others fall back on a neighbour, a stored row or constants."""
     daily = table("events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.round(F.max("value"), 2).alias("hi"))
     packed = daily.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("day", "hi"))).alias("d"))
     first = F.col("d")[0]
@@ -342,7 +346,58 @@ def _refresh(table):
     stored = users.where("user_id % 2 = 0").select(
         user.cast("string").alias("station"), user.cast("double").alias("temperature"), *[
             F.lit(None).cast("double").alias(v) for v in ("humidity", "rainfall_mm", "wind_speed")])
-    return weather.refresh(stations, text, stored, now())
+    return stations, text, stored
+
+
+REFRESH_SQL = """
+d AS (SELECT user_id, CAST(ts AS DATE) AS day, round(max(value), 2) AS hi FROM events GROUP BY ALL),
+a AS (SELECT user_id, list(hi ORDER BY day) AS his, list(strftime(day, '%Y-%m-%d') ORDER BY day) AS days, user_id >= 20 AND user_id % 3 = 0 AS fresh FROM d GROUP BY 1),
+s AS (SELECT *, last_value(CASE WHEN fresh THEN user_id END IGNORE NULLS) OVER (ORDER BY user_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS src FROM a)"""
+
+
+@query("weather_store", f"""
+WITH {REFRESH_SQL}
+SELECT s.user_id, CASE WHEN src IS NOT NULL THEN f.his[1] ELSE s.user_id * 1.0::DOUBLE END AS temperature,
+  CASE WHEN src IS NOT NULL THEN round(f.his[1] / 10, 3) ELSE 0.0::DOUBLE END AS rainfall_mm,
+  '2024-02-01T00:00:00+00:00' AS fetched_at
+FROM s LEFT JOIN a f ON f.user_id = s.src WHERE s.user_id % 2 = 0
+""")
+def weather_store(table, spark):
+    """The stored snapshot after the job has run twice."""
+    return _stored_run(table, spark)[0].select(F.col("station").cast("bigint").alias("user_id"), "temperature", "rainfall_mm", "fetched_at")
+
+
+@query("weather_store_slots", f"""
+WITH {REFRESH_SQL},
+f AS (SELECT 'FCT-U' || s.user_id || '-' || printf('%04d', i) AS id, f.days[i + 1] AS forecast_date, f.his[i + 1] AS temp_max
+  FROM s JOIN (SELECT *, unnest(range(1, least(7, len(days) - 1) + 1)) AS i FROM a) f ON f.user_id = s.src),
+o AS (SELECT 'FCT-U' || user_id || '-' || printf('%04d', i) AS id FROM s, (SELECT unnest(range(1, 6)) AS i) WHERE user_id % 2 = 0)
+SELECT o.id, f.forecast_date, f.temp_max FROM o LEFT JOIN f ON f.id = o.id
+""")
+def weather_store_slots(table, spark):
+    """The stored forecast slots after the job has run twice: slots that no run fills stay as they are."""
+    return _stored_run(table, spark)[1].select("id", "forecast_date", "temp_max")
+
+
+def _stored_run(table, spark):
+    import uuid
+
+    from railtide.operators import nested
+    from railtide.plans import weather
+    from railtide.session import ensure_checkpoint_dir
+    from railtide.sinks import tables
+
+    stations, text, stored = _stations(table)
+    folder = f"{ensure_checkpoint_dir(spark)}/weather-{uuid.uuid4().hex}"
+    current, slots = f"{folder}/current", f"{folder}/forecasts"
+    tables.replace_table(stored.withColumn("fetched_at", F.lit(None).cast("string")), current)
+    tables.replace_table(
+        stations.where("station_seq % 2 = 0").select("station", "code", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("slot"))
+        .select(nested.slot_id(F.col("code"), F.col("slot")).alias("id"), "station", F.lit(None).cast("string").alias("forecast_date"),
+                F.lit(None).cast("double").alias("temp_max")), slots)
+    for _ in range(2):
+        weather.store_refresh(stations, text, current, slots, now())
+    return tables.read_table(spark, current), tables.read_table(spark, slots)
 
 
 @query("watchdog_audit", f"""

@@ -322,6 +322,35 @@ def test_weather_jobs(spark, tmp_path):
     assert stale["A"].temperature == 28.5 and stale["A"].observed_at == "2026-06-18T20:00:00+08:00"
 
 
+def test_weather_jobs_that_store(spark, tmp_path):
+    stations = spark.createDataFrame([("A", "AA", 0), ("B", "BB", 1), ("C", "CC", 2)], "station string, code string, station_seq bigint")
+    payloads = spark.createDataFrame([("A", None, None), ("B", primary(31.5, 40.0), None), ("C", "{", None)], "station string, primary string, secondary string")
+    current, slots = str(tmp_path / "current"), str(tmp_path / "slots")
+    with pytest.raises(ValueError):
+        weather.store_refresh(stations, payloads, current, slots, now())
+    tables.replace_table(spark.createDataFrame(
+        [("A", 20.0, None, 1.0, 2.0, "2026-06-18T10:00:00+00:00", None), ("C", 1.0, 1.0, 1.0, 1.0, "junk", None), ("Z", 9.0, 9.0, 9.0, 9.0, None, None)],
+        "station string, temperature double, humidity double, rainfall_mm double, wind_speed double, fetched_at string, observed_at string"), current)
+    tables.replace_table(spark.createDataFrame(
+        [("FCT-BB-0001", "B", None), ("FCT-CC-0002", "C", 5.0), ("FCT-CC-0009", "C", 5.0), ("FCT-BB-0002", "X", 7.0)], "id string, station string, temp_max double"), slots)
+    for _ in range(2):
+        report = {r.table: (r.matched, r.unmatched) for r in weather.store_refresh(stations, payloads, current, slots, now()).collect()}
+        assert report == {"current": (2, 1), "forecasts": (2, 2)}
+        stored = {r.station: r for r in tables.read_table(spark, current).collect()}
+        assert {s: r.temperature for s, r in stored.items()} == {"A": 20.0, "C": 31.5, "Z": 9.0}
+        assert stored["A"].fetched_at == "2026-06-18T12:00:00+00:00" and stored["Z"].fetched_at is None
+        held = {(r.id, r.station): r.temp_max for r in tables.read_table(spark, slots).collect()}
+        assert held[("FCT-CC-0009", "C")] == 5.0 and held[("FCT-BB-0002", "X")] == 7.0 and held[("FCT-BB-0001", "B")] is not None
+        assert held[("FCT-CC-0002", "C")] != 5.0
+
+    later = F.to_timestamp(F.lit("2026-06-19 12:00:00"))
+    answers = spark.createDataFrame([("A", None, SECONDARY), ("C", None, None)], "station string, primary string, secondary string")
+    report = weather.store_watchdog(stations, answers, current, later).first()
+    assert (report.matched, report.unmatched) == (2, 1)
+    got = {r.station: r.temperature for r in tables.read_table(spark, current).collect()}
+    assert got == {"A": 27.0, "C": 28.5, "Z": 9.0}
+
+
 def test_repair_job(spark):
     rows = [
         ("external_acad_0003", "2026-01-02", "City of X", "Number coding off", "CLASS_SUSPENSION", True, "CLASS_SUSPENSION", "same text"),
