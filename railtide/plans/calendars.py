@@ -10,6 +10,8 @@ from railtide.functions import labels, rules, text, times
 from railtide.operators import dedupe, ids, match
 from railtide.plans.posts import EVENT_COLUMNS, Extractor, read_images
 from railtide.session import cut_lineage
+from railtide.sinks import tables
+from railtide.sources import state
 
 
 def school_pages(pages: DataFrame, excluded=tuple(vocab.CALENDAR_EXCLUDED_SOURCES)) -> DataFrame:
@@ -61,3 +63,23 @@ def shape_calendars(found: DataFrame, stored: DataFrame | None, now: Column) ->
         F.lit(vocab.CALENDAR_YEAR_LABEL).alias("event_date"), none.alias("event_code"), F.lit(False).alias("is_cancellation"),
         none.alias("cancellation_target_code"), now.alias("scraped_at"), times.post_date(now, F.col("posted_at")).alias("post_date"),
     ).select(*EVENT_COLUMNS)
+
+
+def store_calendars(items: DataFrame, pages: DataFrame, events_path: str, ledger_path: str, export_path: str, now: Column,
+                    **options) -> DataFrame:
+    """Find new releases, upsert them, export them per school and enter their URLs in the ledger; returns what was exported.
+
+    A release is new while neither ledger nor stored events hold its URL.  Exported is what is stored
+    but not in the ledger, so a run that broke off after the upsert is completed by the next one, and
+    only one that broke off between export and ledger exports its rows again.
+    """
+    spark = items.sparkSession
+    ledger, stored = cut_lineage(state.read_ledger(spark, ledger_path)), tables.read_table(spark, events_path)
+    known = ledger if stored is None else ledger.unionByName(stored.select(F.col("source_url").alias("url")))
+    found = cut_lineage(find_calendars(items, pages, known, stored, now, **options))
+    held = tables.load_upsert(found, events_path, ["id"])
+    releases = held.where(F.col("id").startswith("external_acad_cal_"))
+    pending = cut_lineage(dedupe.drop_held(releases, ledger.select(F.col("url").alias("source_url")), "source_url"))
+    tables.export_calendars(pending, export_path)
+    tables.append_ledger(pending.select(F.col("source_url").alias("url")), ledger_path)
+    return pending

@@ -9,9 +9,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from railtide import vocab
-from railtide.operators import dedupe, nested
+from railtide.operators import dedupe, ids, nested
 from railtide.plans import calendars, posts
-from railtide.registry.base import pick, query
+from railtide.registry.base import NOW, pick, query
 from railtide.registry.texts import TEXT_KEY
 from railtide.sinks import tables
 from railtide.sources import feeds, files, state
@@ -206,3 +206,35 @@ def ledger_export(table, spark):
         .unionByName(state.read_ledger(spark, f"{folder}/ledger").agg(F.count("*").alias("n")).select(F.lit("ledger").alias("kind"), F.lit("").alias("name"), "n"))
         .unionByName(names.join(kept, "name", "left_anti").agg(F.count("*").alias("n")).select(F.lit("excluded").alias("kind"), F.lit("").alias("name"), "n"))
     )
+
+
+@query("calendar_store", """
+WITH p AS (SELECT source, row_number() OVER (ORDER BY source) AS page FROM documents WHERE source IS NOT NULL GROUP BY 1),
+d AS (SELECT doc_id, page, 'https://www.facebook.com/' || source || '.page/posts/' || doc_id % 300 AS url, doc_id % 8 AS run
+  FROM documents JOIN p USING (source) WHERE doc_id % 4 = 0),
+one AS (SELECT url, min(page) AS page, min(doc_id) AS first, 1 AS run FROM d WHERE run = 0 GROUP BY 1),
+two AS (SELECT url, min(page) AS page, min(doc_id) AS first, 2 AS run FROM d WHERE run = 4 AND url NOT IN (SELECT url FROM one) GROUP BY 1)
+SELECT 'external_acad_cal_' || printf('%04d', row_number() OVER (ORDER BY run, page, first)) AS id, url AS source_url, 1 AS exported, true AS in_ledger
+FROM (SELECT * FROM one UNION ALL SELECT * FROM two)
+""")
+def calendar_store(table, spark):
+    """Stored releases after three runs of the job, with how often each was exported: the last repeats the second."""
+    doc, folder = F.col("doc_id"), _folder(spark, "calendars")
+    named = table("documents").where("source is not null")
+    page = F.concat(F.lit("https://www.facebook.com/"), "source", F.lit(".page"))
+    release = F.when(doc % 4 == 0, F.lit("Our official Academic Calendar for A.Y. 2026-2027 is released")).otherwise(F.lit("Good morning"))
+    items = named.select(
+        doc, doc.alias("item_seq"), page.alias("asked_url"), F.col("source").alias("page_name"),
+        F.concat(page, F.lit("/posts/"), doc % 300).alias("source_url"), F.lit("2024-01-31 00:00:00").cast("timestamp").alias("posted_at"),
+        release.alias("raw_text"), F.array().cast(nested.MEDIA_TYPE).alias("media"))
+    names = named.select("source").distinct()
+    pages = ids.number_rows(names, ["source"], "page_seq").select("page_seq", F.col("source").alias("name"), page.alias("url"), F.lit("Station").alias("station"))
+    events, ledger, out = (f"{folder}/{n}" for n in ("events", "ledger", "out"))
+    for rest in (0, 4, 4):
+        calendars.store_calendars(items.where(doc % 8 == rest).drop("doc_id"), pages, events, ledger, out, F.lit(NOW).cast("timestamp"))
+    exported = spark.read.csv(out, header=True).groupBy("id").agg(F.count("*").cast("int").alias("exported"))
+    seen = state.read_ledger(spark, ledger).select(F.col("url").alias("source_url"), F.lit(True).alias("in_ledger"))
+    return (
+        tables.read_table(spark, events).select("id", "source_url").join(exported, "id", "left").join(seen, "source_url", "left")
+        .select("id", "source_url", "exported", F.coalesce("in_ledger", F.lit(False)).alias("in_ledger"))
+    )

@@ -280,6 +280,25 @@ def test_calendar_job(spark, feed, tmp_path):
     assert set(exported.columns) == {*vocab.CALENDAR_COLUMNS, "acronym"} and [r.acronym for r in exported.collect()] == ["NU", "NU"]
 
 
+def test_calendar_job_that_stores(spark, feed, tmp_path):
+    text = "The official Academic Calendar for A.Y. 2026-2027 is out now"
+    items, pages = feed([item(0, 1, text), item(0, 2, "Good morning"), item(0, 1, text)])
+    paths = [str(tmp_path / n) for n in ("events", "ledger", "out")]
+
+    def run(items):
+        return sorted(r.id for r in calendars.store_calendars(items, pages, *paths, now()).collect())
+
+    assert run(items) == ["external_acad_cal_0001"] and run(items) == []
+    more, _ = feed([item(0, 1, text), item(0, 3, text)])
+    # a run that broke off after the upsert is completed by the next one, under the same id
+    stored = tables.read_table(spark, paths[0])
+    tables.load_upsert(calendars.find_calendars(more, pages, state.read_ledger(spark, paths[1]), stored, now()), paths[0], ["id"])
+    assert run(more) == ["external_acad_cal_0002"] and run(more) == []
+    assert [r.id for r in spark.read.csv(paths[2], header=True).orderBy("id").collect()] == ["external_acad_cal_0001", "external_acad_cal_0002"]
+    assert state.read_ledger(spark, paths[1]).count() == tables.read_table(spark, paths[0]).count() == 2
+    assert run(items.where("false")) == []
+
+
 def primary(temperature, rain, days=3):
     return json.dumps({
         "current": {"time": "2026-06-18T19:45", "temperature_2m": temperature, "relative_humidity_2m": 80, "precipitation": rain, "wind_speed_10m": 5},
