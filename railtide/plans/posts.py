@@ -14,6 +14,7 @@ from railtide.functions import rules, text, times, urls
 from railtide.operators import dedupe, ids, match, nested, tagging, topk
 from railtide.operators.joins import unique_left_join
 from railtide.session import cut_lineage
+from railtide.sinks import tables
 from railtide.sources import state
 
 EVENT_COLUMNS = [
@@ -185,6 +186,16 @@ def shape_events(events: DataFrame, now: Column) -> DataFrame:
     return shaped.select(*EVENT_COLUMNS, "batch")
 
 
+@dataclass
+class StoredRun:
+    """Events saved by a sweep, their digest as rows and as counts, and the rows per stage."""
+
+    events: DataFrame
+    digest: DataFrame
+    counts: DataFrame
+    summary: DataFrame
+
+
 def run_posts(items: DataFrame, pages: DataFrame, stored: DataFrame | None, now: Column,
               mode: str = vocab.DEFAULT_MODE, batch: str = "all", classify: Classifier = rule_classifier,
               extract: Extractor | None = None, unmatched: str = "quarantine", keep_params=None,
@@ -203,3 +214,18 @@ def run_posts(items: DataFrame, pages: DataFrame, stored: DataFrame | None, now:
     counted = [df.select(F.lit(name).alias("stage")).groupBy("stage").agg(F.count("*").alias("rows")) for name, df in stages.items()]
     return PostRun(events, functools.reduce(DataFrame.unionByName, counted))
 
+
+def store_posts(items: DataFrame, pages: DataFrame, events_path: str, now: Column, **options) -> StoredRun:
+    """One sweep that is kept: events found are upserted by id, the digest tells what is new.
+
+    What is stored already is known by its three keys, so a sweep that is repeated adds nothing.
+    """
+    spark = items.sparkSession
+    run = run_posts(items, pages, tables.read_table(spark, events_path), now, **options)
+    tables.load_upsert(run.events.drop("batch"), events_path, ["id"])
+    return StoredRun(run.events, tagging.digest_rows(run.events, {"url": "source_url"}), tagging.digest_counts(run.events), run.summary)
+
+
+def active_events(spark: SparkSession, events_path: str) -> DataFrame:
+    """Stored events with ``is_active``: false once the same source has cancelled that code later."""
+    return tagging.cancel_earlier(tables.read_table(spark, events_path))

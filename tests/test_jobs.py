@@ -220,6 +220,22 @@ def test_posts_job(spark, feed):
     assert posts.run_posts(items, pages, None, now(), batch="east").events.count() == 1
 
 
+def test_posts_job_that_stores(spark, feed, tmp_path):
+    path = str(tmp_path / "events")
+    items, pages = feed([item(0, 1, "Walang pasok bukas, no classes in all levels", age_hours=5), item(1, 4, "Transport strike on 2026-06-20, stay safe")])
+    run = posts.store_posts(items, pages, path, now())
+    assert {r.url.rsplit("/", 1)[1] for r in run.digest.collect()} == {"1", "4"}
+    assert sum(r.new_events for r in run.counts.collect()) == tables.read_table(spark, path).count() == 2
+    again = posts.store_posts(items, pages, path, now())
+    assert again.digest.count() == again.counts.count() == 0 and tables.read_table(spark, path).count() == 2
+
+    more, _ = feed([item(0, 9, "Class suspension lifted, classes resume tomorrow in all levels", age_hours=1)])
+    assert posts.store_posts(more, pages, path, now()).events.count() == 1
+    got = {r.source_url.rsplit("/", 1)[1]: (r.id, r.is_cancellation, r.is_active) for r in posts.active_events(spark, path).collect()}
+    assert got["1"] == ("external_acad_0001", False, False)
+    assert got["9"] == ("external_acad_0002", True, True) and got["4"][1:] == (False, True)
+
+
 def test_classifier_hook(spark, feed):
     items, pages = feed([
         item(0, 1, "No classes on Monday"), item(0, 2, "Exam week at campus"), item(1, 3, "State of calamity declared"), item(1, 4, "Concert tonight"),
