@@ -10,7 +10,7 @@ from railtide import vocab
 from railtide.functions import rules
 from railtide.plans import posts
 from railtide.operators import ids, nested, tagging
-from railtide.registry.base import NOW, one_of, pick, query
+from railtide.registry.base import NOW, SQL, one_of, pick, query
 from railtide.registry.texts import CLEAN_SQL, TEXT_KEY
 from railtide.session import cut_lineage, spread
 from railtide.streaming import events as streams
@@ -274,6 +274,24 @@ SELECT 'external_' || CASE category WHEN 'academic' THEN 'acad' ELSE 'lgu' END |
 """.strip())
 def posts_sweep(table, spark):
     """The posts job over documents: sources are pages, texts are captions."""
+    items, pages, options = _sweep(table)
+    run = posts.run_posts(items, pages, None, **options)
+    return run.events.select("id", "category", F.element_at(F.split("source_url", "/"), -1).cast("bigint").alias("doc_id"))
+
+
+@query("posts_store", SQL["posts_sweep"])
+def posts_store(table, spark):
+    """The stored events after two sweeps over the same posts: the second finds all of them by their keys."""
+    items, pages, options = _sweep(table)
+    path = _folder(spark, "events")
+    for _ in range(2):
+        posts.store_posts(items, pages, path, **options)
+    return posts.active_events(spark, path).where("is_active").select(
+        "id", "category", F.element_at(F.split("source_url", "/"), -1).cast("bigint").alias("doc_id"))
+
+
+def _sweep(table):
+    """(items, pages, options) of a sweep over documents."""
     none = F.lit(None).cast("string")
     docs = table("documents")
     base = F.lit("https://www.facebook.com/")
@@ -296,5 +314,4 @@ def posts_sweep(table, spark):
             "answer_category": F.col("_gate"), "event_name": F.substring("text", 1, 12), "event_date": none, "event_code": none,
             "is_cancellation": F.lit(False), "cancellation_target_code": none, "answer_failed": F.lit(False)})
 
-    run = posts.run_posts(items, pages, None, at, mode="strong", classify=classify, groups=WORDS)
-    return run.events.select("id", "category", F.element_at(F.split("source_url", "/"), -1).cast("bigint").alias("doc_id"))
+    return items, pages, {"now": at, "mode": "strong", "classify": classify, "groups": WORDS}
