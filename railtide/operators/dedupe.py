@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 
 from railtide.session import cut_lineage
 
+log = logging.getLogger(__name__)
+# doubling steps between two checkpoints
+STEPS = 2
+
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row of each key.  The rank limit of one is applied before the shuffle as well."""
@@ -39,13 +44,13 @@ def _settle_chains(single: DataFrame, winners: DataFrame) -> DataFrame:
     links = cut_lineage(single.select("ord", F.col("before").alias("to"), F.lit(True).alias("differs")))
     ahead = None
     while True:
-        next_ = links.select(F.col("ord").alias("to"), F.col("to").alias("_far"), F.col("differs").alias("_flips"))
-        links = cut_lineage(
-            links.join(next_, "to", "left").select(
+        for _ in range(STEPS):
+            next_ = links.select(F.col("ord").alias("to"), F.col("to").alias("_far"), F.col("differs").alias("_flips"))
+            links = links.join(next_, "to", "left").select(
                 "ord", F.coalesce("_far", "to").alias("to"),
                 F.when(F.col("_far").isNull(), F.col("differs")).otherwise(F.col("differs") != F.col("_flips")).alias("differs"),
             )
-        )
+        links = cut_lineage(links)
         now = links.agg(F.sum(F.col("to").cast("decimal(38,0)"))).first()[0]
         if now == ahead:
             break
@@ -62,7 +67,8 @@ def greedy_keep(df: DataFrame, order: str, keys: Sequence[str]) -> DataFrame:
     Each round decides every row that is the first undecided holder of all its keys, every row
     that hangs on these by a chain of single earlier holders, and all rows that share a key with a
     row so kept.  Only the first two holders of a key are looked at, so a key held by most rows
-    costs no more than any other, and the number of rounds is that of nested forks, not of rows.
+    costs no more than any other, and the number of rounds is that of nested forks, not of rows;
+    it is logged.
     """
     rows = df.select(F.col(order).cast("bigint").alias("ord"), *[F.col(k).cast("string").alias(k) for k in keys])
     has_key = functools.reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys])
@@ -75,13 +81,11 @@ def greedy_keep(df: DataFrame, order: str, keys: Sequence[str]) -> DataFrame:
         F.when(F.col(k).isNotNull(), F.struct(F.lit(i).alias("slot"), F.col(k).alias("key")))
         for i, k in enumerate(keys)
     ]))
-    undecided = cut_lineage(same.select("ord", slots.alias("keys")))
+    edges = cut_lineage(
+        same.select("ord", slots.alias("keys")).select("ord", F.size("keys").alias("n"), F.inline("keys")))
 
     kept_parts = []
-    while not undecided.isEmpty():
-        edges = undecided.select("ord", F.size("keys").alias("n"), F.explode("keys").alias("e")).select(
-            "ord", "n", F.col("e.slot").alias("slot"), F.col("e.key").alias("key")
-        )
+    while not edges.isEmpty():
         holders = Window.partitionBy("slot", "key").orderBy("ord")
         two = (
             edges.withColumn("rank", F.row_number().over(holders)).where("rank <= 2")
@@ -97,7 +101,8 @@ def greedy_keep(df: DataFrame, order: str, keys: Sequence[str]) -> DataFrame:
         kept_parts.append(kept)
         taken = edges.join(kept, "ord", "left_semi").select("slot", "key").distinct()
         decided = edges.join(taken, ["slot", "key"], "left_semi").select("ord").distinct()
-        undecided = cut_lineage(undecided.join(decided, "ord", "left_anti"))
+        edges = cut_lineage(edges.join(decided, "ord", "left_anti"))
+    log.info("greedy dedupe took %d rounds", len(kept_parts))
     kept = functools.reduce(DataFrame.unionByName, kept_parts, free)
     return kept.select(F.col("ord").alias(order))
 
@@ -113,8 +118,12 @@ def greedy_dedupe(df: DataFrame, order: str, keys: Sequence[str],
 
 
 def once_per_value(df: DataFrame, value: str, extract, extracted: str) -> DataFrame:
-    """Run ``extract`` (DataFrame of distinct values -> value, result) once per value, then join back."""
-    distinct = df.select(value).where(F.col(value).isNotNull()).distinct()
-    results = extract(distinct)
-    found = results.select(F.col(value).alias("_value"), F.col(extracted))
-    return df.join(found, F.col(value) == F.col("_value"), "left").drop("_value")
+    """Run ``extract`` (DataFrame of distinct values -> value, result) once per value, then join back.
+
+    Values may be whole texts, so they meet their results on a digest.
+    """
+    digest = F.sha2(F.col(value).cast("string"), 256)
+    distinct = df.where(F.col(value).isNotNull()).groupBy(digest.alias("_digest")).agg(F.any_value(value).alias(value))
+    results = extract(distinct.select(value))
+    found = results.select(digest.alias("_digest"), F.col(extracted))
+    return df.withColumn("_digest", digest).join(found, "_digest", "left").drop("_digest")

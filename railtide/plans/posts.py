@@ -63,16 +63,18 @@ def read_images(posts: DataFrame, group: str, order: list[str], extract: Extract
 
 
 def rule_classifier(posts: DataFrame) -> DataFrame:
-    """Answers from the rule tables: code words, the first words as a name, the first dates named."""
+    """Answers from the rule tables: code words, the text as a name, the latest date named."""
     folded = F.col("_folded")
     tagged = tagging.tag_events(posts, folded)
-    words = F.split(text.squash(F.concat_ws(" ", "text", "image_text")), " ")
-    dates = F.regexp_extract_all(F.concat_ws(" ", "text", "image_text"), F.lit(times.ISO_DATE), 1)
+    whole = text.squash(F.concat_ws(" ", "text", "image_text"))
+    dates = F.regexp_extract_all(whole, F.lit(times.ISO_DATE), 1)
+    # a date that no calendar has is passed over
+    real = F.filter(dates, lambda d: d.try_cast("date").isNotNull())
     quiet = ~tagging.rules.affects_ridership(folded, F.coalesce("event_code", F.lit("")))
     return tagged.withColumns({
         "answer_category": F.when(~quiet, F.col("_gate")),
-        "event_name": F.array_join(F.slice(words, 1, 8), " "),
-        "event_date": F.get(dates, F.lit(0)),
+        "event_name": whole,
+        "event_date": F.array_max(real),
         "answer_failed": F.lit(False),
     }).drop("affects_ridership")
 
@@ -148,7 +150,10 @@ def gate_posts(posts: DataFrame, now: Column, mode: str, stored: DataFrame | Non
 
 def settle(classified: DataFrame, now: Column) -> DataFrame:
     """Final category, event key and the tests that need the classifier's answer."""
-    final = classified.withColumn("category", rules.final_category(
+    # names and dates are cut to the stored width first, so that an event's key is that of its stored row
+    cut = {"event_name": text.cap(F.col("event_name"), vocab.EVENT_NAME_CHARS),
+           "event_date": text.cap(F.col("event_date"), vocab.EVENT_DATE_CHARS)}
+    final = classified.withColumns(cut).withColumn("category", rules.final_category(
         F.col("answer_category"), F.col("answer_failed"), F.col("_gate"), F.col("source_name"), F.col("source_type")))
     fallback = F.col("answer_category").isNull() & F.col("answer_failed")
     # a fallback name says nothing about the event, so it makes no event key
@@ -178,8 +183,6 @@ def shape_events(events: DataFrame, now: Column) -> DataFrame:
     shaped = events.withColumns({
         "post_text": text.cap(F.col("text"), vocab.POST_TEXT_CHARS),
         "image_text": F.nullif(text.cap(F.col("image_text"), vocab.IMAGE_TEXT_CHARS), F.lit("")),
-        "event_name": text.cap(F.col("event_name"), vocab.EVENT_NAME_CHARS),
-        "event_date": text.cap(F.col("event_date"), vocab.EVENT_DATE_CHARS),
         "is_cancellation": F.coalesce("is_cancellation", F.lit(False)),
         "scraped_at": now, "post_date": times.post_date(now, F.col("posted_at")),
     })
@@ -205,11 +208,13 @@ def run_posts(items: DataFrame, pages: DataFrame, stored: DataFrame | None, now:
     gated = gate_posts(posts, now, mode, stored, keep_params, groups=groups)
     # the answers are written down: a replay must not ask an outside classifier again
     settled = settle(cut_lineage(classify(gated)), now)
-    if stored is not None:
-        settled = dedupe.drop_held(settled, state.stored_keys(stored, keep_params), "event_key")
-    ranked = ids.number_rows(settled, ["page_seq", "item_seq"], "_ord")
+    fresh = settled if stored is None else dedupe.drop_held(settled, state.stored_keys(stored, keep_params), "event_key")
+    # only keys are sorted and numbered; texts meet the ids of the events at the end
+    keys = fresh.select("page_seq", "item_seq", "category", "url_key", "text_key", "event_key")
+    ranked = ids.number_rows(keys, ["page_seq", "item_seq"], "_ord")
     kept = dedupe.greedy_dedupe(ranked, "_ord", ["url_key", "text_key", "event_key"])
-    events = cut_lineage(shape_events(number_events(kept, stored, "_ord"), now))
+    numbered = number_events(kept, stored, "_ord").select("page_seq", "item_seq", "id")
+    events = cut_lineage(shape_events(settled.join(numbered, ["page_seq", "item_seq"]), now))
     stages = {"posts": posts, "candidates": ranked, "saved": events}
     counted = [df.select(F.lit(name).alias("stage")).groupBy("stage").agg(F.count("*").alias("rows")) for name, df in stages.items()]
     return PostRun(events, functools.reduce(DataFrame.unionByName, counted))

@@ -261,7 +261,7 @@ gated AS (
     WHEN NOT {one_of(WORDS['academic'], 'lower(c)')} AND {one_of(WORDS['lgu'], 'lower(c)')} THEN 'lgu' END AS gate FROM once),
 k AS (
   SELECT row_number() OVER (ORDER BY seq, doc_id) AS n, doc_id, CASE WHEN seq % 2 = 0 THEN 'academic' ELSE 'lgu' END AS category,
-    hash('t', {SWEEP_KEY}) AS a, CASE WHEN trim(substr(c, 1, 12)) <> '' THEN hash('e', seq, lower(trim(substr(c, 1, 12)))) END AS b
+    hash('t', {SWEEP_KEY}) AS a, hash('e', seq, length(c) % 40, length(replace(c, 'e', '')) % 10) AS b
   FROM gated WHERE gate IS NOT NULL),
 walk(n, kept, held) AS (
   SELECT CAST(0 AS BIGINT), false, CAST([] AS UBIGINT[])
@@ -309,9 +309,12 @@ def _sweep(table):
         F.timestamp_seconds(F.unix_seconds(at) - (F.col("doc_id") % 30) * 3600).alias("posted_at"), F.col("text").alias("raw_text"),
         F.array().cast(nested.MEDIA_TYPE).alias("media"), F.col("doc_id").alias("item_seq"))
 
+    # counts over the whole text name an event, so that different posts now and then name the same one
+    name = F.concat_ws(" ", F.lit("event"), F.length("text") % 40, F.length(F.replace("text", F.lit("e"), F.lit(""))) % 10)
+
     def classify(gated):
         return gated.withColumns({
-            "answer_category": F.col("_gate"), "event_name": F.substring("text", 1, 12), "event_date": none, "event_code": none,
+            "answer_category": F.col("_gate"), "event_name": name, "event_date": none, "event_code": none,
             "is_cancellation": F.lit(False), "cancellation_target_code": none, "answer_failed": F.lit(False)})
 
     return items, pages, {"now": at, "mode": "strong", "classify": classify, "groups": WORDS}

@@ -281,10 +281,10 @@ WITH p AS (SELECT page_id, html, regexp_replace(regexp_replace(html,
 SELECT page_id, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is') AS title,
   len(regexp_extract_all(html, '(?i)<img\\b')) AS image_tags, len(regexp_extract_all(html, '(?i)<p\\b')) AS paragraphs,
   contains(lower(visible), 'login') AS login_hit, contains(lower(visible), 'tion') AS word_hit,
-  md5(substr(trim(regexp_replace(visible, '\\s+', ' ', 'g')), 1, 200)) AS snippet_md5, length(visible) AS visible_chars FROM p
+  md5(substr(trim(regexp_replace(visible, '\\s+', ' ', 'g')), 1, 1000)) AS snippet_md5, length(visible) AS visible_chars FROM p
 """)
 def page_diagnostics(table, spark):
-    out = diagnostics.page_report(spread(table("pages")).select("page_id", "html", F.col("html").alias("h")), keywords=["tion"], chars=200)
+    out = diagnostics.page_report(spread(table("pages")).select("page_id", "html", F.col("html").alias("h")), keywords=["tion"])
     return out.select(
         "page_id", "title", F.col("image_tags").cast("bigint").alias("image_tags"),
         F.regexp_count("h", F.lit(r"(?i)<p\b")).cast("bigint").alias("paragraphs"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from railtide import vocab
 from railtide.functions import rules, times
 from railtide.operators import gapfill, nested, topk
 from railtide.registry.base import NOW, pick, query
@@ -54,6 +56,13 @@ def locf_fallback(table, spark):
     return gapfill.take_filled(filled, ["event_id"], list(READING))
 
 
+def _first_days(daily, *values):
+    """Per user its first days, sorted: today and as many as a forecast has, dropped by rank before the shuffle as well."""
+    by_day = Window.partitionBy("user_id").orderBy("day")
+    first = daily.withColumn("rank", F.row_number().over(by_day)).where(F.col("rank") <= vocab.FORECAST_DAYS + 1)
+    return first.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("day", *values))).alias("d"))
+
+
 @query("forecast_slots", """
 WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, max(value) AS hi, min(value) AS lo FROM events GROUP BY ALL),
 a AS (SELECT user_id, list(strftime(day, '%Y-%m-%d') ORDER BY day) AS days, list(hi ORDER BY day) AS his, list(lo ORDER BY day) AS los FROM d GROUP BY 1)
@@ -64,8 +73,7 @@ FROM (SELECT *, unnest(range(1, least(7, len(days) - 1) + 1)) AS i FROM a)
 def forecast_slots(table, spark):
     daily = table("events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
         F.max("value").alias("hi"), F.min("value").alias("lo"))
-    # one entry per day and user, so an array is as long as the calendar
-    packed = daily.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("day", "hi", "lo"))).alias("d"))
+    packed = _first_days(daily, "hi", "lo")
     arrays = packed.select(
         "user_id", F.transform("d", lambda x: F.date_format(x["day"], "yyyy-MM-dd")).alias("days"),
         F.transform("d", lambda x: x["hi"]).alias("his"), F.transform("d", lambda x: x["lo"]).alias("los"))
@@ -277,7 +285,7 @@ FROM (SELECT *, unnest(range(1, least(7, len(days) - 1) + 1)) AS i FROM a)
 """)
 def weather_payloads(table, spark):
     daily = table("events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.round(F.max("value"), 2).alias("hi"))
-    packed = daily.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("day", "hi"))).alias("d"))
+    packed = _first_days(daily, "hi")
     day, hi = (lambda x: F.date_format(x["day"], "yyyy-MM-dd")), (lambda x: x["hi"])
     primary = F.to_json(F.struct(
         F.struct(F.concat(day(F.col("d")[0]), F.lit("T05:00")).alias("time"), F.col("d")[0]["hi"].alias("temperature_2m")).alias("current"),
@@ -330,7 +338,7 @@ def _refresh(table):
 def _stations(table):
     """Users as stations: some report, the others fall back on a neighbour, a stored row or constants."""
     daily = table("events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.round(F.max("value"), 2).alias("hi"))
-    packed = daily.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("day", "hi"))).alias("d"))
+    packed = _first_days(daily, "hi")
     first = F.col("d")[0]
     payload = F.to_json(F.struct(
         F.struct(F.concat(F.date_format(first["day"], "yyyy-MM-dd"), F.lit("T05:00")).alias("time"), first["hi"].alias("temperature_2m"),

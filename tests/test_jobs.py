@@ -236,6 +236,21 @@ def test_posts_job_that_stores(spark, feed, tmp_path):
     assert got["9"] == ("external_acad_0002", True, True) and got["4"][1:] == (False, True)
 
 
+def test_long_names_and_several_dates(spark, feed):
+    """An event's key is that of its stored, cut name; the latest real date of the whole text counts."""
+    long = "Transport strike " + "and more of it " * 60
+    items, pages = feed([
+        item(1, 1, long), item(1, 2, "Transport strike of 2020-01-01 returns on 2026-06-20, not on 2026-99-99"), item(1, 3, "Transport strike from 2020-01-01 to 2020-02-01"),
+    ])
+    run = posts.run_posts(items, pages, None, now())
+    got = {r.source_url.rsplit("/", 1)[1]: r for r in run.events.collect()}
+    assert set(got) == {"1", "2"} and got["2"].event_date == "2026-06-20"
+    assert len(got["1"].event_name) == vocab.EVENT_NAME_CHARS
+    # another address and another end of the text, but the same event by its stored name
+    more, _ = feed([item(1, 7, long + " until further notice")])
+    assert posts.run_posts(more, pages, run.events.withColumns({"post_text": F.lit("edited"), "source_url": F.lit("")}), now()).events.count() == 0
+
+
 def test_classifier_hook(spark, feed):
     items, pages = feed([
         item(0, 1, "No classes on Monday"), item(0, 2, "Exam week at campus"), item(1, 3, "State of calamity declared"), item(1, 4, "Concert tonight"),
