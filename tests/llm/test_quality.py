@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import defaultdict
 
 import numpy as np
 
@@ -44,3 +46,39 @@ def test_sparse_scores_equal_a_dense_product():
     np.add.at(dense, (text, feature), value)
     assert np.allclose((dense**2).sum(axis=1), [1, 0, 1])
     assert np.allclose(np.bincount(text, weights[feature] * value, minlength=3), dense @ weights[:-1])
+
+
+def slow_train(rows, epochs):
+    """Follow-the-regularised-leader, one coordinate at a time; ``rows`` are ({feature: value}, label)."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        return -(z[i] - math.copysign(quality.L1, z[i])) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+
+    for _ in range(epochs):
+        for x, y in rows:
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - y) * v
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_training_against_plain_loops():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcdefgh"), size=rng.integers(0, 12))) for _ in range(40)] + ["", "a a a a", "é … !"]
+    good = rng.integers(0, 2, len(texts)).astype(float)
+    for bits, epochs in ((4, 1), (9, 3)):
+        rows = []
+        for t, y in zip(texts, good):
+            _, feature, value = quality.features([t.encode()], bits)
+            rows.append((dict(zip(feature.tolist(), value.tolist())) | {1 << bits: 1.0}, y))
+        expected = np.zeros((1 << bits) + 1)
+        for i, w in slow_train(rows, epochs).items():
+            expected[i] = w
+        assert np.allclose(quality.train(texts, good, bits, epochs), expected, atol=1e-5)
