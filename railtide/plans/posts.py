@@ -111,15 +111,21 @@ def page_posts(items: DataFrame, pages: DataFrame, mode: str, now: Column, extra
     """
     limits, max_age = topk.sweep_limits(mode)
     chosen = topk.in_batches(pages, batch)
-    placed = match.assign_pages(items, chosen, unmatched=unmatched).where("page_seq is not null")
+    # only keys are placed, ranked and counted; texts and media meet the posts that are left
+    keys = items.select("item_seq", "asked_url", "page_name", "posted_at")
+    placed = match.assign_pages(keys, chosen, unmatched=unmatched).where("page_seq is not null")
     aged = placed.withColumn("age_days", times.age_days(now, F.col("posted_at")))
-    young = aged.where(times.within_age(F.col("age_days"), max_age))
+    young = aged.where(times.within_age(F.col("age_days"), max_age)).select("item_seq", "posted_at", "page_seq", "matched_by", "age_days")
     page = chosen.select(
         "page_seq", "station", F.col("name").alias("source_name"), "source_type", "tier", F.col("batch"), F.col("url").alias("page_url"))
+    newest = [F.desc_nulls_last("posted_at"), F.col("item_seq")]
+    if keep_newest:
+        # the largest limit goes before the join, so that a page with most posts meets in no task
+        young = topk.first_n(young, ["page_seq"], newest, max(limits.values()))
     on_page = young.join(page, "page_seq")
     if keep_newest:
-        on_page = topk.first_n_by_tier(
-            on_page, ["page_seq"], [F.desc_nulls_last("posted_at"), F.col("item_seq")], F.col("tier"), limits).drop("rank")
+        on_page = topk.first_n_by_tier(on_page, ["page_seq"], newest, F.col("tier"), limits).drop("rank")
+    on_page = items.join(on_page.drop("posted_at"), "item_seq")
     read = read_images(on_page, "page_seq", ["page_seq", "item_seq"], extract)
     cleaned = read.withColumns({"text": text.clean_caption(F.col("raw_text")), "image_text": text.strip(F.col("image_text"))})
     filled = cleaned.where((F.length("text") > 0) | (F.length("image_text") > 0)).withColumns({

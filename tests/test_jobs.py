@@ -220,6 +220,21 @@ def test_posts_job(spark, feed):
     assert posts.run_posts(items, pages, None, now(), batch="east").events.count() == 1
 
 
+def test_posts_are_ranked_without_their_texts(spark, feed):
+    items, pages = feed([item(n % 3, n, f"text {n}") for n in range(9)])
+    paged = posts.page_posts(items, pages, "strong", now())
+    lines = paged._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    ranks = [n for n, line in enumerate(lines) if "Window [row_number" in line and "posted_at" in line]
+    assert ranks
+    for n in ranks:
+        end = next((m for m in range(n + 1, len(lines)) if depth[m] <= depth[n]), len(lines))
+        below = "\n".join(lines[n:end])
+        assert "raw_text" not in below
+    assert sorted((r.item_seq, r.text, r.source_name) for r in paged.collect()) == [
+        (n, f"text {n}", PAGES[n % 3]["name"]) for n in range(9)]
+
+
 def test_posts_job_that_stores(spark, feed, tmp_path):
     path = str(tmp_path / "events")
     items, pages = feed([item(0, 1, "Walang pasok bukas, no classes in all levels", age_hours=5), item(1, 4, "Transport strike on 2026-06-20, stay safe")])
