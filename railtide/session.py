@@ -8,11 +8,15 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+# bytes of a batch of rows that a Python worker holds at a time, with its copies as Python objects
+PYTHON_BATCH = "4m"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings results depend on and make reliable checkpoints possible."""
+    """Pin the settings results and the memory of Python workers depend on and make reliable checkpoints possible."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", PYTHON_BATCH)
     ensure_checkpoint_dir(spark)
     ship(spark)
     return spark

@@ -205,3 +205,17 @@ def test_levels_and_categories(column):
     assert column(["external_acad_0012", "a-b-7", "x_1", "external_acad_x"], rules.id_number) == [12, 7, 999999, 999999]
     names = ["City PIO", "State University", "Weather PAGASA", "Other"]
     assert column(names, lambda c: rules.source_category(c, F.lit(None).cast("string"))) == ["lgu", "academic", "pagasa", "academic"]
+
+
+def test_python_batches_are_bounded_by_bytes(spark):
+    from railtide.session import prepare
+
+    prepare(spark)
+
+    @F.pandas_udf("bigint")
+    def held(texts):
+        return texts.map(lambda _: total) if (total := int(texts.str.len().sum())) else texts
+
+    wide = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("t"))
+    # far fewer rows than a batch may have, but 30 MB of text
+    assert wide.agg(F.max(held("t"))).first()[0] < 6_000_000
