@@ -52,7 +52,8 @@ def blocks(grid: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     exclusive, NULL for the end of the sheet).  The period is the nearest label in the five rows
     above the header.  All scans share one cut into chunks of ``chunk_rows`` marked rows.
     """
-    found = chunked(marks(grid), ["file"], "row_idx", "_scan", chunk_rows)
+    # the marks are written down: a range partitioning evaluates its input twice, and reading cells is what costs
+    found = chunked(cut_lineage(marks(grid)), ["file"], "row_idx", "_scan", chunk_rows)
     here, scan = F.col("row_idx"), F.col("_scan")
     above = carry_forward(
         found, ["file"], "row_idx",

@@ -137,9 +137,10 @@ def event_grid(events):
             F.lit("-"), F.floor("value").cast("string"), none,
         ))
     )
-    plain = events.select(F.concat(F.lit("u"), F.col("user_id")).alias("file"), "event_id", row.alias("cells"))
+    # cells are made once rows have their numbers, so that they are neither sampled nor sorted
+    plain = events.select(F.concat(F.lit("u"), F.col("user_id")).alias("file"), "event_id", "event_type", "ts", "value")
     numbered = ids.number_within(plain, ["file"], ["event_id"], "row_no")
-    return cut_lineage(numbered.select("file", (F.col("row_no") - 1).alias("row_idx"), "cells"))
+    return cut_lineage(numbered.select("file", (F.col("row_no") - 1).alias("row_idx"), row.alias("cells")))
 
 
 SQL_SEGMENTS = """

@@ -285,3 +285,18 @@ def test_a_new_suspension_is_no_cancellation(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = tagging.tag_events(df, F.col("t")).orderBy("i").collect()
     assert [r.is_cancellation for r in got] == [False, False, True, True]
+
+
+def test_cells_of_a_sheet_are_neither_sorted_nor_read_twice(spark, monkeypatch):
+    from railtide.operators import sheets
+    from railtide.registry import sheets as queries
+
+    numbered, cut = [], []
+    number, chunk = queries.ids.number_within, sheets.chunked
+    monkeypatch.setattr(queries.ids, "number_within", lambda df, *more: (numbered.append(df), number(df, *more))[1])
+    monkeypatch.setattr(sheets, "chunked", lambda df, *more: (cut.append(df), chunk(df, *more))[1])
+    grid = queries.event_grid(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    assert sheets.blocks(grid).count() > 0
+    assert [("cells" in df.columns) for df in numbered] == [False]
+    # what is range partitioned was written before
+    assert [df._jdf.queryExecution().optimizedPlan().nodeName() for df in cut] == ["LogicalRDD"]
