@@ -198,7 +198,7 @@ def late_data(table, spark):
 
     def step(stream, path):
         rows = streams.first_within_or_untimed(stream, ["event_id"], "ts", "1 hour")
-        streams.run_available(rows, streams.write_batch(f"{path}/table"), f"{path}/progress")
+        streams.run_available(rows, streams.write_batch(f"{path}/table"), f"{path}/progress", counted=False)
 
     path = _in_runs(lambda _: arriving, spark, "late-data", F.col("run"), ["event_id", "ts"], step)
     return streams.read_batches(spark, f"{path}/table").groupBy("event_id").agg(F.count("*").alias("n"))

@@ -45,11 +45,16 @@ KEYED_STATE = {
 }
 
 
+# counting keys looks each one up again before it is written or removed
+COUNTED_STATE = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+
+
 @contextmanager
-def keyed_state(spark: SparkSession):
+def keyed_state(spark: SparkSession, counted: bool = True):
     """Streams that start inside keep their state in RocksDB and checkpoint changes only."""
-    before = {name: spark.conf.get(name, None) for name in KEYED_STATE}
-    for name, value in KEYED_STATE.items():
+    settings = KEYED_STATE | {COUNTED_STATE: str(counted).lower()}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         yield
@@ -58,9 +63,10 @@ def keyed_state(spark: SparkSession):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Process what is there and stop."""
-    with keyed_state(stream.sparkSession):
+def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
+                  counted: bool = True) -> StreamingQuery:
+    """Process what is there and stop.  Unless ``counted``, progress reports no number of stored keys, which costs less."""
+    with keyed_state(stream.sparkSession, counted):
         query = (
             stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start()

@@ -142,6 +142,19 @@ def test_late_untimed_and_repeated_rows_in_one_sink(spark, tmp_path):
     assert sorted(r.ord for r in streams.read_batches(spark, str(tmp_path / "t")).collect()) == [1, 2, 2, 3, 5, 6]
 
 
+def test_keys_that_nobody_counts_are_looked_up_once(spark, tmp_path):
+    rows = [[(i % 900, "a", None, at(0)) for i in range(1000)], [(i, "a", None, at(1)) for i in range(800, 1000)]]
+    looked = {}
+    for counted in (True, False):
+        folder = tmp_path / str(counted)
+        kept = streams.first_within(feed(spark, folder, *rows), ["ord"], "ts", "1 hour")
+        query = streams.run_available(kept, streams.write_batch(str(folder / "t")), str(folder / "c"), counted=counted)
+        assert sorted(r.ord for r in streams.read_batches(spark, str(folder / "t")).collect()) == list(range(1000))
+        first = next(p for p in query.recentProgress if p["batchId"] == 0)
+        looked[counted] = first["stateOperators"][0]["customMetrics"]["rocksdbGetCount"]
+    assert looked[False] < looked[True]
+
+
 def test_stops_inside_a_batch_and_across(spark, tmp_path):
     rows = [
         [(1, "A", None, at(0)), (2, "A", None, at(50)), (3, "A", None, at(60)), (4, "B", None, at(0)), (5, "B", None, None)],
