@@ -9,6 +9,9 @@ from railtide.operators.joins import unique_left_join
 
 # length of the pieces that texts are met by
 GRAM = 6
+# bits of a piece's hash beside its count
+MARK_BITS = 24
+MARK = (1 << MARK_BITS) - 1
 
 
 def _pieces(text: Column, length: Column | int) -> Column:
@@ -21,11 +24,24 @@ def _pieces(text: Column, length: Column | int) -> Column:
 
 
 def _rarest_piece(needles: DataFrame) -> DataFrame:
-    """(needle, piece): of the pieces of a needle the one that fewest needles have."""
-    pieces = needles.select(
-        "needle", F.explode(F.array_distinct(_pieces(F.col("needle"), F.least(F.length("needle"), F.lit(GRAM))))).alias("piece"))
+    """(needle, piece): of the pieces of a needle one that fewest needles have.
+
+    Pieces that every needle has meet in one task, so rows are neither sorted for their counts nor
+    for the smallest of them: counts are looked up in a hash table of distinct pieces, and a needle
+    keeps one number, made of a count and a hash that tells which piece it was.
+    """
+    every = F.array_distinct(_pieces(F.col("needle"), F.least(F.length("needle"), F.lit(GRAM))))
+
+    def mark(piece: Column) -> Column:
+        return F.xxhash64(piece).bitwiseAND(F.lit(MARK))
+
+    pieces = needles.select("needle", F.explode(every).alias("piece"))
     often = pieces.groupBy("piece").agg(F.count("*").alias("n"))
-    return pieces.join(often, "piece").groupBy("needle").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
+    ranked = pieces.join(often.hint("shuffle_hash"), "piece").select(
+        "needle", F.shiftleft("n", MARK_BITS).bitwiseOR(mark(F.col("piece"))).alias("rank"))
+    best = ranked.groupBy("needle").agg(F.min("rank").bitwiseAND(F.lit(MARK)).alias("best"))
+    # should two pieces of a needle share a hash, either will do: every needle is looked for by a piece it has
+    return best.select("needle", F.get(F.filter(every, lambda p: mark(p) == F.col("best")), F.lit(0)).alias("piece"))
 
 
 def _containing(texts: DataFrame, needles: DataFrame) -> DataFrame:
@@ -67,7 +83,8 @@ def with_first_overlap(items: DataFrame, item: str, pages: DataFrame, page: Colu
         F.col("text").alias("item"), F.col("needle").alias("page"))
     inside_page = _containing(_as(first_of, "page", "text"), _as(texts, "item", "needle")).select(
         F.col("needle").alias("item"), F.col("text").alias("page"))
-    first = inside_item.unionByName(inside_page).join(first_of, "page").groupBy("item").agg(F.min("seq").alias(out))
+    # a page may be found in most items, so the pairs are not sorted to meet its place
+    first = inside_item.unionByName(inside_page).join(first_of.hint("shuffle_hash"), "page").groupBy("item").agg(F.min("seq").alias(out))
     return unique_left_join(items, first.withColumnRenamed("item", item), [item])
 
 

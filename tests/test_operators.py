@@ -300,3 +300,20 @@ def test_cells_of_a_sheet_are_neither_sorted_nor_read_twice(spark, monkeypatch):
     assert [("cells" in df.columns) for df in numbered] == [False]
     # what is range partitioned was written before
     assert [df._jdf.queryExecution().optimizedPlan().nodeName() for df in cut] == ["LogicalRDD"]
+
+
+def test_rarest_pieces_are_found_without_sorts(spark, monkeypatch):
+    from railtide.operators import match
+
+    needles = spark.createDataFrame([("https://a.org/one",), ("https://a.org/two",), ("ab",), ("aaaaaaaa",)], "needle string")
+    found = match._rarest_piece(needles)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan.replace("SortOrder", "")
+    pieces = {r.needle: r.piece for r in found.collect()}
+    assert pieces["ab"] == "ab" and pieces["aaaaaaaa"] == "aaaaaa"
+    for end in ("one", "two"):
+        needle = f"https://a.org/{end}"
+        assert pieces[needle] in needle and any(pieces[needle].endswith(end[: n + 1]) for n in range(3))
+    # where all hashes are the same, a needle still gets a piece that it has
+    monkeypatch.setattr(match, "MARK", 0)
+    assert all(r.piece in r.needle for r in match._rarest_piece(needles).collect())
